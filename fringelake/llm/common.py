@@ -39,18 +39,20 @@ def fresh(name: str) -> str:
     return f"__{name}_{uuid.uuid4().hex[:8]}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows, written to the shared checkpoint folder, so that a lost executor costs no recomputation.
-
-    The folder is the one that ``spark.checkpoint.dir`` names; only where none is set (tests, one machine) a folder
-    of the warehouse is used.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names, which all executors share; only where none is set (tests, one
+    machine) a folder of the warehouse is set instead."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(
             spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
         )
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows, written to the shared checkpoint folder, so that a lost executor costs no recomputation."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
