@@ -27,4 +27,4 @@ def query(name: str, needs: str = "", sql: str | None = None):
     return keep
 
 
-from fringelake.plans import quality_queries  # noqa: E402, F401
+from fringelake.plans import point_queries, quality_queries, series_queries  # noqa: E402, F401
