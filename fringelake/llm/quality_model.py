@@ -4,7 +4,7 @@ Random indexing: every word has a fixed sparse vector of +1 and -1 that a hash o
 the sum of the fixed vectors of the words around it in the sample, scaled to unit length. Words that are not in the sample
 often enough are represented by their affixes (first two and last three characters, with the kind of their letters),
 whose vectors are summed the same way. A document is the mean and the spread of its words' vectors, the likeness of
-neighbouring words, and the share of unknown words. A two-layer numpy network reads that; its probabilities are calibrated
+neighbouring words, and the shares of repeated and of unknown words. A two-layer numpy network reads that; its probabilities are calibrated
 by one temperature, chosen on rows that it was not trained on.
 
 The fit uses a bounded sample (``labelled.ROWS`` labelled rows of each class, ``labelled.CHARS`` characters of each); every
@@ -29,7 +29,7 @@ from fringelake.llm.common import blocks, table
 
 FOLDS, HELD, THRESHOLD = 5, 0, 0.3
 #: A row leaves the pipeline below this score.
-KEEP = 0.3
+KEEP = 0.2
 SIZE, NONZERO, WINDOW, LEAST, WORDS = 48, 6, 2, 3, 20_000
 HIDDEN, STEPS, RATE, DECAY = 24, 400, 0.02, 1e-4
 #: Words of text that are pooled at once.
@@ -65,8 +65,9 @@ class Vectors:
 
     @staticmethod
     def learned(texts: list[str]) -> Vectors:
-        cut = [t.split() for t in texts]
-        counts = Counter(w for ws in cut for w in ws)
+        counts = Counter()
+        for text in texts:
+            counts.update(text.split())
         words = {w: k for k, (w, n) in enumerate(counts.most_common(WORDS)) if n >= LEAST}
         pairs = Counter()
         for w, n in counts.items():
@@ -76,14 +77,16 @@ class Vectors:
         sums = np.zeros((len(words) + len(parts) + 1, SIZE), np.float32)
         vocabulary = {w: k for k, w in enumerate(counts)}
         fixed = fixed_vectors(list(vocabulary))
-        rows = {w: [r for r in (words.get(w), *(parts.get(p) for p in affixes(w))) if r is not None] for w in vocabulary}
-        for ws in cut:
+        known = {w: [r for r in (words.get(w), *(parts.get(p) for p in affixes(w))) if r is not None] for w in words}
+        for text in texts:
+            ws = text.split()
             if not ws:
                 continue
+            rows = [known.get(w) or [parts[p] for p in affixes(w) if p in parts] for w in ws]
             own = np.pad(fixed[[vocabulary[w] for w in ws]], ((WINDOW, WINDOW), (0, 0)))
             around = sum(own[k : k + len(ws)] for k in range(2 * WINDOW + 1) if k != WINDOW)
-            owner = [r for w in ws for r in rows[w]]
-            np.add.at(sums, owner, around[np.repeat(np.arange(len(ws)), [len(rows[w]) for w in ws])])
+            owner = [r for some in rows for r in some]
+            np.add.at(sums, owner, around[np.repeat(np.arange(len(ws)), list(map(len, rows)))])
         norms = np.linalg.norm(sums, axis=1, keepdims=True)
         return Vectors(words, parts, (sums / np.maximum(norms, 1e-9)).astype(np.float32))
 
@@ -101,14 +104,14 @@ class Vectors:
 
 
 def pooled(texts: list[str], vectors: Vectors) -> np.ndarray:
-    """One row per text: mean, spread, likeness of neighbours, share of unknown words, log of the words."""
+    """One row per text: mean, spread, likeness of neighbours, share of repeated neighbours and of unknown words."""
     known: dict[str, int] = {}
     codes, sizes = [], np.zeros(len(texts), np.int64)
     for k, text in enumerate(texts):
         words = text.split()
         sizes[k] = len(words)
         codes += [known.setdefault(w, len(known)) for w in words]
-    out = np.zeros((len(texts), 2 * SIZE + 4))
+    out = np.zeros((len(texts), 2 * SIZE + 3))
     full = np.flatnonzero(sizes)
     if not len(full):
         return out
@@ -125,7 +128,7 @@ def pooled(texts: list[str], vectors: Vectors) -> np.ndarray:
     same[1:] = code[1:] == code[:-1]
     alike[begins] = same[begins] = 0
     extra = [np.add.reduceat(v, begins)[:, None] / n for v in (alike, same, (~familiar[code]).astype(np.float32))]
-    out[full] = np.hstack([mean, spread, *extra, np.log(n) / 10])
+    out[full] = np.hstack([mean, spread, *extra])
     return out
 
 
@@ -175,7 +178,7 @@ def fit(texts: list[str], y: np.ndarray) -> Model:
     if y.sum() < 4 or (1 - y).sum() < 4:
         return Model(Vectors(), constant=float(y.mean()) if len(y) else 1.0)
     vectors = Vectors.learned(texts)
-    x = pooled(texts, vectors)
+    x = np.vstack([pooled(texts[k : k + 100], vectors) for k in range(0, len(texts), 100)])
     model = Model(vectors, x.mean(axis=0), x.std(axis=0) + 1e-3)
     z = (x - model.mean) / model.deviation
     calibration = np.zeros(len(y), bool)
