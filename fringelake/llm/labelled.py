@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fringelake.llm.common import BLOCK_BYTES, crc_mod, text_of
+from fringelake.llm.common import BLOCK_BYTES, crc_mod, first_by_hash, text_of
 
 #: Bounds of every classifier's fit: labelled rows of each class, and characters read of each.
 ROWS, CHARS = 4000, 8000
@@ -19,7 +19,8 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int
         F.col("id").isNotNull() & F.col("y").isin(0, 1) & (crc_mod("id", folds) != held)
     )
     one = known.groupBy("id").agg(F.min("y").alias("y"))
-    first = [one.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(rows) for y in (0, 1)]
+    totals = {row["y"]: row["count"] for row in one.groupBy("y").count().collect()}  # two rows at most
+    first = [first_by_hash(one.filter(F.col("y") == y), "id", rows, totals.get(y, 0)) for y in (0, 1)]
     chosen = F.broadcast(first[0].unionAll(first[1]))  # 2 * rows at most
     texts = docs.select(F.col(id_col).alias("id"), F.substring(text_of(text_col), 1, chars).alias("t")).join(chosen, "id")
     found = texts.groupBy("id", "y").agg(F.min("t").alias("t")).collect()
