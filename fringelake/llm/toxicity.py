@@ -32,8 +32,8 @@ FOLDS, HELD, THRESHOLD = 4, 2, 0.3
 #: A row leaves the pipeline from this score on.
 REJECT = 0.5
 WINDOW, ORDINARY_BYTES, TOXIC_BYTES, LEVEL = 6, 16384, 4096, 3
-#: Bytes of a run; how many times likelier it must be in toxic text, and the least number of words that it follows there.
-RUN, LIFT, LEAST = 5, 60, 8
+#: Bytes of a run, and of the longest beginning of a word; how many times likelier it must be in toxic text, and the least number of words that it follows there.
+RUN, LONGEST, LIFT, LEAST = 5, 12, 60, 8
 LEAD = 64
 QUANTILES = (0.95, 0.99, 0.997, 0.999)
 
@@ -43,8 +43,9 @@ def windows(text: str, size: int = WINDOW) -> list[bytes]:
     return [b" %b " % b" ".join(words[k : k + size]) for k in range(0, len(words), size)]
 
 
-def runs(data: bytes, size: int = RUN) -> set[bytes]:
-    return {data[k : k + size] for k in range(len(data) - size + 1)}
+def runs(word: bytes) -> set[bytes]:
+    """The runs of RUN bytes of a word between spaces, and its beginnings of up to LONGEST bytes."""
+    return {word[k : k + RUN] for k in range(len(word) - RUN + 1)} | {word[:k] for k in range(RUN + 1, min(LONGEST, len(word)) + 1)}
 
 
 def neighbours(texts: list[str]) -> set[tuple[bytes, bytes]]:
