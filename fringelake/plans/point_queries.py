@@ -370,3 +370,76 @@ def _(fx, spark):
 @query("quantized_xy", "fx_ps", "SELECT ps_id, round(CAST(sign(x + 0.0004) * floor(abs((x + 0.0004) * 1000) + 0.5) / 1000 AS FLOAT), 4) + 0.0 AS x FROM fx_ps")
 def _(fx, spark):
     return fx.fx_ps.select("ps_id", (F.round(phase.millimetres(F.col("x") + 0.0004).cast("double"), 4) + F.lit(0.0)).alias("x"))
+
+
+# ---- dense kernels -------------------------------------------------------------------------------------------------------
+
+
+def baselines(fx) -> list[float]:
+    return [r["bperp"] for r in fx.fx_ifgs.orderBy("ifg_id").collect()]  # a row for each interferogram
+
+
+@query("topofit_refined")
+def _(fx, spark):
+    """Tested against planted slopes."""
+    from fringelake.operators import blocks
+
+    return blocks.estimate_coherence(fx.fx_phase, baselines(fx), 1.0)
+
+
+@query("grid_goldstein_filter")
+def _(fx, spark):
+    from fringelake.operators import blocks
+
+    return blocks.filter_grid(grid(fx).select("gi", "gj", "ifg_id", "re", "im"), "goldstein", size=8)
+
+
+@query("grid_adaptive_filter")
+def _(fx, spark):
+    from fringelake.operators import blocks
+
+    return blocks.filter_grid(grid(fx).select("gi", "gj", "ifg_id", "re", "im"), "adaptive", size=8, pad=4)
+
+
+@query("grid_unwrap")
+def _(fx, spark):
+    from fringelake.operators import blocks
+
+    return blocks.unwrap_grid(grid(fx).select("gi", "gj", "ifg_id", "re", "im"))
+
+
+@query("unwrapped_points")
+def _(fx, spark):
+    from fringelake.operators import blocks
+
+    cells = points.grid_cells(fx.fx_ps, 100.0)
+    return blocks.restore_points(fx.fx_phase, cells, blocks.unwrap_grid(grid(fx).select("gi", "gj", "ifg_id", "re", "im")))
+
+
+@query("delaunay_arcs")
+def _(fx, spark):
+    from fringelake.operators import blocks
+
+    return blocks.delaunay_arcs(fx.fx_ps.withColumn("patch_id", F.floor(F.col("row") / 10)))
+
+
+@query("arc_smoothing")
+def _(fx, spark):
+    from fringelake.operators import blocks
+
+    days = fx.fx_ifgs.select("ifg_id", (F.col("ifg_id") * 12.0).alias("day"))
+    return blocks.arc_smoothing(graph.arc_differences(arcs(fx), fx.fx_phase), days, 36.0)
+
+
+@query("robust_deramp")
+def _(fx, spark):
+    from fringelake.operators import blocks
+
+    return blocks.robust_deramp(fx.fx_phase.join(fx.fx_ps.select("ps_id", "x", "y", "coh"), "ps_id"))
+
+
+@query("random_coherence_histogram")
+def _(fx, spark):
+    from fringelake.operators import blocks
+
+    return blocks.random_histogram(spark, baselines(fx), 1.0, rows=4000, parts=8)

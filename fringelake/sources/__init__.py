@@ -1 +1 @@
-"""See the package README for what lives here."""
+"""Readers: big-endian rasters, parameter and network text files, artifact tables."""
