@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fringelake.operators.robust import MAD_SCALE, median, robust_high_z
+from fringelake.operators.robust import MAD_SCALE, median, percentile_rank, robust_high_z
 
 #: Evidence thresholds and weights of the first selection.
 Z_STRONG, Z_CONTEXT, RANK_STRONG = 4.0, 3.5, 0.99
@@ -53,6 +53,14 @@ def endpoint_context(ifgs: DataFrame, x: str, out: str, least: int = 6) -> DataF
     return told.withColumn(out, F.when(F.col("n_peers") >= least, z).otherwise(0.0)).drop("med", "mad", "std", "n_peers")
 
 
+def evidence_table(ifgs: DataFrame, x: str, dt: str) -> DataFrame:
+    """ifgs with z, rank, context_z, endpoint_z and the evidence of them; each is computed from ifgs and joined by id."""
+    z = percentile_rank(robust_high_z(ifgs, x, "z"), x, "ifg_id", "rank")
+    context = temporal_context(ifgs, x, dt, "context_z").select("ifg_id", "context_z")
+    endpoint = endpoint_context(ifgs, x, "endpoint_z").select("ifg_id", "endpoint_z")
+    return evidence(z.join(context, "ifg_id").join(endpoint, "ifg_id"))
+
+
 def evidence(df: DataFrame, z: str = "z", context: str = "context_z", endpoint: str = "endpoint_z", rank: str = "rank") -> DataFrame:
     """n_evidence, candidate and score of each interferogram."""
     flags = [F.col(z) >= Z_STRONG, F.col(context) >= Z_CONTEXT, F.col(endpoint) >= Z_CONTEXT, F.col(rank) >= RANK_STRONG]

@@ -30,6 +30,15 @@ def with_median_mad(df: DataFrame, x: str, by: list[str] | None = None) -> DataF
     return joined(told, spread)
 
 
+def _windowed(df: DataFrame, x: str, by: list[str]) -> DataFrame:
+    """As with_median_mad, by two windows over the same partitions: for tables of a row for each interferogram, arc or cell."""
+    group = Window.partitionBy(*by)
+    finite = F.when(~F.isnan(x) & (F.abs(x) < math.inf), F.col(x))
+    told = df.withColumn("med", median(finite).over(group)).withColumn("n", F.count(finite).over(group)).withColumn("std", F.stddev_pop(finite).over(group))
+    told = told.withColumn("spread", F.max(finite).over(group) - F.min(finite).over(group))
+    return told.withColumn("mad", median(F.abs(finite - F.col("med"))).over(group))
+
+
 def robust_high_z(df: DataFrame, x: str, out: str, by: list[str] | None = None, kind: str = "selection") -> DataFrame:
     """How far a value is above the median, in robust deviations, from 0 up.
 
@@ -37,7 +46,7 @@ def robust_high_z(df: DataFrame, x: str, out: str, by: list[str] | None = None,
     `grid` to the largest of the deviation and spread / sqrt(n), with 0 for non-finite values or less than two finite ones;
     `network` to the deviation or else 1, with NaN for non-finite values.
     """
-    told = with_median_mad(df, x, by)
+    told = _windowed(df, x, by or [])
     robust, n = MAD_SCALE * F.col("mad"), F.col("n").cast("double")
     if kind == "selection":
         other, odd = F.col("spread") / F.greatest(F.lit(10.0), F.sqrt(n)), F.lit(math.inf)

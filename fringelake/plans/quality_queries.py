@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fringelake.functions.phase import r6
-from fringelake.operators import network, robust
+from fringelake.operators import graph, network, robust
 from fringelake.plans.registry import query
 
 #: DuckDB macros are not available to the driver, so shared steps are written out as common table expressions.
@@ -32,7 +32,8 @@ ENDPOINT = (
 
 
 def noise(fx):
-    return network.phase_noise(fx.fx_phase).withColumnRenamed("std_deg", "x")
+    """A row for each interferogram, written once: contexts and ranks read it many times, the phases only once."""
+    return graph.written(network.phase_noise(fx.fx_phase).withColumnRenamed("std_deg", "x").coalesce(1))
 
 
 @query("ifg_phase_noise", "fx_phase", f"WITH {NOISE} SELECT ifg_id, round(x, 6) + 0.0 AS std_deg FROM s")
@@ -66,7 +67,7 @@ def _(fx, spark):
 
 
 def with_network(fx):
-    return noise(fx).join(fx.fx_ifgs, "ifg_id")
+    return graph.written(noise(fx).join(fx.fx_ifgs, "ifg_id").coalesce(1))
 
 
 @query("ifg_temporal_context_z", "fx_phase fx_ifgs", f"WITH {NOISE}, {TEMPORAL} SELECT ifg_id, CAST(bin AS INTEGER) AS bin, round(context_z, 6) + 0.0 AS context_z FROM tz")
@@ -80,8 +81,7 @@ def _(fx, spark):
 
 
 def evidence(fx):
-    z = robust.percentile_rank(robust.robust_high_z(with_network(fx), "x", "z"), "x", "ifg_id", "rank")
-    return network.evidence(network.endpoint_context(network.temporal_context(z, "x", "dt", "context_z"), "x", "endpoint_z"))
+    return network.evidence_table(with_network(fx), "x", "dt")
 
 
 EVIDENCE = (
@@ -162,6 +162,7 @@ def _(fx, spark):
         F.stddev_pop(phi).alias("closure"), F.avg(F.abs(phi)).alias("residual"), F.max(F.abs(phi)).alias("gradient"),
         F.avg((phi > 0).cast("int")).alias("validity"), F.sqrt(F.avg(phi * phi)).alias("noise"),
     )
+    told = graph.written(told.coalesce(1))
     for f in network.FAMILIES:
         told = robust.mid_rank(robust.robust_high_z(told, f, f"z_{f}", kind="grid"), f, f"pct_{f}")
     return network.family_score(told).select("ifg_id", "n_bad", "n_extreme", r6("score").alias("score"))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fringelake.functions import kernels, phase
-from fringelake.operators import blocks, graph, network, points, robust, series
+from fringelake.operators import blocks, graph, network, points, series
 from fringelake.plans.config import Report, Settings
 
 
@@ -139,8 +139,7 @@ def unwrap(data: Dataset, s: Settings) -> str:
     uw = data.write("uw_grid", blocks.unwrap_grid(grid))
     restored = data.write("phuw_sb", blocks.restore_points(ph, cells, uw).withColumnRenamed("uw", "phi"))
     noise = data.read("ifg_noise").withColumnRenamed("std_deg", "x").join(data.read("ifgs").withColumn("dt", F.col("b") - F.col("a")), "ifg_id")
-    z = robust.percentile_rank(robust.robust_high_z(noise, "x", "z"), "x", "ifg_id", "rank")
-    told = network.evidence(network.endpoint_context(network.temporal_context(z, "x", "dt", "context_z"), "x", "endpoint_z"))
+    told = network.evidence_table(graph.written(noise), "x", "dt")
     audit = data.write("ifg_audit", told)
     edges = data.network()
     dropped = list(s.drop) or network.greedy_removal([r.asDict() for r in audit.collect()], s.qc_share)  # a row for each interferogram
