@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from fringelake.llm.common import blocks, text_of
 
-KNOWN = 400_000
+KNOWN = 250_000
 #: White_Space of Unicode, which is what \s means to the pattern's own engine.
 _SPACE = r"\t-\r \x85\xa0  -     　"
 _CUT = re.compile(r" (?=\S)")

@@ -12,7 +12,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of eight-byte keys that may be broadcast: 2 million are about 16 MB before hashing.
 BROADCAST_ROWS = 2_000_000
 #: Text bytes that a Python worker holds at once, besides one row longer than that.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

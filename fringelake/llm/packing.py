@@ -27,7 +27,7 @@ from fringelake.llm.common import blocks, checkpointed, text_of
 
 LENGTH, END = 2048, 0
 #: Words that a worker process remembers, from task to task; patterns that are fitted; steps of the fit.
-KNOWN, PATTERNS, STEPS = 400_000, 60_000, 400
+KNOWN, PATTERNS, STEPS = 250_000, 60_000, 400
 
 
 class WordTokenizer:

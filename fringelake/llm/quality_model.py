@@ -33,7 +33,7 @@ KEEP = 0.2
 SIZE, NONZERO, WINDOW, LEAST, WORDS = 48, 6, 2, 3, 20_000
 HIDDEN, STEPS, RATE, DECAY = 24, 400, 0.02, 1e-4
 #: Words of text that are pooled at once.
-BLOCK = 2 << 20
+BLOCK = 1 << 19
 
 
 def fixed_vectors(words: list[str]) -> np.ndarray:
