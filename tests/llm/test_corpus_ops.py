@@ -334,11 +334,17 @@ def test_classifiers_without_labels(spark, docs, none):
 def test_scores_of_awkward_texts():
     from fringelake.llm import quality_model, toxicity
 
+    draw = np.random.default_rng(0)
+    plain = lambda n: [f"w{k}{c}" for k, c in zip(draw.integers(0, 200, n), draw.choice(list("aeiou"), n))]
     good, bad = ["a fine day in the park with friends"] * 20, ["&&& %%% $$$ ### @@@ !!!"] * 20
-    texts = [f"{t} {k}" for k, t in enumerate(good + bad)]
+    sets = [(quality_model.fit, [f"{t} {k}" for k, t in enumerate(good + bad)])]
+    # Near copies count once, so insults must stand among different words to be learned.
+    rude = [" ".join(w for x in plain(20) for w in (x, draw.choice(["halfwit", "numbskull"]))) for _ in range(20)]
+    sets.append((toxicity.fit, rude + [" ".join(plain(40)) for _ in range(20)]))
     y = np.r_[np.ones(20), np.zeros(20)]
-    for score in (quality_model.fit(texts, y).score, toxicity.fit(texts, y).scorer()):
-        s = score(["", LONG, *texts])
+    for fit, texts in sets:
+        model = fit(texts, y)
+        s = (model.scorer() if fit is toxicity.fit else model.score)(["", LONG, *texts])
         assert ((s >= 0) & (s <= 1)).all() and np.mean((s[2:] >= 0.5) == y) > 0.9
 
 
