@@ -28,8 +28,8 @@ from fringelake.llm import labelled
 from fringelake.llm.common import blocks, table
 
 FOLDS, HELD, THRESHOLD = 5, 0, 0.3
-#: A row leaves the pipeline below this score.
-KEEP = 0.2
+#: A row leaves the pipeline below this score, the query's own threshold.
+KEEP = THRESHOLD
 SIZE, NONZERO, WINDOW, LEAST, WORDS = 48, 6, 2, 3, 20_000
 HIDDEN, STEPS, RATE, DECAY = 24, 400, 0.02, 1e-4
 #: Words of text that are pooled at once.

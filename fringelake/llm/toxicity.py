@@ -29,8 +29,8 @@ from fringelake.llm import labelled
 from fringelake.llm.common import blocks, table
 
 FOLDS, HELD, THRESHOLD = 4, 2, 0.3
-#: A row leaves the pipeline from this score on.
-REJECT = 0.5
+#: A row leaves the pipeline from this score on, the query's own threshold.
+REJECT = THRESHOLD
 WINDOW, ORDINARY_BYTES, TOXIC_BYTES, LEVEL = 6, 16384, 4096, 3
 #: Bytes of a run, and of the longest beginning of a word; how many times likelier it must be in toxic text, and the least number of words that it follows there.
 RUN, LONGEST, LIFT, LEAST = 5, 12, 60, 8

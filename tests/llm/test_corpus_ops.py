@@ -359,3 +359,43 @@ def test_pipeline(spark, sf_dir):
     assert 0 < len(kept) < docs.count()
     texts = [" ".join((r["text"] or "").split()) for r in docs.filter(docs.doc_id.isin(list(kept))).collect()]
     assert len(texts) == len(set(texts))
+
+
+def test_filter_stages_act_on_the_verdicts_of_the_queries(spark, tmp_path):
+    """Too few labels make the score the share of ones among them: 0.4 is toxic, 0.25 is poor."""
+    import corpus_pipeline as P
+    from fringelake.llm.common import crc_mod
+    from fringelake.llm.queries import QUERIES
+
+    texts = [(k, f"text number {k}") for k in range(60)]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    seen = [r["doc_id"] for r in docs.filter((crc_mod("doc_id", 4) != 2) & (crc_mod("doc_id", 5) != 0)).orderBy("doc_id").collect()]
+    toxic = [(k, None, int(n < 2)) for n, k in enumerate(seen[:5])]
+    good = [(k, int(n < 1), None) for n, k in enumerate(seen[5:9])]
+    spark.createDataFrame(toxic + good, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    for name, stage, stays in (("op1_toxicity", P.drop_toxic, 0), ("op7_quality_classifier", P.drop_poor, 1)):
+        told = QUERIES[name](spark, str(tmp_path)).collect()
+        assert {round(r["score"], 9) for r in told} == {0.4 if stays == 0 else 0.25}
+        want = {r["doc_id"] for r in told if r["predicted"] == stays}
+        assert {r["doc_id"] for r in stage(spark, docs, str(tmp_path)).collect()} == want
+
+
+def test_run_keeps_what_the_verdicts_leave(spark, sf_dir, tmp_path):
+    """Brute force: the queries' verdicts one after the other, then the least id of equal texts; no other document is packed."""
+    import corpus_pipeline as P
+    from fringelake.llm.queries import QUERIES
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for number, (name, stays) in enumerate((("op1_toxicity", 0), ("op7_quality_classifier", 1))):
+        folder = tmp_path / str(number)
+        docs.write.parquet(str(folder / "documents.parquet"))
+        spark.read.parquet(f"{sf_dir}/labels.parquet").write.parquet(str(folder / "labels.parquet"))
+        verdict = QUERIES[name](spark, str(folder)).filter(f"predicted = {stays}").select("doc_id").distinct()
+        docs = spark.read.parquet(str(folder / "documents.parquet")).join(verdict, "doc_id", "left_semi")
+    least = {}
+    for r in docs.orderBy("doc_id").collect():
+        least.setdefault(" ".join((r["text"] or "").split()), r["doc_id"])
+    left = P.drop_near_copies(spark, docs.filter(docs.doc_id.isin(list(least.values()))), sf_dir)
+    packed = {r["doc_id"] for r in P.run(spark, sf_dir).select("doc_id").distinct().collect()}
+    assert packed == {r["doc_id"] for r in left.collect() if (r["text"] or "").split()}
