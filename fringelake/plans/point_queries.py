@@ -77,7 +77,9 @@ BOUNDS = (
 
 
 def assigned(fx, spark):
-    return points.assign_patches(fx.fx_ps, points.patch_bounds(spark, 20, 25, 2, 2, 2))
+    """Two by two patches over the extent of the points. The SQL's extent is fixed at 20 by 25, that of 500 points."""
+    rows, cols = fx.fx_ps.agg(F.coalesce(F.max("row") + 1, F.lit(0)), F.coalesce(F.max("col") + 1, F.lit(0))).first()
+    return points.assign_patches(fx.fx_ps, points.patch_bounds(spark, rows, cols, 2, 2, 2))
 
 
 @query("patch_assign_overlap", "fx_ps", f"WITH {BOUNDS} SELECT ps_id, patch, in_core FROM k")

@@ -42,6 +42,13 @@ def test_query_matches_sql(spark, sf_dir, duck, name):
     pd.testing.assert_frame_equal(cells(got), cells(want), check_dtype=False)
 
 
+def test_patches_hold_every_point(spark):
+    """2,000 points, in 80 rows."""
+    told = registry.QUERIES["patch_assign_overlap"](spark, "/root/testdata/sf0.1")
+    assert told.filter("in_core").count() == told.select("ps_id").distinct().count() == 2000
+    assert registry.QUERIES["patch_overlap_merge"](spark, "/root/testdata/sf0.1").count() == 2000
+
+
 def test_topofit_finds_planted_slopes():
     draw = np.random.default_rng(0)
     b = np.linspace(-100, 100, 30)
