@@ -35,8 +35,12 @@ def estimate_coherence(phase: DataFrame, bperp: list[float], wraps: float) -> Da
     return stacked(phase, len(b)).mapInPandas(fit, "ps_id long, k double, c double, coh double")
 
 
-def filter_grid(grid: DataFrame, method: str = "goldstein", **settings) -> DataFrame:
-    """gi, gj, ifg_id, re, im of each interferogram's grid, filtered; a group is one grid."""
+def filter_grid(grid: DataFrame, method: str = "goldstein", cutoff: float = 800.0, pixel: float = 100.0, **settings) -> DataFrame:
+    """gi, gj, ifg_id, re, im of each interferogram's grid, filtered; a group is one grid. The adaptive filter's low-pass lets
+    through wavelengths above `cutoff`, in the units of `pixel`, the size of a cell."""
+    if method == "adaptive":
+        settings = {"size": 24, "pad": 8} | settings
+        settings.setdefault("low_pass", kernels.butterworth(settings["size"] + settings["pad"], cutoff, pixel))
 
     def one(pdf):
         i, j = pdf["gi"].to_numpy() - 1, pdf["gj"].to_numpy() - 1

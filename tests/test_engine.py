@@ -91,6 +91,18 @@ def test_filters_smooth_noise():
     assert kernels.butterworth(8, 800, 50)[0, 0] == 1
 
 
+def test_adaptive_filter_has_its_low_pass(spark):
+    """Without the adaptive part, a wave along the rows at the cutoff is halved, and a constant stays."""
+    response = kernels.butterworth(4, 800, 100)[0]
+    assert np.allclose(response, [1, 1 / 1025, 1 / 1048577, 1 / 1025])
+    waves = {1: [1.0] * 8, 2: [np.exp(2j * np.pi * i / 8) for i in range(8)]}
+    rows = [(i + 1, j + 1, k, float(np.real(w[i])), float(np.imag(w[i]))) for k, w in waves.items() for i in range(8) for j in range(8)]
+    grid = spark.createDataFrame(rows, "gi long, gj long, ifg_id long, re double, im double")
+    for r in blocks.filter_grid(grid, "adaptive", size=8, pad=0, beta=0.0).collect():
+        want = waves[r["ifg_id"]][r["gi"] - 1] * (1 if r["ifg_id"] == 1 else 0.5)
+        assert abs(complex(r["re"], r["im"]) - want) < 1e-9
+
+
 def test_robust_fits():
     draw = np.random.default_rng(4)
     x, y = draw.uniform(0, 5000, (2, 300))
