@@ -13,7 +13,7 @@ class Settings:
     filter_size: int = 8
     wraps: float = 1.0
     percent_random: float = 20.0
-    random_rows: int = 20_000
+    random_rows: int = 300_000
     weed_std: float = 1.2
     weed_max: float = 3.2
     weed_window: float = 730.0

@@ -121,6 +121,18 @@ def _(fx, spark):
     return points.adjacent_groups(scattered(fx))
 
 
+@query(
+    "adjacent_groups_whole", "fx_ps",
+    "WITH RECURSIVE f AS (SELECT i.ps_id AS a, min(j.ps_id) AS b FROM fx_ps i JOIN fx_ps j"
+    " ON abs(i.row - j.row) <= 1 AND abs(i.col - j.col) <= 1 AND i.ps_id <> j.ps_id GROUP BY i.ps_id), l AS (SELECT a, b FROM f UNION SELECT b, a FROM f),"
+    " r AS (SELECT ps_id AS node, ps_id AS seen FROM fx_ps UNION SELECT r.node, l.b FROM r JOIN l ON l.a = r.seen),"
+    " g AS (SELECT node AS ps_id, min(seen) AS grp FROM r GROUP BY node), b AS (SELECT ps_id, grp, row_number() OVER (PARTITION BY grp ORDER BY coh DESC, ps_id) = 1 AS keep FROM g JOIN fx_ps USING (ps_id))"
+    ' SELECT ps_id, grp AS "group", keep FROM b',
+)
+def _(fx, spark):
+    return points.adjacent_groups(fx.fx_ps)
+
+
 ARCS = "arcs AS (SELECT ps_id AS edge_id, ps_id AS a, ps_id + 1 AS b FROM fx_ps WHERE col < 24 AND ps_id + 1 IN (SELECT ps_id FROM fx_ps))"
 DIFF = ARCS + ", ad AS (SELECT edge_id, a, b, p.ifg_id, atan2(sin(q.phi - p.phi), cos(q.phi - p.phi)) AS dphi FROM arcs JOIN fx_phase p ON p.ps_id = a JOIN fx_phase q ON q.ps_id = b AND q.ifg_id = p.ifg_id)"
 
@@ -240,6 +252,16 @@ def _(fx, spark):
     return points.gaussian_filter(fx.fx_ps, fx.fx_phase.filter("ifg_id <= 8"), 30.0).withColumn("v", r6("v"))
 
 
+@query(
+    "gaussian_spatial_filter_whole", "fx_ps fx_phase",
+    "WITH w AS (SELECT p.ps_id, q.ps_id AS other, exp(-(power(p.x - q.x, 2) + power(p.y - q.y, 2)) / (2 * 30 * 30)) AS w FROM fx_ps p JOIN fx_ps q"
+    " ON abs(p.x - q.x) < 120 AND abs(p.y - q.y) < 120 AND sqrt(power(p.x - q.x, 2) + power(p.y - q.y, 2)) < 120)"
+    " SELECT w.ps_id, ifg_id, round(sum(w * phi) / sum(w), 6) + 0.0 AS v FROM w JOIN fx_phase f ON f.ps_id = w.other GROUP BY w.ps_id, ifg_id",
+)
+def _(fx, spark):
+    return points.gaussian_filter(fx.fx_ps, fx.fx_phase, 30.0).withColumn("v", r6("v"))
+
+
 @query(
     "nearest_node", "fx_ps",
     "WITH s AS (SELECT * FROM fx_ps WHERE ps_id % 17 = 0), d AS (SELECT p.ps_id, s.ps_id AS other, sqrt(power(p.x - s.x, 2) + power(p.y - s.y, 2)) AS d FROM fx_ps p, s)"
@@ -312,16 +334,29 @@ def _(fx, spark):
     return fx.fx_ps.select("ps_id", (F.round(s, 3) + F.lit(0.0)).alias("slant"), r6(geometry.look_angle(s, ORBIT, EARTH)).alias("look"), r6(geometry.incidence_angle(s, ORBIT, EARTH)).alias("incidence"))
 
 
+def perpendiculars(fx, ifgs):
+    s = geometry.slant_range(geometry.original_index(F.col("col"), 10), NEAR, STEP)
+    met = fx.fx_ps.select("ps_id", "row", geometry.look_angle(s, ORBIT, EARTH).alias("look")).crossJoin(F.broadcast(ifgs))
+    cross = geometry.baseline_at(F.col("bperp"), F.lit(0.1), F.col("row"), 10, 1680)
+    return met.select("ps_id", "ifg_id", r6(geometry.perpendicular(cross, F.col("bperp") / 3, F.col("look"))).alias("b"))
+
+
 @query(
     "bperp_geometry", "fx_ps fx_ifgs",
     "WITH s AS (SELECT ps_id, row, 830000.0 + (col * 10 + 4.5) * 7.8 AS s FROM fx_ps), l AS (SELECT ps_id, row, acos((7070000.0::DOUBLE * 7070000.0 + s * s - 6371000.0::DOUBLE * 6371000.0) / (2 * 7070000.0 * s)) AS look FROM s)"
     " SELECT ps_id, ifg_id, round((bperp + 0.1 * (row - 10) / 1680) * cos(look) - (bperp / 3) * sin(look), 6) + 0.0 AS b FROM l, fx_ifgs WHERE ifg_id <= 10",
 )
 def _(fx, spark):
-    s = geometry.slant_range(geometry.original_index(F.col("col"), 10), NEAR, STEP)
-    met = fx.fx_ps.select("ps_id", "row", geometry.look_angle(s, ORBIT, EARTH).alias("look")).crossJoin(F.broadcast(fx.fx_ifgs.filter("ifg_id <= 10")))
-    cross = geometry.baseline_at(F.col("bperp"), F.lit(0.1), F.col("row"), 10, 1680)
-    return met.select("ps_id", "ifg_id", r6(geometry.perpendicular(cross, F.col("bperp") / 3, F.col("look"))).alias("b"))
+    return perpendiculars(fx, fx.fx_ifgs.filter("ifg_id <= 10"))
+
+
+@query(
+    "bperp_geometry_whole", "fx_ps fx_ifgs",
+    "WITH s AS (SELECT ps_id, row, 830000.0 + (col * 10 + 4.5) * 7.8 AS s FROM fx_ps), l AS (SELECT ps_id, row, acos((7070000.0::DOUBLE * 7070000.0 + s * s - 6371000.0::DOUBLE * 6371000.0) / (2 * 7070000.0 * s)) AS look FROM s)"
+    " SELECT ps_id, ifg_id, round((bperp + 0.1 * (row - 10) / 1680) * cos(look) - (bperp / 3) * sin(look), 6) + 0.0 AS b FROM l, fx_ifgs",
+)
+def _(fx, spark):
+    return perpendiculars(fx, fx.fx_ifgs)
 
 
 @query(
@@ -444,4 +479,4 @@ def _(fx, spark):
 def _(fx, spark):
     from fringelake.operators import blocks
 
-    return blocks.random_histogram(spark, baselines(fx), 1.0, rows=4000, parts=8)
+    return blocks.random_histogram(spark, baselines(fx), 1.0)

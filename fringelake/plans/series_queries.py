@@ -110,6 +110,11 @@ def _(fx, spark):
     return series.covariance(fx.fx_phase.filter("ifg_id <= 16")).withColumn("cov", r6("cov"))
 
 
+@query("ifg_covariance_whole", "fx_phase", "SELECT p.ifg_id AS i, q.ifg_id AS j, round(covar_samp(p.phi, q.phi), 6) + 0.0 AS cov FROM fx_phase p JOIN fx_phase q USING (ps_id) WHERE p.ifg_id <= q.ifg_id GROUP BY 1, 2")
+def _(fx, spark):
+    return series.covariance(fx.fx_phase).withColumn("cov", r6("cov"))
+
+
 @query(
     "reference_centering", "fx_ps fx_phase",
     "WITH m AS (SELECT ifg_id, avg(phi) AS m FROM fx_phase JOIN fx_ps USING (ps_id) WHERE x < 200 AND y < 200 GROUP BY ifg_id) SELECT ps_id, ifg_id, round(phi - m, 6) + 0.0 AS phi FROM fx_phase JOIN m USING (ifg_id)",
@@ -231,6 +236,15 @@ def _(fx, spark):
     return verify.without_outliers(fx.customer.filter("c_custkey % 3 = 0 OR c_acctbal > 9000"), "c_acctbal").select("c_custkey")
 
 
+@query(
+    "outlier_filter_whole", "customer",
+    "WITH q AS (SELECT quantile_cont(c_acctbal, 0.25) AS a, quantile_cont(c_acctbal, 0.75) AS b FROM customer) SELECT c_custkey FROM customer, q"
+    " WHERE c_acctbal BETWEEN a - 1.5 * (b - a) AND b + 1.5 * (b - a)",
+)
+def _(fx, spark):
+    return verify.without_outliers(fx.customer, "c_acctbal").select("c_custkey")
+
+
 @query("compare_fields", "lineitem", "SELECT l_returnflag, round(avg(l_discount - l_tax), 6) + 0.0 AS bias, round(sqrt(avg(power(l_discount - l_tax, 2))), 6) + 0.0 AS rmse, round(avg(abs(l_discount - l_tax)), 6) + 0.0 AS mae FROM lineitem GROUP BY l_returnflag")
 def _(fx, spark):
     told = fx.lineitem.groupBy("l_returnflag").agg(*verify.compare_fields(F.col("l_discount"), F.col("l_tax")))

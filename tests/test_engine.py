@@ -49,6 +49,15 @@ def test_patches_hold_every_point(spark):
     assert registry.QUERIES["patch_overlap_merge"](spark, "/root/testdata/sf0.1").count() == 2000
 
 
+def test_whole_tables(spark, sf_dir):
+    rows = {name: registry.QUERIES[name](spark, sf_dir) for name in registry.QUERIES if name.endswith("_whole")}
+    counts = {name: df.count() for name, df in rows.items()}
+    assert counts["adjacent_groups_whole"] == 500 and counts["ifg_covariance_whole"] == 64 * 65 // 2
+    assert counts["gaussian_spatial_filter_whole"] == counts["bperp_geometry_whole"] == 500 * 64
+    assert counts["outlier_filter_whole"] == spark.read.parquet(f"{sf_dir}/customer.parquet").count()  # balances are uniform
+    assert registry.QUERIES["random_coherence_histogram"](spark, sf_dir).agg(F.sum("n")).first()[0] == 300_000 == Settings().random_rows
+
+
 def test_topofit_finds_planted_slopes():
     draw = np.random.default_rng(0)
     b = np.linspace(-100, 100, 30)
