@@ -232,7 +232,7 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     """page_id, url, text, n_chars."""
     read = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), text_of(html_col).alias("html"))
     chosen = read.filter(F.col("html").rlike("(?i)<(article|main)[ >]")).select("page_id", F.substring("html", 1, CHARS).alias("html"))
-    sample = first_by_hash(chosen, "page_id", PAGES, pages.count()).collect()
+    sample = first_by_hash(chosen, "page_id", PAGES, chosen.count()).collect()
     weights = pages.sparkSession.sparkContext.broadcast(learn([row["html"] for row in sample]))
     return read.mapInArrow(lambda batches: _extracted(batches, weights), "page_id long, url string, text string, n_chars long")
 

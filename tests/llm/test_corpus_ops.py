@@ -399,3 +399,14 @@ def test_run_keeps_what_the_verdicts_leave(spark, sf_dir, tmp_path):
     left = P.drop_near_copies(spark, docs.filter(docs.doc_id.isin(list(least.values()))), sf_dir)
     packed = {r["doc_id"] for r in P.run(spark, sf_dir).select("doc_id").distinct().collect()}
     assert packed == {r["doc_id"] for r in left.collect() if (r["text"] or "").split()}
+
+
+def test_html_sample_does_not_shrink_with_the_share_of_articles(spark, monkeypatch):
+    from fringelake.llm import html_extract as H
+
+    seen = []
+    learn = H.learn
+    monkeypatch.setattr(H, "learn", lambda pages: seen.append(len(pages)) or learn(pages))
+    pages = [(k, "u", "<article><p>Some words of it here.</p></article>" if k % 40 == 0 else "<p>none</p>") for k in range(4000)]
+    H.extract_pages(spark.createDataFrame(pages, "page_id long, url string, html string"))
+    assert seen == [100]
