@@ -70,6 +70,48 @@ def without_rows(docs: DataFrame, row_id: str, dropped: DataFrame, n_dropped: in
     return docs.join(side, row_id, "left_anti")
 
 
+class Memo:
+    """Results by key, of which those used of late are kept: a key met again moves to the young half, and when that has more
+    than `size` keys it becomes the old half, whose other keys are forgotten. So common words stay, and words that occur once
+    do not push them out."""
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def of(self, keys: list, compute) -> list:
+        """The result of each of the distinct keys; `compute` maps a list of new keys to theirs."""
+        young, old = self.young, self.old
+        found = list(map(young.get, keys))
+        new = []
+        for k, value in enumerate(found):
+            if value is None:
+                key = keys[k]
+                value = found[k] = old.get(key)
+                if value is None:
+                    new.append(k)
+                else:
+                    young[key] = value
+        for k, value in zip(new, compute([keys[k] for k in new])):
+            found[k] = young[keys[k]] = value
+        if len(young) > self.size:
+            self.old, self.young = young, {}
+        return found
+
+
+def joined_by_row(parts, of_unique, offsets) -> list[memoryview]:
+    """For each row the concatenation of its parts' results. parts: a dictionary-encoded Arrow array; of_unique: a binary array
+    with the result of each entry of its dictionary; offsets: where each row's parts begin, and the end."""
+    import numpy as np
+
+    laid = of_unique.take(parts.indices)
+    _, ends, data = laid.buffers()
+    if data is None or not len(laid):
+        return [memoryview(b"")] * (len(offsets) - 1)
+    at = np.frombuffer(ends, np.int32, len(laid) + 1, laid.offset * 4)[np.asarray(offsets)].tolist()
+    whole = memoryview(data)
+    return [whole[a:b] for a, b in zip(at, at[1:])]
+
+
 def blocks(batch, column: str, limit: int = BLOCK_BYTES):
     """Slices of an Arrow batch with about `limit` bytes of text each; a longer row stands alone."""
     import numpy as np

@@ -14,41 +14,80 @@ their pieces; pieces of full length stand alone; no rows in, no rows out; other
 from __future__ import annotations
 
 import zlib
-from array import array
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fringelake.llm.common import blocks, checkpointed, text_of
+from fringelake.llm.common import Memo, blocks, checkpointed, joined_by_row, text_of
 
 LENGTH, END = 2048, 0
-#: Words that a worker process remembers, from task to task; patterns that are fitted; steps of the fit.
-KNOWN, PATTERNS, STEPS = 250_000, 60_000, 400
+#: Words that each half of a worker's memory holds, from task to task; words in a line for the tokenizer; bytes of text at once.
+KNOWN, WORDS, BLOCK = 200_000, 200, 8 << 20
+#: Patterns that are fitted; steps of the fit.
+PATTERNS, STEPS = 60_000, 400
+
+
+#: Letters that lower-casing keeps single, and marks that may end a word (fixed values).
+_LETTERS, _MARKS = "A-Za-zÀ-ÖØ-öø-įı-ɏ", ".,;:!?"
+_EMPTY = b""
 
 
 class WordTokenizer:
-    """Ids of texts by a tokenizer whose tokens never cross ASCII white space: each distinct word is encoded once."""
+    """Ids of texts by a tokenizer whose tokens never cross ASCII white space: each distinct word of a block is looked up once,
+    and encoded only if it was not met of late (``Memo``). Where the tokenizer lower-cases and cuts letters from marks, words
+    of letters are looked up in lower case and without the marks that end them."""
 
     def __init__(self, source: str):
         from tokenizers import Tokenizer
 
-        self.source, self.tokenizer, self.known = source, Tokenizer.from_str(source), {}
-
-    def encode_all(self, texts: list[bytes]) -> list[bytes]:
-        known, cut = self.known, [text.split() for text in texts]
-        new = list({word for words in cut for word in words if word not in known})
-        for start in range(0, len(new), 10_000):
-            some = new[start : start + 10_000]
-            coded = self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
-            known |= {word: array("I", code.ids).tobytes() for word, code in zip(some, coded)}
-        coded = [b"".join(map(known.__getitem__, words)) for words in cut]
-        for word in islice(new, max(0, KNOWN - len(known) + len(new)), None):
-            del known[word]
-        return coded
+        self.source, self.tokenizer, self.known = source, Tokenizer.from_str(source), Memo(KNOWN)
+        special = {i: t.content for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not t.normalized}
+        self.separator = max(special.items(), default=None)
+        normalizer, cutter = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        self.folds = bool(normalizer and cutter) and normalizer.normalize_str("Ab") == "ab" and [p for p, _ in cutter.pre_tokenize_str("ab" + _MARKS)] == ["ab", _MARKS]
+
+    def _encoded(self, words: list[str]) -> list[bytes]:
+        """Ids of each word. Words go to the tokenizer in lines of WORDS with a special token between them."""
+        encode = self.tokenizer.encode_batch_fast
+        ids = lambda some: [np.array(code.ids, "<u4") for code in encode(some, add_special_tokens=False)]
+        if self.separator is None:
+            return [x.tobytes() for x in ids(words)]
+        number, between = self.separator
+        odd = [k for k, word in enumerate(words) if between in word]
+        for k, own in zip(odd, ids([words[k] for k in odd])):
+            words[k] = own
+        plain = [k for k, word in enumerate(words) if isinstance(word, str)]
+        for start in range(0, len(plain), WORDS):
+            some = plain[start : start + WORDS]
+            line = ids([between.join([words[k] for k in some])])[0]
+            ends = np.append(np.flatnonzero(line == number), len(line)) * 4
+            data, begin = line.tobytes(), 0
+            for k, end in zip(some, ends.tolist(), strict=True):
+                words[k] = data[begin:end]
+                begin = end + 4
+        return [bytes(word) if isinstance(word, bytes) else word.tobytes() for word in words]
+
+    def _of_words(self, words: pa.Array) -> pa.Array:
+        """The ids of distinct words."""
+        if not self.folds:
+            return pa.array(self.known.of(words.to_pylist(), self._encoded), pa.binary())
+        core = pc.utf8_rtrim(words, characters=_MARKS)
+        plain = pc.match_substring_regex(core, f"^[{_LETTERS}]+$")
+        key = pc.if_else(plain, pc.ascii_lower(core), words)
+        tail = pc.if_else(plain, pc.replace_substring_regex(words, f"^[{_LETTERS}]+", ""), "")
+        units = pa.concat_arrays([key, tail]).dictionary_encode()
+        ids = pa.array(self.known.of(units.dictionary.to_pylist(), self._encoded), pa.binary())
+        return pc.binary_join_element_wise(ids.take(units.indices[: len(words)]), ids.take(units.indices[len(words) :]), _EMPTY)
+
+    def encode_all(self, texts: pa.Array) -> list[memoryview]:
+        cut = pc.ascii_split_whitespace(texts)
+        words = cut.flatten().dictionary_encode()
+        offsets = cut.offsets.to_numpy()
+        return joined_by_row(words, self._of_words(words.dictionary), offsets - offsets[0])
 
 
 _TOKENIZER: list[WordTokenizer] = []
@@ -73,11 +112,11 @@ def _cut(batches, source, length: int, end: int):
     names = [c.split()[0] for c in _PIECES.split(", ")]
     types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
     for batch in batches:
-        for part in blocks(batch, "t"):
+        for part in blocks(batch, "t", BLOCK):
             rows = []
-            coded = tokenizer.encode_all(part.column("t").cast(pa.binary()).to_pylist())
+            coded = tokenizer.encode_all(part.column("t"))
             for doc, ids in zip(part.column("id").to_pylist(), coded):
-                ids = memoryview(ids + last)
+                ids = memoryview(bytes(ids) + last)
                 for piece, begin in enumerate(range(0, len(ids), whole)):
                     some = ids[begin : begin + whole]
                     n = len(some) // 4

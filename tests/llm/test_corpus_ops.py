@@ -188,6 +188,44 @@ def test_packing(docs, none, spark):
     assert K.pack_documents(none).count() == 0
 
 
+def test_word_tokenizer_is_the_tokenizer(monkeypatch):
+    """Folding, lines with separators and a memory that forgets change no id."""
+    import pyarrow as pa
+    import public_tokenizers as P
+
+    from fringelake.llm import packing as K
+
+    monkeypatch.setattr(K, "KNOWN", 40)
+    monkeypatch.setattr(K, "WORDS", 7)
+    words = K.WordTokenizer(open(P.path("word_bpe_49k.json"), encoding="utf-8").read())
+    draw = np.random.default_rng(5)
+    bits = ["Ab", "cd", "É", "ß", "İ", "H\u0331", "'s", "'", ".", ",;", "1", "23", "漢", "🙂", " ", "  ", "\n", "\t", "\x1c", "\xa0", "×", "<|endoftext|>", "<|startoftext|>", "<|endof"]
+    texts = ["".join(draw.choice(bits, int(n))) for n in draw.integers(0, 12, 3000)]
+    for some in (texts[:1500], texts[1000:]):
+        got = words.encode_all(pa.array(some))
+        want = words.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == [x.ids for x in want]
+
+
+def test_byte_bpe_of_awkward_white_space(monkeypatch):
+    import public_tokenizers as P
+    import pyarrow as pa
+    import tiktoken
+
+    from fringelake.llm import bpe as B
+
+    monkeypatch.setattr(B, "KNOWN", 30)
+    ranks = B.load_ranks(P.path("byte_bpe_50k.tiktoken"))
+    truth = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    encoder = B.TextEncoder(B.Merges(ranks), P.PATTERN)
+    draw = np.random.default_rng(6)
+    bits = ["a", "bc", " ", "  ", "\n", "\xa0", "\u2009", "\u3000", "'s", "1", ".", "é", "漢", "🙂", "\x85", "\x1c", "\r\n", "\u200b", "\u180e", "\ufeff", "\x00"]
+    texts = ["".join(draw.choice(bits, int(n))) for n in draw.integers(0, 12, 4000)]
+    got = [bytes(x) for x in encoder.encode_all(pa.array(texts))]
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [truth.encode_ordinary(t) for t in texts]
+    assert [bytes(x).decode() for x in encoder.decode_all(got)] == texts
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_packing_plan_is_tight(seed):
     from fringelake.llm import packing as K
