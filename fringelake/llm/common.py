@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,24 +41,64 @@ def fresh(name: str) -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names, which all executors share; only where none is set (tests, one
-    machine) a folder of the warehouse is set instead."""
+    """The folder that ``spark.checkpoint.dir`` names, which all executors share. Where none is set, a folder of the warehouse
+    is set instead on a local master (tests, one machine), and anything else is an error: executors would not see it."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(
-            spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
-        )
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not context.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
     return context._jsc.sc().getCheckpointDir().get()
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder of the shared store."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def first_by_hash(df: DataFrame, id_col: str, n: int, total: int) -> DataFrame:
     """The n rows whose ids have the smallest hashes, of about `total`. Rows beyond a hash that 4 n rows are expected to lie
-    below are filtered where they are read, so that the driver gets about 4 n rows however many tasks there are."""
+    below are filtered where they are read, so that the driver gets about 4 n rows however many tasks there are; where so many
+    ids are alike that fewer than n lie below it, all rows are ordered."""
     if total > 4 * n:
-        df = df.filter(F.xxhash64(id_col) <= int(-(2**63) + 4 * n / total * 2**64))
+        below = df.filter(F.xxhash64(id_col) <= int(-(2**63) + 4 * n / total * 2**64))
+        if below.limit(n).count() == n:
+            df = below
     return df.orderBy(F.xxhash64(id_col), id_col).limit(n)
 
 
+def _from_files(docs: DataFrame) -> bool:
+    """Whether docs is a file source under projections and filters alone, so that each row is one row of a file."""
+    node = docs._jdf.queryExecution().analyzed()
+    while node.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        node = node.children().head()
+    return node.nodeName() == "LogicalRelation"
+
+
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """docs with a column `name` that tells its rows apart and is the same whenever they are read, however the files are
+    split: the digest of the file's name and the row's place in the file. Rows that are not read from (distinct) Parquet files
+    are written to the checkpoint folder with a running number instead."""
+    if _from_files(docs):
+        try:
+            file = docs.metadataColumn("_metadata")
+            return docs.withColumn(name, F.struct(F.unhex(F.md5(file["file_path"])).alias("file"), file["row_index"].alias("at")))
+        except AnalysisException:  # a file source without row numbers
+            pass
+    return checkpointed(docs.withColumn(name, F.monotonically_increasing_id()))
+
+
+def salted_join(rows: DataFrame, side: DataFrame, on: list[str], salt_by: str, how: str = "inner", salts: int = 16) -> DataFrame:
+    """rows joined with side, which has one row per key: the rows of each key are dealt over `salts` tasks by `salt_by`, so that a
+    key with a third of all rows is no task of its own."""
+    salt = fresh("salt")
+    dealt = rows.withColumn(salt, F.pmod(F.xxhash64(salt_by), F.lit(salts)))
+    copied = side.withColumn(salt, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    return dealt.join(copied, [*on, salt], how).drop(salt)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """The rows, written to the shared checkpoint folder, so that a lost executor costs no recomputation."""
     shared_folder(df.sparkSession)

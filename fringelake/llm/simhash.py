@@ -23,8 +23,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from fringelake.llm.common import blocks, checkpointed, fresh, text_of, without_rows
+from fringelake.llm.common import blocks, checkpointed, fresh, numbered, text_of, without_rows
 from fringelake.llm.components import components
 
 #: Words in a shingle, seed of its hash, differing bits of a link.
@@ -73,10 +74,12 @@ def _fingerprinted(batches, size: int):
             yield pa.RecordBatch.from_arrays([*rest, pa.array(majority(flat, sizes).view(np.int64))], names=[*part.schema.names[:-1], "fp"])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE) -> DataFrame:
-    """row, id, fp (the 64 bits as a signed long)."""
-    read = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("t"))
-    return read.mapInArrow(lambda batches: _fingerprinted(batches, size), "row long, id long, fp long")
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, row: str | None = None) -> DataFrame:
+    """row (a number, or the column `row` of docs), id, fp (the 64 bits as a signed long)."""
+    at = F.monotonically_increasing_id() if row is None else F.col(row)
+    read = docs.select(at.alias("row"), F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("t"))
+    schema = T.StructType([*read.schema.fields[:2], T.StructField("fp", T.LongType())])
+    return read.mapInArrow(lambda batches: _fingerprinted(batches, size), schema)
 
 
 def cells(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -162,9 +165,9 @@ def links(distinct_fps: DataFrame, bits: int = BITS) -> DataFrame:
     return sorted_cells.mapInArrow(lambda batches: _linked(batches, bits), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, bits: int = BITS) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, bits: int = BITS, row: str | None = None) -> DataFrame:
     """row, id, fp, component_id (the smallest id that links reach) and kept, true for one row of each component."""
-    rows = checkpointed(fingerprints(docs, id_col, text_col, size))
+    rows = checkpointed(fingerprints(docs, id_col, text_col, size, row))
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first")
     nodes = checkpointed(rows.groupBy("fp").agg(first))
     joined = components(links(nodes, bits))
@@ -177,10 +180,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one row of each component. docs must be read from files, so that a second read has the same order."""
+    """docs with one row of each component."""
     row = fresh("row")
-    dropped = checkpointed(near_duplicates(docs, id_col, text_col).filter(~F.col("kept")).select(F.col("row").alias(row)))
-    return without_rows(docs.withColumn(row, F.monotonically_increasing_id()), row, dropped, dropped.count()).drop(row)
+    docs = numbered(docs, row)
+    dropped = checkpointed(near_duplicates(docs, id_col, text_col, row=row).filter(~F.col("kept")).select(F.col("row").alias(row)))
+    return without_rows(docs, row, dropped, dropped.count()).drop(row)
 
 
 def op3_simhash(spark, sf_dir: str) -> DataFrame:

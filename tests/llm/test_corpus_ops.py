@@ -68,6 +68,51 @@ def test_exact_dedup(docs, none):
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter(min((x for x in ids if x is not None), default=None) for ids in groups.values())
 
 
+@pytest.mark.parametrize("bits", [64, 1 << 26])
+def test_exact_dedup_with_a_crowded_map(docs, monkeypatch, bits):
+    """A map so small that every key shares its bit loses no row and joins no texts."""
+    from fringelake.llm import exact_dedup as E
+
+    monkeypatch.setattr(E, "MAP_BITS", bits)
+    got = Counter((r["id"], r["keep_id"], r["group_size"]) for r in E.exact_dedup(docs).collect())
+    assert got == Counter((r["id"], r["keep_id"], r["group_size"]) for r in E.exact_dedup(docs, digest=True).collect())
+
+
+@pytest.mark.parametrize("module, name", [("exact_dedup", "drop_copies"), ("simhash", "drop_near_duplicates")])
+def test_rows_keep_their_numbers_when_files_are_split_otherwise(spark, tmp_path, monkeypatch, module, name):
+    """Executors that come or go change how files are split between two reads of one table."""
+    import importlib
+
+    from fringelake.llm import common
+
+    made = importlib.import_module(f"fringelake.llm.{module}")
+    texts = [(k, f"some words {k % 700} that are {k % 700 * 7} and more of {k % 700 * 13} them") for k in range(2000)]
+    spark.createDataFrame(texts, "doc_id long, text string").repartition(6).write.option("parquet.block.size", 4096).parquet(str(tmp_path / "t"))
+    docs = spark.read.parquet(str(tmp_path / "t"))
+    assert common._from_files(docs) and not common._from_files(docs.join(docs.select("doc_id"), "doc_id"))
+    splits = iter(["1m", "4k", "64k", "1k"])
+    checkpointed, before = common.checkpointed, spark.conf.get("spark.sql.files.maxPartitionBytes")
+
+    def other_splits(frame):
+        spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", next(splits, "2k"))
+        return checkpointed(frame)
+
+    monkeypatch.setattr(made, "checkpointed", other_splits)
+    try:
+        kept = sorted(r["doc_id"] for r in getattr(made, name)(docs).collect())
+        texts_of_kept = {texts[k][1] for k in kept}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    if module == "exact_dedup":
+        assert kept == list(range(700))
+    else:
+        assert len(texts_of_kept) == len(kept) and max(kept) < 700
+        same = sorted(r["doc_id"] for r in getattr(made, name)(docs).collect())
+        assert kept == same
+
+
 def test_quality_ledger(docs, none):
     from fringelake.llm import quality_rules as Q
 
