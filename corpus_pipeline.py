@@ -2,7 +2,13 @@
 
 Each stage takes (spark, docs, sf_dir), works on all that the stage before kept, and returns the rows that stay with the
 columns of documents; the last one returns the packed pieces. Between stages the rows are written as Parquet and read
-again, so a lost executor costs no more than the stage in hand.
+again, so a lost executor costs no more than the stage in hand. What a stage wrote is deleted when the next one is written.
+
+Defined results, of the stages and of the whole: null text counts as empty; a null id is kept like any other row, never
+labelled, and stays of a group only if no other row of it has an id; of repeated rows one stays; without labels of both
+classes the first stage keeps all rows unless the labels that there are call most texts toxic, the second unless they call
+most texts poor; an empty table gives no rows; columns of documents beyond id and text, whatever their names, are carried
+along to the last stage and never looked at.
 """
 
 from __future__ import annotations
@@ -12,7 +18,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from fringelake.llm import exact_dedup, packing, quality_model, simhash, toxicity
-from fringelake.llm.common import shared_folder, table
+from fringelake.llm.common import remove_folder, shared_folder, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +49,8 @@ STAGES = [
     ("best-fit packing", pack),
 ]
 
-#: Compression lengths, a trained network and a tokenizer are not SQL; the stages are tested against brute force.
+#: Compression lengths, a trained network and a tokenizer are not SQL; run() is tested against the queries' verdicts, the least
+#: ids of equal texts and brute-force links of fingerprints.
 ORACLE_SQL = None
 
 
@@ -53,4 +60,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for number, (_, stage) in enumerate(STAGES[:-1]):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{number}")
         docs = spark.read.parquet(f"{folder}/{number}")
+        if number:
+            remove_folder(spark, f"{folder}/{number - 1}")
     return STAGES[-1][1](spark, docs, sf_dir)
