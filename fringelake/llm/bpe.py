@@ -8,7 +8,7 @@ rebuilt from there. Reading the table backwards gives the encoding, which is tha
 
 The ranks and the pattern that cuts a text into pieces are parameters; pieces are encoded separately. Text is cut before
 each single space that a non-space follows, where no piece can cross, so equal words are encoded once per worker and
-looked up afterwards; a worker process remembers the first ``KNOWN`` words that it meets, from task to task.
+looked up afterwards; a worker process remembers the words and the pieces that it met of late (``Memo``), from task to task.
 
 Defined results: null text counts as empty; empty text has no ids; white space and very long words are pieces like any
 other; a null id is kept; repeated rows each get their row; no rows in, no rows out; other columns are not looked at.
@@ -20,7 +20,6 @@ import base64
 import hashlib
 import re
 from array import array
-from itertools import islice
 from os.path import commonprefix
 
 import numpy as np
@@ -28,12 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fringelake.llm.common import blocks, text_of
+from fringelake.llm.common import Memo, blocks, joined_by_row, text_of
 
-KNOWN = 250_000
+#: Words, and pieces, that each half of a worker's memory holds; bytes of text at once.
+KNOWN, BLOCK = 150_000, 8 << 20
 #: White_Space of Unicode, which is what \s means to the pattern's own engine.
 _SPACE = r"\t-\r \x85\xa0  -     　"
-_CUT = re.compile(r" (?=\S)")
+#: Bytes that may begin a word after a space: none of white space, and not the first bytes of white space beyond ASCII.
+_BEGINS = np.array([k > 32 and k != 127 and k not in (0xC2, 0xE1, 0xE2, 0xE3) for k in range(256)])
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -141,9 +142,10 @@ class TextEncoder:
 
     def __init__(self, merges: Merges, pattern: str):
         self.merges, self.pattern = merges, piece_pattern(pattern)
-        self.known: dict[str, bytes] = {}
+        self.known, self.known_pieces = Memo(KNOWN), Memo(KNOWN)
+        self.bytes_of = pa.array([merges.token.get(i) for i in range(merges.base)], pa.binary())
 
-    def _pieces(self, pieces: set[str]) -> dict[str, list[int]]:
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
         """Ids of each piece. In sorted order neighbours share prefixes, whose part of the table stays as it is."""
         reached, found, table, shared = self.merges.reached.get, {}, PrefixEncoder(self.merges), commonprefix
         for data in sorted(piece.encode() for piece in pieces):
@@ -151,31 +153,48 @@ class TextEncoder:
             if whole is None:
                 begin = len(shared((table.data, data)))
                 table.replace(begin, len(table.data), data[begin:])
-                found[data.decode()] = table.ids()
+                ids = table.ids()
             else:  # the table would end with this token, from the empty prefix
-                found[data.decode()] = [whole]
-        return found
-
-    def _segments(self, segments: set[str]) -> dict[str, bytes]:
-        cut = {segment: self.pattern.findall(segment) for segment in segments}
-        ids = self._pieces({piece for pieces in cut.values() for piece in pieces})
-        return {segment: array("I", [i for piece in pieces for i in ids[piece]]).tobytes() for segment, pieces in cut.items()}
-
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        known, cut = self.known, [_CUT.split(text) for text in texts]
-        heads = self._segments({words[0] for words in cut})
-        new = list({word for words in cut for word in islice(words, 1, None) if word not in known})
-        known |= {word[1:]: ids for word, ids in self._segments({" " + word for word in new}).items()}
-        coded = [b"".join([heads[words[0]], *map(known.__getitem__, islice(words, 1, None))]) for words in cut]
-        for word in islice(new, max(0, KNOWN - len(known) + len(new)), None):
-            del known[word]
-        return coded
+                ids = [whole]
+            found[data] = array("I", ids).tobytes()
+        return [found[piece.encode()] for piece in pieces]
+
+    def _segments(self, segments: list[str]) -> list[bytes]:
+        cut = list(map(self.pattern.findall, segments))
+        distinct = list({piece for pieces in cut for piece in pieces})
+        ids = dict(zip(distinct, self.known_pieces.of(distinct, self._pieces)))
+        return [b"".join([ids[piece] for piece in pieces]) for pieces in cut]
+
+    def encode_all(self, texts: pa.Array) -> list[memoryview]:
+        """Texts are cut before each single space that a letter, digit or mark follows. Bytes that begin a white space of
+        Unicode count as white space here: fewer cuts change nothing."""
+        _, ends, data = texts.buffers()
+        if data is None or not len(texts):
+            return [memoryview(b"")] * len(texts)
+        ends = np.frombuffer(ends, np.int32, len(texts) + 1, texts.offset * 4)
+        low = int(ends[0])
+        own = np.frombuffer(data, np.uint8)[low : int(ends[-1])]
+        cut = np.zeros(len(own) + 1, bool)
+        cut[1:-2] = (own[1:-1] == 32) & _BEGINS[own[2:]] & (own[:-2] != 32) if len(own) > 2 else False
+        cut[ends - low] = True
+        begins = np.flatnonzero(cut)
+        segments = pa.Array.from_buffers(pa.string(), len(begins) - 1, [None, pa.py_buffer((begins + low).astype(np.int32)), data])
+        coded = segments.dictionary_encode()
+        ids = pa.array(self.known.of(coded.dictionary.to_pylist(), self._segments), pa.binary())
+        return joined_by_row(coded, ids, np.searchsorted(begins, ends - low))
 
     def encode(self, text: str) -> bytes:
-        return self.encode_all([text])[0]
+        return bytes(self.encode_all(pa.array([text], pa.string()))[0])
 
-    def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.merges.token.__getitem__, array("I", ids)))
+    def decode_all(self, ids: list[bytes]) -> list[memoryview]:
+        sizes = np.array([len(x) // 4 for x in ids], np.int64)
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        _, ends, data = self.bytes_of.take(pa.array(flat)).buffers()
+        if data is None or not len(flat):
+            return [memoryview(b"")] * len(ids)
+        at = np.frombuffer(ends, np.int32)[np.r_[0, np.cumsum(sizes)]].tolist()
+        whole = memoryview(data)
+        return [whole[a:b] for a, b in zip(at, at[1:])]
 
 
 #: The encoder of this worker process; tasks that follow use its known words.
@@ -193,18 +212,18 @@ def _encoded(batches, merges, pattern):
     encoder = _encoder(merges, pattern)
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     for batch in batches:
-        for part in blocks(batch, "t"):
-            ids = encoder.encode_all(part.column("t").to_pylist())
+        for part in blocks(batch, "t", BLOCK):
+            ids = encoder.encode_all(part.column("t"))
             n = pa.array([len(x) // 4 for x in ids], pa.int64())
-            digests = [pa.array([hashlib.sha256(x).hexdigest() for x in many]) for many in (ids, map(encoder.decode, ids))]
+            digests = [pa.array([hashlib.sha256(x).hexdigest() for x in many], pa.string()) for many in (ids, encoder.decode_all(ids))]
             yield pa.RecordBatch.from_arrays([part.column("id"), n, *digests], names=names)
 
 
 def _as_ids(batches, merges, pattern):
     encoder = _encoder(merges, pattern)
     for batch in batches:
-        for part in blocks(batch, "t"):
-            ids = [np.frombuffer(x, "<i4") for x in encoder.encode_all(part.column("t").to_pylist())]
+        for part in blocks(batch, "t", BLOCK):
+            ids = [np.frombuffer(x, "<i4") for x in encoder.encode_all(part.column("t"))]
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
 
