@@ -353,6 +353,77 @@ def test_html(spark):
     assert abs(sum(scores[first:last]) - max(sum(scores[a:b]) for a in range(60) for b in range(a + 1, 61))) < 1e-9
 
 
+NAMES = "header notice search-and-rescue share-price form-of-words widget-review related-work".split()
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_names_are_no_veto_inside_an_article(name):
+    from fringelake.llm import html_extract as H
+
+    page = "<nav><a href=x>Menu</a></nav><div class=ad>Buy it now</div><article><h1>Title</h1>%s<p>End.</p></article><footer>f</footer>"
+    section = f'<section class="{name}"><p>Some more words here.</p><div class="{name} note"><p>Inner.</p></div></section>'
+    for weights in (H.DEFAULT, H.learn([page % ""] * 50)):
+        assert H.extract(page % section, weights) == "Title Some more words here. Inner. End."
+        for out in ("comments", "ad", "cookie-notice", "sidebar", "ad-banner"):
+            assert H.extract(page % f'<div class="{out}"><p>Not of the article at all.</p></div>', weights) == "Title End."
+
+
+def test_names_are_learned_from_pages():
+    from fringelake.llm import html_extract as H
+
+    page = "<div class='teaser ad'>Buy it now for less</div><article><p>Words of it.</p><section class='comments'><p>These are part of the text.</p></section></article>"
+    weights = H.learn([page] * 400)
+    assert weights["name"]["teaser"] < -4 and weights["name"]["comments"] > -1
+    assert H.extract(page, weights) == "Words of it. These are part of the text."
+    assert H.extract("<article><p>One.</p><div class=teaser>out</div><p>Two.</p></article>", weights) == "One. Two."
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_unmarked_pages_give_the_best_region(seed):
+    """Brute force: of all runs of tokens the one with the largest sum, its words, and nothing else."""
+    from fringelake.llm import html_extract as H
+
+    draw = np.random.default_rng(seed)
+    tags = ["p", "div", "li", "a", "h2", "span", "section", "aside", "div class=ad", "div class=notice", "br"]
+    weights = H.learn(["<nav><ul><li><a>m</a></li></ul></nav><div class=x>side words</div><article><h2>t</h2><p>some words <span>of</span> it</p></article>"])
+    for weights in (H.DEFAULT, weights):
+        for _ in range(25):
+            word = iter(f"w{k}" for k in range(1000))
+            parts = []
+            for _ in range(int(draw.integers(1, 14))):
+                tag = str(draw.choice(tags))
+                text = " ".join(next(word) for _ in range(int(draw.integers(0, 9))))
+                parts.append(f"<{tag}> {text} " + (f"</{tag.split()[0]}>" if draw.random() < 0.7 else ""))
+            page = H.Page("".join(parts))
+            scores = H.scored(page, weights)
+            runs = [(sum(scores[a:b]), -a, b) for a in range(len(scores)) for b in range(a + 1, len(scores) + 1)]
+            best, a, b = max(runs, key=lambda r: (round(r[0], 9), r[1], -r[2]))
+            want = [w for (t, _), s in zip(page.tokens[-a:b], scores[-a:b]) if t and s > 0 for w in t.split()] if best > 0 else []
+            assert H.extract("".join(parts), weights).split() == want
+
+
+def test_links_and_boxes_around_unmarked_text_stay_out():
+    from fringelake.llm import html_extract as H
+
+    links = "<div class=links><ul>" + "".join(f"<li><a href=x>Link{k}</a></li>" for k in range(12)) + "</ul></div>"
+    text = "<h1>Head line</h1><p>First paragraph with <a href=y>a link</a> of it.</p><p>The second paragraph follows here.</p><p>End.</p>"
+    page = f"<header>Site</header>{links}<div class=content>{text}</div><div id=sidebar><p>side text</p></div>{links}<div class=comments><p>I say no to all that</p></div>"
+    want = "Head line First paragraph with a link of it. The second paragraph follows here. End."
+    marked = f"<nav><ul><li><a>m</a></li></ul></nav><div class=ad>side</div><article>{text}</article>"
+    assert H.extract(page) == want and H.extract(page, H.learn([marked] * 20)) == want
+
+
+@pytest.mark.parametrize("part", ["<div>", "<b>", "<p><b>", "<li>a", "<table><tr><td>", '<a href="x>', "<", "<!--", "<script>", "</p>", "<p class='", "<div></p>"])
+def test_pages_are_read_in_linear_time(part):
+    import time
+
+    from fringelake.llm import html_extract as H
+
+    began = time.process_time()
+    H.extract(part * (1_000_000 // len(part)))
+    assert time.process_time() - began < 3
+
+
 def test_lm_counts_and_shape(docs, none):
     from fringelake.llm import lm
 
