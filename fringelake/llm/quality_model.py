@@ -7,8 +7,8 @@ whose vectors are summed the same way. A document is the mean and the spread of
 neighbouring words, and the shares of repeated and of unknown words. A two-layer numpy network reads that; its probabilities are calibrated
 by one temperature, chosen on rows that it was not trained on.
 
-The fit uses a bounded sample (``labelled.ROWS`` labelled rows of each class, ``labelled.CHARS`` characters of each); every
-text is scored whole. Scoring is one pass without a shuffle.
+The fit uses a bounded sample of whole texts (``labelled.ROWS`` labelled rows of each class, ``labelled.CHARS`` characters of
+them in all); the model has vectors of its WORDS commonest words and as many affixes. Every text is scored whole. Scoring is one pass without a shuffle.
 
 Defined results: null text counts as empty; an empty text is scored from zero vectors; a null id is kept (and is never in
 the sample); repeated rows get equal scores; without labels of both classes the score is the share of good ones, 1 if
@@ -156,6 +156,14 @@ def _forward(x, layers):
     return hidden, hidden @ w2 + b2
 
 
+def slopes(x: np.ndarray, y: np.ndarray, share: np.ndarray, layers: list) -> list:
+    """Gradient of the weighted log loss with decay, by layer."""
+    hidden, out = _forward(x, layers)
+    error = (labelled.sigmoid(out) - y) * share
+    back = np.outer(error, layers[2]) * (1 - hidden**2)
+    return [x.T @ back + DECAY * layers[0], back.sum(axis=0), hidden.T @ error + DECAY * layers[2], error.sum()]
+
+
 def network(x: np.ndarray, y: np.ndarray, seed: int = 7) -> list:
     """Weights of a tanh layer and a logistic output, by Adam on all rows; both classes weigh the same."""
     draw = np.random.default_rng(seed)
@@ -163,11 +171,7 @@ def network(x: np.ndarray, y: np.ndarray, seed: int = 7) -> list:
     first, second = [np.zeros_like(w) for w in layers], [np.zeros_like(w) for w in layers]
     share = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
     for step in range(1, STEPS + 1):
-        hidden, out = _forward(x, layers)
-        error = (labelled.sigmoid(out) - y) * share
-        back = np.outer(error, layers[2]) * (1 - hidden**2)
-        slopes = [x.T @ back + DECAY * layers[0], back.sum(axis=0), hidden.T @ error + DECAY * layers[2], error.sum()]
-        for k, g in enumerate(slopes):
+        for k, g in enumerate(slopes(x, y, share, layers)):
             first[k] = 0.9 * first[k] + 0.1 * g
             second[k] = 0.999 * second[k] + 0.001 * g * g
             layers[k] = layers[k] - RATE * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)

@@ -485,6 +485,186 @@ def test_classifiers_without_labels(spark, docs, none):
     assert quality_model.fit([], np.zeros(0)).score(["a", ""]).tolist() == [1, 1]
 
 
+def test_sample_is_of_whole_texts_within_its_bounds(spark):
+    from fringelake.llm import labelled
+
+    docs = spark.createDataFrame([(k, "x" * (10 + k), k) for k in range(40)] + [(5, "y" * 30, 0), (50, "z" * 5000, 0)], "doc_id long, text string, y int")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)] + [(7, 1)], "doc_id long, toxic int")
+    ids, texts, y = labelled.sample(docs, labels, "toxic", 4, 2, chars=100, rows=12)
+    length = {k: 10 + k for k in range(40)} | {5: 30}
+    assert all(len(t) in (length[i], 15) for i, t in zip(ids, texts)) and 50 not in ids
+    for kind in (0, 1):
+        assert 0 < sum(len(t) for t, own in zip(texts, y) if own == kind) <= 100
+    whole = labelled.sample(docs, labels, "toxic", 4, 2)
+    assert whole[0] == sorted(i for i in [*range(40), 50] if zlib.crc32(str(i).encode()) % 4 != 2)
+    assert labelled.within([3, 9, 4, 4, 1], 8) == [0, 2, 4]
+
+
+def write_tables(spark, path, texts, labels):
+    """documents with columns of clashing names, and labels of a small corpus; texts as of (id, text)."""
+    rows_ = [(i, t, "en", "s", None, *(["x"] * 7)) for i, t in texts]
+    spark.createDataFrame(rows_, SCHEMA).repartition(3).write.mode("overwrite").parquet(str(path / "documents.parquet"))
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.mode("overwrite").parquet(str(path / "labels.parquet"))
+    return str(path)
+
+
+def labelled_corpus():
+    """Rude and plain texts, poor and good ones, and the awkward ones of TEXTS."""
+    draw = np.random.default_rng(3)
+    syllables = [a + b for a in "bdfgklmnprst" for b in "aeiou"]
+    word = lambda: "".join(draw.choice(syllables, int(draw.integers(1, 4))))
+    texts, labels = [], []
+    for k in range(240):
+        said = [word() for _ in range(int(draw.integers(20, 60)))]
+        if k % 3 == 0:
+            said = [w for x in said for w in (x, str(draw.choice(["halfwit", "numbskull"])))]
+        if k % 4 == 0:
+            said = [x + str(draw.choice(["###", "%%%", "&&&"])) for x in said]
+        texts.append((1000 + k, " ".join(said)))
+        labels.append((1000 + k, int(k % 4 != 0), int(k % 3 == 0)))
+    texts += [(r[0], r[1]) for r in rows()]
+    return texts, labels + [(None, 1, 1), (0, None, None), (1, 1, 0), (1, 1, 0)]
+
+
+def test_toxicity_query_by_plain_loops(spark, tmp_path):
+    """Each window is compressed by itself with compressors made anew, each feature is counted by itself."""
+    import zstandard
+
+    from fringelake.llm import toxicity as X
+
+    texts, labels = labelled_corpus()
+    path = write_tables(spark, tmp_path, texts, labels)
+    model = X.fitted(spark, spark.read.parquet(f"{path}/documents.parquet"), path)
+    level = zstandard.ZstdCompressionParameters.from_level(X.LEVEL)
+
+    def length(data, content):
+        raw = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        raw.precompute_compress(compression_params=level)
+        return len(zstandard.ZstdCompressor(compression_params=level, dict_data=raw).compress(data))
+
+    def brute(text):
+        said = (text or "").encode().lower().split()
+        excess = []
+        for k in range(0, len(said), X.WINDOW):
+            data = model.ordinary[: X.LEAD] + b" " + b" ".join(said[k : k + X.WINDOW]) + b" "
+            excess.append(length(data, model.ordinary + bytes(len(model.toxic))) - length(data, model.ordinary + model.toxic))
+        excess = excess or [0]
+        top = sorted(excess, reverse=True)
+        x = [top[0], sum(top[:2]) / len(top[:2]), sum(top[:4]) / len(top[:4]), sum(excess) / len(excess), np.log(len(excess))]
+        over = [sum(e > t for e in excess) for t in model.thresholds]
+        x += [np.log(1 + n) for n in over] + [n / len(excess) for n in over]
+        z = sum(w * (v - m) / d for w, v, m, d in zip(model.weights, x, model.mean, model.deviation)) + model.weights[-1]
+        return 1 / (1 + np.exp(-min(30, max(-30, z))))
+
+    got = X.op1_toxicity(spark, path).collect()
+    short = [(i, t) for i, t in texts if len(t or "") < 10_000]
+    want = defaultdict(list)
+    for i, t in short:
+        want[i].append(round(brute(t), 6))
+    seen = defaultdict(list)
+    for r in got:
+        seen[r["doc_id"]].append(round(r["score"], 6))
+        assert r["held_out"] == (zlib.crc32(("" if r["doc_id"] is None else str(r["doc_id"])).encode()) % 4 == 2)
+        assert r["predicted"] == (r["score"] >= 0.3) and 0 <= r["score"] <= 1
+    assert len(got) == len(texts) and all(sorted(seen[i]) == sorted(v) for i, v in want.items())
+    truth = {i: t for i, _, t in labels if i and i >= 1000}
+    assert np.mean([r["predicted"] == truth[r["doc_id"]] for r in got if r["doc_id"] in truth]) > 0.95
+    empty = spark.createDataFrame([], SCHEMA)
+    empty.write.mode("overwrite").parquet(f"{path}/documents.parquet")
+    assert X.op1_toxicity(spark, path).count() == 0
+
+
+def test_quality_query_by_plain_loops(spark, tmp_path):
+    """Each word's vector is looked up by itself, each mean and each layer is summed by itself."""
+    from fringelake.llm import quality_model as Q
+
+    texts, labels = labelled_corpus()
+    path = write_tables(spark, tmp_path, texts, labels)
+    model = Q.fitted(spark, spark.read.parquet(f"{path}/documents.parquet"), path)
+    v = model.vectors
+
+    def vector(word):
+        if word in v.words:
+            return v.matrix[v.words[word]].astype(float), 0
+        parts = [v.matrix[v.parts[p]] if p in v.parts else np.zeros(Q.SIZE) for p in Q.affixes(word)]
+        return (parts[0].astype(float) + parts[1]) / 2, 1
+
+    def brute(text):
+        said = (text or "").split()
+        x = np.zeros(2 * Q.SIZE + 3)
+        if said:
+            vectors = [vector(w) for w in said]
+            n = len(said)
+            mean = sum(a for a, _ in vectors) / n
+            spread = np.sqrt(np.maximum(sum(a * a for a, _ in vectors) / n - mean**2, 0))
+            alike = sum(float(a @ b) for (a, _), (b, _) in zip(vectors, vectors[1:])) / n
+            same = sum(a == b for a, b in zip(said, said[1:])) / n
+            x = np.r_[mean, spread, alike, same, sum(u for _, u in vectors) / n]
+        z = (x - model.mean) / model.deviation
+        w1, b1, w2, b2 = model.layers
+        hidden = [np.tanh(sum(z[i] * w1[i, j] for i in range(len(z))) + b1[j]) for j in range(Q.HIDDEN)]
+        out = sum(h * w for h, w in zip(hidden, w2)) + b2
+        return 1 / (1 + np.exp(-min(30, max(-30, out / model.temperature))))
+
+    got = Q.op7_quality_classifier(spark, path).collect()
+    want, seen = defaultdict(list), defaultdict(list)
+    for i, t in texts:
+        want[i].append(brute(t))
+    for r in got:
+        seen[r["doc_id"]].append(r["score"])
+        assert r["held_out"] == (zlib.crc32(("" if r["doc_id"] is None else str(r["doc_id"])).encode()) % 5 == 0)
+        assert r["predicted"] == (r["score"] >= 0.3) and 0 <= r["score"] <= 1
+    assert len(got) == len(texts)
+    for i, scores in want.items():
+        assert np.allclose(sorted(seen[i]), sorted(scores), atol=2e-3), i
+    truth = {i: q for i, q, _ in labels if i and i >= 1000}
+    assert np.mean([r["predicted"] == truth[r["doc_id"]] for r in got if r["doc_id"] in truth]) > 0.95
+    spark.createDataFrame([], SCHEMA).write.mode("overwrite").parquet(f"{path}/documents.parquet")
+    assert Q.op7_quality_classifier(spark, path).count() == 0
+
+
+def test_quality_network_has_the_slopes_of_its_loss():
+    from fringelake.llm import quality_model as Q
+
+    draw = np.random.default_rng(2)
+    x = draw.normal(size=(80, 5))
+    y = (x[:, 0] + 0.3 * draw.normal(size=80) > 0).astype(float)
+    share = draw.uniform(0.1, 1, 80) / 80
+    layers = [draw.normal(size=(5, Q.HIDDEN)), draw.normal(size=Q.HIDDEN), draw.normal(size=Q.HIDDEN), np.array(0.2)]
+
+    def loss():
+        out = Q._forward(x, layers)[1]
+        return (share * np.logaddexp(0, np.where(y == 1, -out, out))).sum() + Q.DECAY / 2 * ((layers[0] ** 2).sum() + (layers[2] ** 2).sum())
+
+    for layer, slope in zip(layers, Q.slopes(x, y, share, layers)):
+        for at in ((0,) * layer.ndim, tuple(n - 1 for n in layer.shape)):
+            held, sides = float(layer[at]), []
+            for step in (1e-5, -1e-5):
+                layer[at] = held + step
+                sides.append(loss())
+            layer[at] = held
+            assert np.isclose((sides[0] - sides[1]) / 2e-5, np.asarray(slope)[at], atol=1e-7)
+    assert np.mean((Q._forward(x, Q.network(x, y))[1] > 0) == y) > 0.95
+
+
+def test_pipeline_on_an_awkward_table(spark, tmp_path):
+    """Nulls, empties, a long text, repeated rows, clashing names; then an empty table."""
+    import corpus_pipeline as P
+
+    texts, labels = labelled_corpus()
+    path = write_tables(spark, tmp_path, texts, labels)
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    for _, stage in P.STAGES[:-1]:
+        kept = stage(spark, docs, path)
+        assert kept.columns == docs.columns and kept.exceptAll(docs).count() == 0
+    packed = P.run(spark, path).collect()
+    truth = {i: t for i, _, t in labels if i and i >= 1000}
+    assert packed and {r["doc_id"] for r in packed} <= {i for i, _ in texts}
+    assert np.mean([truth[i] for i in {r["doc_id"] for r in packed} if i in truth]) < 0.05
+    spark.createDataFrame([], SCHEMA).write.mode("overwrite").parquet(f"{path}/documents.parquet")
+    assert P.run(spark, path).count() == 0
+
+
 def test_scores_of_awkward_texts():
     from fringelake.llm import quality_model, toxicity
 
