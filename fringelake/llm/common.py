@@ -7,6 +7,7 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Java and RE2 form of the words and of the white space between them.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -69,6 +70,31 @@ def first_by_hash(df: DataFrame, id_col: str, n: int, total: int) -> DataFrame:
     return df.orderBy(F.xxhash64(id_col), id_col).limit(n)
 
 
+def within(lengths: list[int], most: int) -> list[int]:
+    """Places of the texts that are taken, in order: those that still fit; a text longer than what is left is passed over."""
+    taken, total = [], 0
+    for k, n in enumerate(lengths):
+        if total + n <= most:
+            taken.append(k)
+            total += n
+    return taken
+
+
+def texts_within(read: DataFrame, chosen: DataFrame, chars: int) -> list:
+    """Rows (id, y, t) of whole texts: of each y those of the `chosen` ids (a bounded number of rows id, y) that come first by a
+    hash of the id and have at most `chars` characters in all. read: rows id, t; of several texts of an id the least counts."""
+    chosen = F.broadcast(chosen)
+    lengths = read.select("id", F.char_length("t").alias("n")).join(chosen, "id").groupBy("id", "y").agg(F.max("n").alias("n"))
+    measured = lengths.orderBy(F.xxhash64("id"), "id").collect()
+    taken = []
+    for y in sorted({row["y"] for row in measured}):
+        of_class = [row for row in measured if row["y"] == y]
+        taken += [(of_class[k]["id"], y) for k in within([row["n"] for row in of_class], chars)]
+    schema = T.StructType([read.schema["id"], T.StructField("y", T.IntegerType())])
+    picked = F.broadcast(read.sparkSession.createDataFrame(taken, schema))
+    return read.join(picked, "id").groupBy("id", "y").agg(F.min("t").alias("t")).collect()  # `chars` characters of each y at most
+
+
 def _from_files(docs: DataFrame) -> bool:
     """Whether docs is a file source under projections and filters alone, so that each row is one row of a file."""
     node = docs._jdf.queryExecution().analyzed()

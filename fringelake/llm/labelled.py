@@ -5,44 +5,24 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from fringelake.llm.common import BLOCK_BYTES, crc_mod, first_by_hash, text_of
+from fringelake.llm.common import BLOCK_BYTES, crc_mod, first_by_hash, text_of, texts_within
 
 #: Bounds of every classifier's fit: labelled rows of each class, and characters of their texts in all; texts are never cut.
 ROWS, CHARS = 4000, 12_000_000
 
 
-def within(lengths: list[int], most: int) -> list[int]:
-    """Places of the texts that are taken, in order: those that still fit; a text longer than what is left is passed over."""
-    taken, total = [], 0
-    for k, n in enumerate(lengths):
-        if total + n <= most:
-            taken.append(k)
-            total += n
-    return taken
-
-
 def sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, id_col="doc_id", text_col="text", rows=ROWS, chars=CHARS):
     """(ids, whole texts, labels) of at most `rows` rows of each class with at most `chars` characters in all, the first by a
     hash of the id, of which crc32(id) mod `folds` is not `held`. Unlabelled rows, null ids and repeated texts do not count."""
-    spark = docs.sparkSession
     known = labels.select(F.col("doc_id").alias("id"), F.col(label).cast("int").alias("y")).filter(
         F.col("id").isNotNull() & F.col("y").isin(0, 1) & (crc_mod("id", folds) != held)
     )
     one = known.groupBy("id").agg(F.min("y").alias("y"))
     totals = {row["y"]: row["count"] for row in one.groupBy("y").count().collect()}  # two rows at most
     first = [first_by_hash(one.filter(F.col("y") == y), "id", rows, totals.get(y, 0)) for y in (0, 1)]
-    chosen = F.broadcast(first[0].unionAll(first[1]))  # 2 * rows at most
     read = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("t"))
-    lengths = read.select("id", F.char_length("t").alias("n")).join(chosen, "id").groupBy("id", "y").agg(F.max("n").alias("n"))
-    measured = lengths.orderBy(F.xxhash64("id"), "id").collect()  # 2 * rows at most
-    taken = []
-    for y in (0, 1):
-        of_class = [row for row in measured if row["y"] == y]
-        taken += [(of_class[k]["id"], y) for k in within([row["n"] for row in of_class], chars)]
-    picked = spark.createDataFrame(taken, T.StructType([docs.select(F.col(id_col).alias("id")).schema[0], T.StructField("y", T.IntegerType())]))
-    found = read.join(F.broadcast(picked), "id").groupBy("id", "y").agg(F.min("t").alias("t")).collect()  # 2 * chars characters at most
+    found = texts_within(read, first[0].unionAll(first[1]), chars)
     unique = {row["t"]: row for row in sorted(found, key=lambda row: -row["id"])}
     kept = sorted(unique.values(), key=lambda row: row["id"])
     return [row["id"] for row in kept], [row["t"] for row in kept], np.array([row["y"] for row in kept], float)

@@ -456,6 +456,109 @@ def test_lm_is_normalised_and_carries_state():
     assert together[0] / len(many[0]) > together[3] / len(many[3])
 
 
+def small_network(classes=3, seed=4):
+    from fringelake.llm import lm
+
+    frequent = [f"w{k}" for k in range(30)]
+    speller = lm.Speller({"^w1": np.array([1.0, 0, 0, 0, 0, 0])}, np.log(np.full(lm.GROUPS, 1 / lm.GROUPS)))
+    network = lm.Network.blank(frequent, speller)
+    draw = np.random.default_rng(seed)
+    network.weights = {k: draw.normal(0, 0.4, v.shape) for k, v in network.weights.items()}  # of double precision
+    return network, speller
+
+
+def plain_log_likelihood(network, ids):
+    """One word after the other, one gate after the other; no state of another text, no batches."""
+    from fringelake.llm import lm
+
+    w, size = network.weights, lm.HIDDEN
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    h, before, total = np.zeros(size), 0, 0.0
+    for word in ids:
+        a, u = w["in"][before], h @ w["u"]
+        z, r = sigmoid(a[:size] + u[:size]), sigmoid(a[size : 2 * size] + u[size : 2 * size])
+        n = np.tanh(a[2 * size :] + r * u[2 * size :])
+        h = (1 - z) * n + z * h
+        x = h @ w["c"] + w["cb"]
+        own = network.class_of[word]
+        total += x[own] - np.log(np.exp(x).sum())
+        if network.member_of[word] >= 0:
+            many = int(network.members[own])
+            y = h @ w["m"][own - 1, :many].T + w["mb"][own - 1, :many]
+            total += y[network.member_of[word]] - np.log(np.exp(y).sum())
+        before = word
+    return total
+
+
+def test_lm_scores_by_plain_loops():
+    network, _ = small_network()
+    draw = np.random.default_rng(8)
+    texts = [np.r_[draw.integers(1, len(network.class_of), n), 0] for n in (0, 1, 5, 40, 7)]
+    rare = [draw.normal(size=len(t)) for t in texts]
+    got = network.score(texts, rare)
+    assert np.allclose(got, [plain_log_likelihood(network, t) + r.sum() for t, r in zip(texts, rare)], atol=1e-4)
+
+
+def test_lm_backpropagation_has_the_slopes_of_the_loss():
+    """Numerical slopes of the mean negative log-likelihood of one window, the state given."""
+    network, _ = small_network()
+    draw = np.random.default_rng(9)
+    x, y = draw.integers(0, len(network.class_of), (3, 6)), draw.integers(0, len(network.class_of), (3, 6))
+    x[:, 0], x[1, 3] = 0, 0
+    h0 = np.zeros((3, network.weights["u"].shape[0]))
+
+    def loss():
+        h, total = h0, 0.0
+        for t in range(x.shape[1]):
+            h = network.step(h * (x[:, t] != 0)[:, None], x[:, t])[0]
+            total -= network.class_log(h)[np.arange(3), network.class_of[y[:, t]]].sum()
+            some = np.flatnonzero(network.member_of[y[:, t]] >= 0)
+            total -= float(network.member_log(h[some], y[some, t]).astype(float).sum())
+        return total / y.size
+
+    slopes = network._window(h0, x, y)[1]
+    for name, weight in network.weights.items():
+        used = np.argwhere(np.abs(slopes[name]) > 1e-3)
+        assert len(used)
+        for at in map(tuple, used[:: max(1, len(used) // 6)]):
+            held, sides = weight[at], []
+            for step in (1e-3, -1e-3):
+                weight[at] = held + step
+                sides.append(loss())
+            weight[at] = held
+            assert np.isclose((sides[0] - sides[1]) / 2e-3, slopes[name][at], rtol=2e-2, atol=2e-4), (name, at)
+
+
+def test_spelling_of_many_words_is_that_of_each():
+    import pyarrow as pa
+
+    from fringelake.llm import lm
+
+    words_ = ["", "a", "ab.", ".,;", "über,", "strasse!", "x1", "漢字", "abcdefgh;", "é"]
+    draw = np.random.default_rng(1)
+    table = {p: draw.normal(size=lm.GROUPS) for w in words_[1:7] for p in lm.spelling(w)}
+    speller = lm.Speller(table, np.log(np.full(lm.GROUPS, 1 / lm.GROUPS)))
+    want = []
+    for w in words_:
+        odds = speller.prior + sum(table.get(p, np.zeros(lm.GROUPS)) for p in lm.spelling(w))
+        want.append(3 * int(odds.argmax()) + (0 if w[-1:].isalpha() else 1 if w and w[-1] in ".,;" else 2))
+    assert speller.kinds(pa.array(words_)).tolist() == want
+
+
+def test_lm_trains_on_every_training_text_and_on_no_other(spark):
+    """Weights move with texts beyond the sample; held-out texts move nothing."""
+    from fringelake.llm import lm
+
+    ids = [k for k in range(3000) if zlib.crc32(str(k).encode()) % 7 != 2]
+    out = [k for k in range(3000) if zlib.crc32(str(k).encode()) % 7 == 2]
+    draw = np.random.default_rng(0)
+    one = lambda k, word: (k, " ".join([word] * 6 + [f"r{n}" for n in draw.integers(0, 50, 30)]))
+    texts = [one(k, "common") for k in ids[:400]] + [one(k, "hidden") for k in out[:60]]
+    score = lambda rows_: {r["doc_id"]: r["score"] / r["n_tokens"] for r in lm.score_documents(spark.createDataFrame(rows_, "doc_id long, text string").repartition(4)).collect()}
+    got = score(texts)
+    assert np.mean([got[k] for k in ids[:400]]) > np.mean([got[k] for k in out[:60]]) + 0.1
+
+
 def held_out(spark, sf_dir, query, label):
     labels = {r["doc_id"]: r[label] for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
     found = [r for r in query(spark, sf_dir).collect()]
@@ -486,7 +589,7 @@ def test_classifiers_without_labels(spark, docs, none):
 
 
 def test_sample_is_of_whole_texts_within_its_bounds(spark):
-    from fringelake.llm import labelled
+    from fringelake.llm import common, labelled
 
     docs = spark.createDataFrame([(k, "x" * (10 + k), k) for k in range(40)] + [(5, "y" * 30, 0), (50, "z" * 5000, 0)], "doc_id long, text string, y int")
     labels = spark.createDataFrame([(k, k % 2) for k in range(60)] + [(7, 1)], "doc_id long, toxic int")
@@ -497,7 +600,7 @@ def test_sample_is_of_whole_texts_within_its_bounds(spark):
         assert 0 < sum(len(t) for t, own in zip(texts, y) if own == kind) <= 100
     whole = labelled.sample(docs, labels, "toxic", 4, 2)
     assert whole[0] == sorted(i for i in [*range(40), 50] if zlib.crc32(str(i).encode()) % 4 != 2)
-    assert labelled.within([3, 9, 4, 4, 1], 8) == [0, 2, 4]
+    assert common.within([3, 9, 4, 4, 1], 8) == [0, 2, 4]
 
 
 def write_tables(spark, path, texts, labels):
