@@ -55,78 +55,132 @@ def butterworth(n: int, cutoff: float, pixel: float, order: int = 5) -> np.ndarr
     return np.outer(response, response)
 
 
-def _smooth(x: np.ndarray, kernel: np.ndarray) -> np.ndarray:
-    """Circular separable smoothing."""
-    half = len(kernel) // 2
-    for axis in (0, 1):
-        x = sum(w * np.roll(x, s - half, axis) for s, w in enumerate(kernel))
-    return x
+def lowpass_taps(n: int, cutoff: float) -> np.ndarray:
+    """Hamming-windowed taps of a low-pass filter, `cutoff` as a share of half the sampling rate; their sum is one."""
+    at = np.arange(n) - (n - 1) / 2
+    taps = cutoff * np.sinc(cutoff * at) * np.hamming(n)
+    return taps / taps.sum()
+
+
+def interpolated(x: np.ndarray, times: int, reach: int = 4) -> np.ndarray:
+    """x at `times` as many places: zeros are put between its values and a filter over `reach` values on each side fills them."""
+    spread = np.zeros((len(x) + reach) * times + 1)
+    spread[: len(x) * times : times] = x
+    taps = lowpass_taps(2 * times * reach + 2, 0.5 / times)
+    return times * np.convolve(spread, taps)[: len(spread)][times * reach + 1 :]
+
+
+def chance_curve(random: np.ndarray, observed: np.ndarray, low: int, last: int) -> np.ndarray:
+    """The probability that a coherence is by chance, at every thousandth from 0: the ratio of the histograms of hundredths
+    (one below bin `low`, nought from bin `last` on, never above one), smoothed by the seven values before, interpolated."""
+    p = random / np.where(observed == 0, 1, observed)
+    p[:low], p[last:] = 1, 0
+    window = gaussian_window(7)
+    smooth = np.convolve(np.r_[np.ones(7), np.minimum(p, 1)], window)[: 7 + len(p)][7:] / window.sum()
+    return interpolated(np.r_[1.0, smooth], 10)[:-9]
+
+
+def square_weights(coherence: np.ndarray, curve: np.ndarray) -> np.ndarray:
+    """Squared probability that a point's coherence is not by chance; NaN counts as chance."""
+    at = np.floor(np.nan_to_num(coherence) * 1000 + 0.5).astype(int)
+    return (1 - curve[np.clip(at, 0, len(curve) - 1)]) ** 2
+
+
+def bootstrap_deviation(residual: np.ndarray, ids: np.ndarray, draws: int = 100, seed: int = 0) -> np.ndarray:
+    """Standard deviation of the coherence of each row of residual phases over resamples of its samples. Each row's generator
+    is seeded by its id, so that a row's result does not depend on the rows beside it."""
+    z, out = np.exp(1j * np.asarray(residual, float)), np.full(len(residual), np.inf)
+    n = z.shape[1]
+    for row, key in enumerate(ids):
+        if n:
+            picked = np.random.default_rng([seed, int(key)]).integers(0, n, (draws, n))
+            out[row] = np.abs(z[row][picked].sum(axis=1) / n).std()
+    return out
 
 
-def _windows(n: int, size: int, hop: int) -> list[int]:
-    if n <= size:
-        return [0]
-    return sorted({*range(0, n - size + 1, hop), n - size})
+def _spectrum_smoothed(magnitude: np.ndarray, kernel: np.ndarray) -> np.ndarray:
+    """Smoothed along both axes with the zero frequency in the middle and zeros outside."""
+    x = np.fft.fftshift(magnitude)
+    for axis in (0, 1):
+        x = np.apply_along_axis(np.convolve, axis, x, kernel, "same")
+    return np.fft.ifftshift(x)
 
 
-def adaptive_filter(grid: np.ndarray, size: int = 24, pad: int = 8, alpha: float = 1.0, beta: float = 0.3, low_pass: np.ndarray | None = None) -> np.ndarray:
-    """Combined low-pass and adaptive phase filter of a complex grid, in overlapping windows with triangular weights.
+def _windows(n: int, size: int, step: int, fewer: int) -> list[tuple[int, int]]:
+    """(first cell, cells by which it was moved back to end with the grid) of the windows along an axis."""
+    return [(min(k * step, n - size), max(0, k * step + size - n)) for k in range(max(1, -(-n // step) - fewer))]
 
-    The smoothed magnitude of a window's spectrum over its median, to the power alpha, less one and not below zero, times
-    beta, plus the low-pass response, is the window's filter.
-    """
+
+def _filtered(grid: np.ndarray, size: int, pad: int, step: int, fewer: int, ramp: np.ndarray, responses) -> list[np.ndarray]:
+    """For each response the weighted sum of the windows' transforms back. `ramp` rises to the middle of a window along one
+    axis and falls again; a weight is the sum of the two axes' ramps. The weights of a window that was moved back to end with
+    the grid stay where it began. A grid smaller than a window is filled up with zeros."""
     rows, cols = grid.shape
-    out, weight = np.zeros_like(grid), np.zeros(grid.shape)
+    whole = np.zeros((max(rows, size), max(cols, size)), complex)
+    whole[:rows, :cols] = np.nan_to_num(grid)
+    weight = ramp[:, None] + ramp[None, :]
+    out = None
+    for i, down in _windows(whole.shape[0], size, step, fewer):
+        for j, right in _windows(whole.shape[1], size, step, fewer):
+            part = np.zeros((size + pad, size + pad), complex)
+            part[:size, :size] = whole[i : i + size, j : j + size]
+            spectrum = np.fft.fft2(part)
+            w = np.zeros((size, size))
+            w[down:, right:] = weight[: size - down, : size - right]
+            made = [np.fft.ifft2(spectrum * by)[:size, :size] * w for by in responses(np.abs(spectrum))]
+            out = [np.zeros_like(whole) for _ in made] if out is None else out
+            for total, x in zip(out, made):
+                total[i : i + size, j : j + size] += x
+    return [total[:rows, :cols] for total in out]
+
+
+def adaptive_filter(grid: np.ndarray, size: int = 24, pad: int = 8, alpha: float = 1.0, beta: float = 0.3, low_pass: np.ndarray | None = None) -> np.ndarray:
+    """Combined low-pass and adaptive phase filter of a complex grid: in windows a quarter of their size apart, the smoothed
+    magnitude of the spectrum over its median, to the power alpha, less one and not below zero, times beta, plus the low-pass
+    response, is the filter. Windows are summed with their weights, not averaged: angles are what counts."""
     kernel = gaussian_window(7)
-    kernel /= kernel.sum()
-    whole = size + pad
-    low = np.zeros((whole, whole)) if low_pass is None else low_pass
-    ramp = np.minimum(np.arange(1, size + 1), np.arange(size, 0, -1)).astype(float)
-    taper = np.outer(ramp, ramp) + 1e-6
-    for i in _windows(rows, size, max(1, size // 4)):
-        for j in _windows(cols, size, max(1, size // 4)):
-            part = np.nan_to_num(grid[i : i + size, j : j + size])
-            padded = np.zeros((whole, whole), complex)
-            padded[: part.shape[0], : part.shape[1]] = part
-            spectrum = np.fft.fft2(padded)
-            power = _smooth(np.abs(spectrum), kernel)
-            middle = np.median(power)
-            gain = np.maximum((power / middle) ** alpha - 1, 0) if middle > 0 else np.zeros_like(power)
-            filtered = np.fft.ifft2(spectrum * (gain * beta + low))[: part.shape[0], : part.shape[1]]
-            t = taper[: part.shape[0], : part.shape[1]]
-            out[i : i + size, j : j + size] += filtered * t
-            weight[i : i + size, j : j + size] += t
-    return out / np.maximum(weight, 1e-12)
+    low = 0.0 if low_pass is None else low_pass
+
+    def responses(magnitude):
+        power = _spectrum_smoothed(magnitude, kernel)
+        middle = np.median(power)
+        yield np.maximum((power / middle if middle else power) ** alpha - 1, 0) * beta + low
+
+    half = np.arange(size // 2) + 0.5e-6
+    return _filtered(grid, size, pad, max(1, size // 4), 3, np.r_[half, half[::-1]], responses)[0]
 
 
 def goldstein(grid: np.ndarray, size: int = 32, alpha: float = 0.8) -> tuple[np.ndarray, np.ndarray]:
-    """(filtered, low-passed): spectral-power filter in half-overlapping windows, magnitudes as they were; the low-pass is a
-    Gaussian of width 16 in the same windows."""
-    rows, cols = grid.shape
+    """(filtered, low-passed): spectral-power filter in windows half their size apart, magnitudes as they were; the low-pass is
+    a Gaussian of width 16 in the same windows."""
     pad = size // 4
-    whole = size + pad
-    out, low, weight = np.zeros_like(grid), np.zeros_like(grid), np.zeros(grid.shape)
-    kernel = gaussian_window(7)
-    kernel /= kernel.sum()
-    g = np.fft.ifftshift(gaussian_window(whole, 16))
-    response = np.outer(g, g)
-    ramp = np.minimum(np.arange(1, size + 1), np.arange(size, 0, -1)).astype(float)
-    taper = np.outer(ramp, ramp) + 1e-6
-    for i in _windows(rows, size, size // 2):
-        for j in _windows(cols, size, size // 2):
-            part = np.nan_to_num(grid[i : i + size, j : j + size])
-            padded = np.zeros((whole, whole), complex)
-            padded[: part.shape[0], : part.shape[1]] = part
-            spectrum = np.fft.fft2(padded)
-            power = _smooth(np.abs(spectrum), kernel)
-            middle = np.median(power)
-            gain = (power / middle if middle > 0 else power) ** alpha
-            t = taper[: part.shape[0], : part.shape[1]]
-            for target, by in ((out, gain), (low, response)):
-                target[i : i + size, j : j + size] += np.fft.ifft2(spectrum * by)[: part.shape[0], : part.shape[1]] * t
-            weight[i : i + size, j : j + size] += t
-    size_of = np.abs(grid)
-    return tuple(size_of * np.exp(1j * np.angle(x / np.maximum(weight, 1e-12))) for x in (out, low))
+    kernel, g = gaussian_window(7), np.fft.ifftshift(gaussian_window(size + pad, 16))
+
+    def responses(magnitude):
+        power = _spectrum_smoothed(magnitude, kernel)
+        middle = np.median(power)
+        yield (power / middle if middle else power) ** alpha
+        yield np.outer(g, g)
+
+    half = np.arange(1, size // 2 + 1, dtype=float)
+    made = _filtered(grid, size, pad, max(1, size // 2), 1, np.r_[half, half[::-1]], responses)
+    return tuple(np.abs(grid) * np.exp(1j * np.angle(x)) for x in made)
+
+
+def own_cell_filter(grid: np.ndarray, row: int, col: int, size: int = 32, alpha: float = 1.0, beta: float = 0.3, low_pass: np.ndarray | None = None) -> complex:
+    """The adaptive filter's value at one cell from the window around it, its own cell left out: what the surroundings say of
+    a point. At the border the window is moved inside."""
+    rows, cols = grid.shape
+    whole = np.zeros((max(rows, size), max(cols, size)), complex)
+    whole[:rows, :cols] = np.nan_to_num(grid)
+    i, j = (min(max(at - size // 2, 0), n - size) for at, n in zip((row, col), whole.shape))
+    part = whole[i : i + size, j : j + size].copy()
+    part[row - i, col - j] = 0
+    spectrum = np.fft.fft2(part)
+    power = _spectrum_smoothed(np.abs(spectrum), gaussian_window(7))
+    middle = np.median(power)
+    gain = np.maximum((power / middle if middle else power) ** alpha - 1, 0) * beta
+    return complex(np.fft.ifft2(spectrum * (gain + (0.0 if low_pass is None else low_pass)))[row - i, col - j])
 
 
 def spanning_order(n: int, arcs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -197,46 +251,66 @@ def delaunay(xy: np.ndarray) -> np.ndarray:
     return np.array(sorted(edges), int).reshape(-1, 2)
 
 
+#: Points that a plane needs.
+PLANE_POINTS = 10
+
+
+def _weighted_plane(design: np.ndarray, v: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    ok = np.isfinite(design).all(axis=1) & np.isfinite(v) & np.isfinite(weight) & (weight > 0)
+    if ok.sum() < PLANE_POINTS:
+        return np.full(3, np.nan)
+    root = np.sqrt(weight[ok])
+    return np.linalg.lstsq(design[ok] * root[:, None], v[ok] * root, rcond=None)[0]
+
+
 def huber_plane(x: np.ndarray, y: np.ndarray, v: np.ndarray, q: np.ndarray, delta: float = 1.345, rounds: int = 5) -> np.ndarray:
-    """Coefficients (a, b, c) of v = a x/1000 + b y/1000 + c with weights q^2, reweighted by Huber's rule."""
-    design = np.c_[x / 1000, y / 1000, np.ones(len(x))]
-    weight, last = q**2, None
+    """Coefficients (a, b, c) of v = a x/1000 + b y/1000 + c with weights q^2: one fit, then at most `rounds` more with weights
+    by Huber's rule. Rows that are not finite or have no weight don't count; NaN with fewer than ten that do."""
+    design, weight = np.c_[x / 1000, y / 1000, np.ones(len(x))], np.asarray(q, float) ** 2
+    fit = _weighted_plane(design, v, weight)
     for _ in range(rounds):
-        root = np.sqrt(weight)[:, None]
-        fit = np.linalg.lstsq(design * root, v * root[:, 0], rcond=None)[0]
         rest = v - design @ fit
-        scale = 1.4826 * np.median(np.abs(rest - np.median(rest)))
-        if last is not None and np.abs(fit - last).max() < 1e-8 or scale < 1e-12:
+        counts = rest[np.isfinite(rest) & np.isfinite(weight) & (weight > 0)]
+        if len(counts) < PLANE_POINTS:
+            break
+        scale = 1.4826 * np.median(np.abs(counts - np.median(counts)))
+        if not scale > 1e-8:
+            break
+        after = _weighted_plane(design, v, weight / np.maximum(np.abs(rest) / (delta * scale), 1))
+        if np.isnan(after).any():
+            break
+        moved, fit = np.abs(after - fit).max(), after
+        if moved < 1e-8:
             break
-        u = np.abs(rest) / (delta * scale)
-        weight, last = q**2 / np.maximum(u, 1), fit
     return fit
 
 
-def threshold_from_random(observed: np.ndarray, random: np.ndarray, centres: np.ndarray, percent: float, low: float = 0.31) -> float:
-    """The coherence above which `percent` of the points kept are expected to be random: the random histogram is scaled to
-    the observed one below `low`, where all points are taken for random, and a cubic through six points around the crossing
-    of the cumulative share gives the threshold; 0.3 if there is none."""
-    below = centres < low
-    scaled = random * (observed[below].sum() / max(random[below].sum(), 1e-9))
-    above, chance = np.cumsum(observed[::-1])[::-1], np.cumsum(scaled[::-1])[::-1]
-    share = np.where(above > 0, 100 * chance / np.maximum(above, 1e-9), np.nan)
-    ok = np.flatnonzero((share < percent) & ~np.isnan(share))
-    if not len(ok):
-        return 0.3
-    first = max(0, min(ok[0] - 3, len(share) - 6))
-    use = np.arange(first, min(first + 6, len(share)))
-    use = use[~np.isnan(share[use])]
-    if len(use) < 4 or np.ptp(share[use]) < 1e-9:
-        return float(centres[ok[0]])
-    s = (share[use] - share[use].mean()) / share[use].std()
-    fit = np.polyfit(s, centres[use], 3)
-    return float(np.clip(np.polyval(fit, (percent - share[use].mean()) / share[use].std()), 0, 1))
+def threshold_from_random(observed: np.ndarray, random: np.ndarray, target: float, low: int = 31, share: bool = True) -> float:
+    """The coherence above which `target` per cent of the points kept are expected to be random (with `share` false: that many
+    points). Histograms are by hundredths and leave out coherences of nought. The random one is scaled to the observed one in
+    the first `low` bins, where all points are taken for random; a cubic through the six bins around the first that passes gives
+    the threshold, bin k standing for k / 100. 1 if no bin passes; NaN if the six bins would begin before the first."""
+    base = random[:low].sum()
+    scaled = random * (observed[:low].sum() / base if base > 0 else 1.0)
+    chance = np.cumsum(scaled[::-1])[::-1]
+    if share:
+        chance = 100 * chance / np.cumsum(np.where(observed == 0, 1, observed)[::-1])[::-1]
+    passing = np.flatnonzero(chance < target)
+    if not len(passing):
+        return 1.0
+    first, last = int(passing[0]) - 2, min(int(passing[0]) + 3, 100)  # bins counted from one
+    if first <= 0 or last - first < 3:
+        return float("nan")
+    x, y = chance[first - 1 : last], np.arange(first, last + 1) / 100
+    deviation = x.std(ddof=1)
+    deviation = deviation if np.isfinite(deviation) and deviation > 0 else 1.0
+    return float(np.polyval(np.polyfit((x - x.mean()) / deviation, y, 3), (target - x.mean()) / deviation))
 
 
 def threshold_line(dispersions: np.ndarray, thresholds: np.ndarray) -> tuple[float, float]:
-    """(slope, intercept) of threshold against dispersion; a line that doesn't rise is the value at 0.35."""
-    ok = ~np.isnan(thresholds)
+    """(slope, intercept) of threshold against dispersion over the bins that have both; a line that doesn't rise is its value at
+    0.35, one bin alone its threshold, none 0.3."""
+    ok = ~np.isnan(thresholds) & ~np.isnan(dispersions)
     if ok.sum() < 2:
         return 0.0, float(thresholds[ok][0]) if ok.any() else 0.3
     slope, intercept = np.polyfit(dispersions[ok], thresholds[ok], 1)

@@ -35,6 +35,29 @@ def estimate_coherence(phase: DataFrame, bperp: list[float], wraps: float) -> Da
     return stacked(phase, len(b)).mapInPandas(fit, "ps_id long, k double, c double, coh double")
 
 
+def square_weights(fitted: DataFrame, curve: np.ndarray) -> DataFrame:
+    """ps_id, weight by the curve of ``kernels.chance_curve``."""
+
+    def one(batches):
+        for pdf in batches:
+            yield pd.DataFrame({"ps_id": pdf["ps_id"], "weight": kernels.square_weights(pdf["coh"].to_numpy(float), curve)})
+
+    return fitted.select("ps_id", "coh").mapInPandas(one, "ps_id long, weight double")
+
+
+def steady(points: DataFrame, residual: DataFrame, most: float, draws: int = 100) -> DataFrame:
+    """The points whose coherence deviates by less than `most` over resamples of their residual phases."""
+    rows = residual.groupBy("ps_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("ifg_id", "phi"))), lambda x: x["phi"]).alias("phi"))
+
+    def test(batches):
+        for pdf in batches:
+            for n, same in pdf.groupby(pdf["phi"].map(len)):
+                deviation = kernels.bootstrap_deviation(np.vstack(same["phi"]), same["ps_id"].to_numpy(), draws)
+                yield pd.DataFrame({"ps_id": same["ps_id"][deviation < most]})
+
+    return points.join(rows.mapInPandas(test, "ps_id long"), "ps_id", "left_semi")
+
+
 def filter_grid(grid: DataFrame, method: str = "goldstein", cutoff: float = 800.0, pixel: float = 100.0, **settings) -> DataFrame:
     """gi, gj, ifg_id, re, im of each interferogram's grid, filtered; a group is one grid. The adaptive filter's low-pass lets
     through wavelengths above `cutoff`, in the units of `pixel`, the size of a cell."""
@@ -52,6 +75,28 @@ def filter_grid(grid: DataFrame, method: str = "goldstein", cutoff: float = 800.
     return grid.groupBy("ifg_id").applyInPandas(one, "gi long, gj long, ifg_id long, re double, im double")
 
 
+def without_own_cell(phase: DataFrame, cells: DataFrame, grid: DataFrame, size: int, cutoff: float, pixel: float) -> DataFrame:
+    """ps_id, ifg_id, phi: each point's phase less what the adaptive filter makes of the grid around it without its own cell.
+    A group is one interferogram's grid, with the occupied cells of the points asked for; each cell is filtered once and its
+    points take it from there."""
+    wanted = phase.join(cells.select("ps_id", "gi", "gj"), "ps_id").select("ps_id", "ifg_id", "gi", "gj", "phi")
+    places = wanted.select("ifg_id", "gi", "gj").distinct()
+    low = kernels.butterworth(size, cutoff, pixel)
+
+    def one(here, all_):
+        if not len(all_):
+            return pd.DataFrame({"ifg_id": [], "gi": [], "gj": [], "angle": []})
+        i, j = all_["gi"].to_numpy() - 1, all_["gj"].to_numpy() - 1
+        dense = np.zeros((i.max() + 1, j.max() + 1), complex)
+        dense[i, j] = all_["re"].to_numpy() + 1j * all_["im"].to_numpy()
+        angle = [np.angle(kernels.own_cell_filter(dense, r - 1, c - 1, size, low_pass=low)) for r, c in zip(here["gi"], here["gj"])]
+        return pd.DataFrame({"ifg_id": here["ifg_id"], "gi": here["gi"], "gj": here["gj"], "angle": angle})
+
+    made = places.groupBy("ifg_id").cogroup(grid.groupBy("ifg_id")).applyInPandas(one, "ifg_id long, gi long, gj long, angle double")
+    d = F.col("phi") - F.col("angle")
+    return wanted.join(made, ["ifg_id", "gi", "gj"]).select("ps_id", "ifg_id", F.atan2(F.sin(d), F.cos(d)).alias("phi"))
+
+
 def unwrap_grid(grid: DataFrame) -> DataFrame:
     """gi, gj, ifg_id, uw: phases integrated along a spanning tree of neighbouring occupied cells, the same for all
     interferograms that occupy the same cells."""

@@ -7,11 +7,15 @@ from pyspark.sql import functions as F
 
 
 def written(df: DataFrame) -> DataFrame:
-    """df behind a reliable checkpoint in the folder that the session names."""
+    """df behind a reliable checkpoint in the folder that the session names. Where it names none, a folder of the warehouse is
+    taken on a local master (tests, one machine); anything else is an error, as executors would not see it."""
     spark = df.sparkSession
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and context.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
     return df.checkpoint(eager=True)
 
 

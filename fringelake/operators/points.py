@@ -6,10 +6,13 @@ density, never by its size. Range conditions become equi-joins over grid cells.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fringelake.functions.geometry import distance
+from fringelake.operators.graph import weak_components, written
 
 
 def amplitude_scales(amp: DataFrame, least: float = 0.0) -> DataFrame:
@@ -118,8 +121,6 @@ def adjacent_groups(points: DataFrame) -> DataFrame:
     near = points.select("ps_id", F.explode(F.array(*(F.struct((F.col("row") + i).alias("row"), (F.col("col") + j).alias("col")) for i in (-1, 0, 1) for j in (-1, 0, 1) if i or j))).alias("at"))
     met = near.join(points.select(F.col("row"), F.col("col"), F.col("ps_id").alias("other")), (F.col("at.row") == F.col("row")) & (F.col("at.col") == F.col("col")))
     lead = met.groupBy("ps_id").agg(F.min("other").alias("to"))
-    from fringelake.operators.graph import weak_components
-
     grouped = points.join(weak_components(lead.select(F.col("ps_id").alias("a"), F.col("to").alias("b"))), points.ps_id == F.col("node"), "left")
     told = grouped.withColumn("group", F.coalesce("component", "ps_id"))
     best = told.groupBy("group").agg(F.min(F.struct((-F.col("coh")).alias("q"), F.col("ps_id").alias("k"))).alias("best"))
@@ -146,22 +147,41 @@ def gaussian_filter(points: DataFrame, values: DataFrame, wavelength: float) ->
     return met.groupBy("ps_id", "ifg_id").agg((F.sum(F.col("w") * F.col("phi")) / F.sum("w")).alias("v"))
 
 
+def _placed(df: DataFrame) -> Column:
+    finite = lambda c: F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(math.inf))
+    return finite("x") & finite("y")
+
+
 def nearest(queries: DataFrame, nodes: DataFrame, size: float) -> DataFrame:
-    """ps_id, other: the nearest node of each query, the smallest id on ties. Rings of cells grow, doubling, for the queries
-    that have no answer yet; an answer holds once its distance is within the ring."""
-    left, found, ring = queries, None, 1
-    total = nodes.count()
-    while total:
-        reach = size * ring
+    """ps_id, other, d: the nearest node of each query, the smallest id on ties. Rings of cells grow, doubling, for the queries
+    that have no answer yet; an answer holds once its distance is within the ring, and a ring as wide as the extent of all
+    answers the rest. Queries and nodes without a finite place have no part; no nodes, no rows."""
+    left, nodes = queries.filter(_placed(queries)), nodes.filter(_placed(nodes))
+    ends = lambda df: df.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
+    found = near_pairs(left.limit(0), nodes, size).select("ps_id", "other", "d")
+    boxes = [box for box in (ends(left), ends(nodes)) if box[0] is not None]
+    if len(boxes) < 2:
+        return found
+    span = math.hypot(max(b[1] for b in boxes) - min(b[0] for b in boxes), max(b[3] for b in boxes) - min(b[2] for b in boxes))
+    reach = size
+    while True:
         met = near_pairs(left, nodes, reach)
         best = met.groupBy("ps_id").agg(F.min(F.struct("d", "other")).alias("best")).select("ps_id", F.col("best.other").alias("other"), F.col("best.d").alias("d"))
-        best = best.persist()
-        found = best if found is None else found.unionAll(best)
-        left = left.join(best, "ps_id", "left_anti").persist()
-        if left.isEmpty():
-            break
-        ring *= 2
-    return found
+        best = written(best)
+        found = found.unionAll(best)
+        left = left.join(best, "ps_id", "left_anti")
+        if reach > span or left.isEmpty():
+            return found
+        reach *= 2
+
+
+def filled(values: DataFrame, x: str, size: float) -> DataFrame:
+    """ps_id and x, with the nearest known value where a point has none; null if no point has any."""
+    known = F.col(x).isNotNull() & ~F.isnan(x)
+    there = values.filter(known)
+    near = nearest(values.filter(~known).select("ps_id", "x", "y"), there.select("ps_id", "x", "y"), size)
+    taken = near.join(there.select(F.col("ps_id").alias("other"), F.col(x).alias("taken")), "other").select("ps_id", "taken")
+    return values.join(taken, "ps_id", "left").select("ps_id", F.when(known, F.col(x)).otherwise(F.col("taken")).alias(x))
 
 
 def grid_index(v: Column, low: Column, size: float, tolerance: float) -> Column:
@@ -176,10 +196,24 @@ def grid_cells(points: DataFrame, size: float, tolerance: float = 1e-6) -> DataF
     return told.withColumn("gi", index("y", "y0", "y1")).withColumn("gj", index("x", "x0", "x1")).drop("x0", "y0", "x1", "y1")
 
 
-def grid_accumulate(cells: DataFrame, phase: DataFrame) -> DataFrame:
-    """gi, gj, ifg_id, re, im, n: complex sums by cell; map-side combined."""
-    met = phase.join(cells.select("ps_id", "gi", "gj"), "ps_id")
-    return met.groupBy("gi", "gj", "ifg_id").agg(F.sum(F.cos("phi")).alias("re"), F.sum(F.sin("phi")).alias("im"), F.count("*").alias("n"))
+def grid_accumulate(cells: DataFrame, phase: DataFrame, weight: str | None = None) -> DataFrame:
+    """gi, gj, ifg_id, re, im, n: complex sums by cell, of phasors or of `weight` (a column of cells) times them; map-side combined."""
+    met = phase.join(cells.select("ps_id", "gi", "gj", *([weight] if weight else [])), "ps_id")
+    w = F.col(weight) if weight else F.lit(1.0)
+    return met.groupBy("gi", "gj", "ifg_id").agg(F.sum(w * F.cos("phi")).alias("re"), F.sum(w * F.sin("phi")).alias("im"), F.count("*").alias("n"))
+
+
+def dispersion_edges(points: DataFrame, x: str = "d_a") -> list[float]:
+    """Upper ends of the bins of dispersion, the first lower end (0) before them: every 2,000th sorted value (10,000th from
+    50,000 points on) that leaves a whole bin after it, then the largest; (0, 1] in one with less than 10,000 points. The list
+    has a value for every 2,000 points; points are capped long before it grows."""
+    n = points.count()
+    if n < 10_000:
+        return [0.0, 1.0]
+    step = 10_000 if n >= 50_000 else 2000
+    places = list(range(step, n - step, step))
+    shares = [k / (n - 1) for k in places] + [1.0]
+    return [0.0, *points.agg(F.percentile(x, F.array(*map(F.lit, shares))).alias("q")).first()["q"]]
 
 
 def grid_neighbours(grid: DataFrame, value: str, keys: list[str]) -> DataFrame:
@@ -212,10 +246,10 @@ def bilinear(points: DataFrame, raster: DataFrame, least: float = 0.25) -> DataF
 
 def even_sample(df: DataFrame, key: str, n: int) -> DataFrame:
     """Rows at n evenly spaced places of the order by key, the first and the last included."""
-    place = F.row_number().over(Window.orderBy(key)) - 1
+    from fringelake.operators.selection import at_places
+
     total = df.count()
-    wanted = sorted({round(k * (total - 1) / max(1, n - 1)) for k in range(min(n, total))})
-    return df.withColumn("place", place).filter(F.col("place").isin(wanted))
+    return at_places(df, key, sorted({round(k * (total - 1) / max(1, n - 1)) for k in range(min(n, total))}))
 
 
 def histogram(values: DataFrame, x: str, first: float, step: float, n: int) -> DataFrame:

@@ -10,7 +10,8 @@ from hashlib import sha256
 @dataclass(frozen=True)
 class Settings:
     grid_size: float = 100.0
-    filter_size: int = 8
+    filter_size: int = 32
+    low_pass: float = 800.0
     wraps: float = 1.0
     percent_random: float = 20.0
     random_rows: int = 300_000
@@ -24,19 +25,24 @@ class Settings:
     scn_wavelength: float = 100.0
     scn_window: float = 365.0
     wavelength: float = 0.05546576
-    iterations: int = 2
+    iterations: int = 25
+    settled: float = 1e-4
+    reject_deviation: float = 0.0
+    reestimate: bool = True
     qc_share: float = 0.05
 
     def __post_init__(self):
-        for name in ("grid_size", "wraps", "weed_window", "scn_wavelength", "scn_window", "wavelength", "reference_radius"):
+        for name in ("grid_size", "wraps", "weed_window", "scn_wavelength", "scn_window", "wavelength", "reference_radius", "low_pass", "settled"):
             if not getattr(self, name) > 0:
                 raise ValueError(f"{name} must be above zero")
         if not 0 < self.percent_random < 100:
             raise ValueError("percent_random must be between 0 and 100")
         if not 0 <= self.qc_share < 1:
             raise ValueError("qc_share must be from 0 to below 1")
-        if self.iterations < 1 or self.filter_size < 4:
-            raise ValueError("iterations must be 1 at least, filter_size 4")
+        if self.iterations < 1 or self.filter_size < 8 or self.filter_size % 8:
+            raise ValueError("iterations must be 1 at least, filter_size a multiple of 8")
+        if self.reject_deviation < 0:
+            raise ValueError("reject_deviation must not be below nought")
 
     @staticmethod
     def load(path: str | None = None, **given) -> Settings:

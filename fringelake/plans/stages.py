@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fringelake.functions import kernels, phase
-from fringelake.operators import blocks, graph, network, points, series
+from fringelake.operators import blocks, graph, network, points, selection, series
 from fringelake.plans.config import Report, Settings
 
 
@@ -53,26 +53,57 @@ def load(data: Dataset, s: Settings) -> str:
     return "ps1"
 
 
-def _filtered(ps: DataFrame, ph: DataFrame, s: Settings) -> DataFrame:
-    """Each point's phase less the filtered phase of its cell."""
-    cells = points.grid_cells(ps, s.grid_size)
-    grid = points.grid_accumulate(cells, ph).select("gi", "gj", "ifg_id", "re", "im")
-    smooth = blocks.filter_grid(grid, "goldstein", size=s.filter_size)
+def _grid(cells: DataFrame, turned: DataFrame) -> DataFrame:
+    return points.grid_accumulate(cells, turned, "weight").select("gi", "gj", "ifg_id", "re", "im")
+
+
+def _filtered(cells: DataFrame, turned: DataFrame, ph: DataFrame, s: Settings) -> DataFrame:
+    """Each point's phase less the filtered phase of its cell, which the phases without the slopes found so far make up."""
+    grid = _grid(cells, turned)
+    smooth = blocks.filter_grid(grid, "adaptive", cutoff=s.low_pass, pixel=s.grid_size, size=s.filter_size * 3 // 4, pad=s.filter_size // 4)
     met = ph.join(cells.select("ps_id", "gi", "gj"), "ps_id").join(smooth, ["gi", "gj", "ifg_id"])
     return met.select("ps_id", "ifg_id", phase.wrap(F.col("phi") - F.atan2("im", "re")).alias("phi"))
 
 
+def random_counts(data: Dataset, s: Settings) -> np.ndarray:
+    """The coherence histogram of random phases, by hundredths."""
+    rows = blocks.random_histogram(data.spark, [e["bperp"] for e in data.network()], s.wraps, s.random_rows).collect()  # 100 rows
+    counts = np.zeros(100)
+    for r in rows:
+        counts[r["bin"]] = r["n"]
+    return counts
+
+
 def coherence(data: Dataset, s: Settings) -> str:
-    """Rounds of: filter the phases on the grid, fit slope and coherence of the rest, take the slope out."""
+    """Rounds of: filter the weighted phases on the grid, fit slope and coherence of the rest, take the slope out, weigh points
+    by the probability that their coherence is not by chance. The rounds end when the root mean square change of coherence
+    changes by less than `settled`, after `iterations` at the latest."""
     ps, ph = data.read("ps1"), data.read("phase")
-    ifgs = data.read("ifgs")
-    b = [e["bperp"] for e in data.network()]
-    turned = ph
+    ifgs = F.broadcast(data.read("ifgs").select("ifg_id", "bperp"))
+    b, random = [e["bperp"] for e in data.network()], random_counts(data, s)
+    low, last = 31, int(np.flatnonzero(random)[-1]) + 1 if random.any() else 0
+    cells = graph.written(points.grid_cells(ps, s.grid_size))
+    turned, weights, before, change = ph, cells.select("ps_id", (1 / F.col("d_a")).alias("weight")), None, 0.0
     for step in range(s.iterations):
-        fitted = graph.written(blocks.estimate_coherence(_filtered(ps, turned, s), b, s.wraps))
-        if step + 1 < s.iterations:
-            met = ph.join(fitted.select("ps_id", "k"), "ps_id").join(F.broadcast(ifgs.select("ifg_id", "bperp")), "ifg_id")
-            turned = met.select("ps_id", "ifg_id", phase.wrap(F.col("phi") - F.col("k") * F.col("bperp")).alias("phi"))
+        fitted = graph.written(blocks.estimate_coherence(_filtered(cells.join(weights, "ps_id"), turned, ph, s), b, s.wraps))
+        if step + 1 == s.iterations:
+            break
+        if before is not None:
+            moved = fitted.join(before.select("ps_id", F.col("coh").alias("was")), "ps_id").filter("NOT isnan(coh) AND NOT isnan(was)")
+            now = moved.agg(F.sqrt(F.avg((F.col("coh") - F.col("was")) * (F.col("coh") - F.col("was"))))).first()[0] or 0.0
+            if abs(now - change) < s.settled:
+                break
+            change = now
+        before = fitted
+        seen = np.zeros(100)
+        for r in points.histogram(fitted.filter("coh <> 0 AND NOT isnan(coh)"), "coh", 0.005, 0.01, 100).collect():
+            seen[r["bin"]] = r["n"]
+        scaled = random * (seen[:low].sum() / random[:low].sum() if random[:low].sum() else 1.0)
+        weights = blocks.square_weights(fitted, kernels.chance_curve(scaled, seen, low, last))
+        met = ph.join(fitted.select("ps_id", "k"), "ps_id").join(ifgs, "ifg_id")
+        turned = met.select("ps_id", "ifg_id", phase.wrap(F.col("phi") - F.col("k") * F.col("bperp")).alias("phi"))
+    data.write("weights1", cells.join(weights, "ps_id").select("ps_id", "gi", "gj", "weight"))
+    data.write("turned1", turned)
     data.write("pm1", fitted)
     return "pm1"
 
@@ -80,28 +111,45 @@ def coherence(data: Dataset, s: Settings) -> str:
 def select(data: Dataset, s: Settings) -> str:
     """Points above the coherence that keeps the share of random ones below the setting, by a line over dispersion."""
     pm = data.read("pm1").join(data.read("ps1").select("ps_id", "d_a"), "ps_id")
-    b = [e["bperp"] for e in data.network()]
-    random = blocks.random_histogram(data.spark, b, s.wraps, s.random_rows).orderBy("bin").collect()
-    chance = np.array([r["n"] for r in random], float)
-    centres = (np.arange(100) + 0.5) / 100
-    edges = pm.agg(F.percentile("d_a", F.array(*(F.lit(q) for q in (0.25, 0.5, 0.75)))).alias("q")).first()["q"]
-    index = sum(((F.col("d_a") > e).cast("int") for e in edges), F.lit(0))
-    binned = pm.withColumn("da_bin", index).withColumn("bin", F.least(F.floor(F.col("coh") * 100), F.lit(99)))
-    counts = binned.groupBy("da_bin", "bin").agg(F.count("*").alias("n"), F.sum("d_a").alias("d")).collect()  # 400 rows at most
+    chance = random_counts(data, s)
+    edges = points.dispersion_edges(pm)
+    if len(edges) == 2:
+        pm = pm.withColumn("d_a", F.lit(1.0))
+    index = sum(((F.col("d_a") > e).cast("int") for e in edges[1:]), F.lit(0))
+    counted = pm.filter("coh <> 0 AND NOT isnan(coh)").withColumn("da_bin", index)
+    counted = counted.withColumn("bin", F.greatest(F.lit(0), F.least(F.ceil(F.col("coh") * 100) - 1, F.lit(99))))
+    counts = counted.groupBy("da_bin", "bin").agg(F.count("*").alias("n"), F.sum("d_a").alias("d")).collect()  # 100 rows a bin at most
     means, thresholds = [], []
-    for k in range(4):
-        rows = [r for r in counts if r["da_bin"] == k and r["bin"] is not None]
+    for k in range(len(edges) - 1):
+        rows = [r for r in counts if r["da_bin"] == k]
         if rows:
             seen = np.zeros(100)
             for r in rows:
                 seen[int(r["bin"])] += r["n"]
             means.append(sum(r["d"] for r in rows) / sum(r["n"] for r in rows))
-            thresholds.append(kernels.threshold_from_random(seen, chance, centres, s.percent_random))
+            thresholds.append(kernels.threshold_from_random(seen, chance, s.percent_random))
     slope, intercept = kernels.threshold_line(np.array(means), np.array(thresholds))
-    data.write("select1", pm.filter(F.col("coh") > slope * F.col("d_a") + intercept).select("ps_id", "coh"))
+    limit = pm.withColumn("limit", F.greatest(F.lit(0.0), slope * F.col("d_a") + intercept))
+    kept = limit.filter("coh > limit").select("ps_id", "k", "c", "coh", "limit")
+    b = [e["bperp"] for e in data.network()]
+    if s.reject_deviation > 0 or s.reestimate:
+        # The surroundings of each point, its own cell left out, filter its phases once more.
+        rest = blocks.without_own_cell(data.read("phase").join(kept.select("ps_id"), "ps_id", "left_semi"), data.read("weights1"), _grid(data.read("weights1"), data.read("turned1")), s.filter_size, s.low_pass, s.grid_size)
+        again = graph.written(blocks.estimate_coherence(graph.written(rest), b, s.wraps))
+        if s.reject_deviation > 0:
+            kept = blocks.steady(kept, residuals(rest, again, data.read("ifgs")), s.reject_deviation)
+        if s.reestimate:
+            kept = selection.consistent(kept, again, max(b) - min(b))
+    data.write("select1", kept.select("ps_id", "coh"))
     return "select1"
 
 
+def residuals(rest: DataFrame, fitted: DataFrame, ifgs: DataFrame) -> DataFrame:
+    """ps_id, ifg_id, phi of the fitted points less slope and offset."""
+    met = rest.join(fitted.select("ps_id", "k", "c"), "ps_id").join(F.broadcast(ifgs.select("ifg_id", "bperp")), "ifg_id")
+    return met.select("ps_id", "ifg_id", phase.wrap(F.col("phi") - F.col("k") * F.col("bperp") - F.col("c")).alias("phi"))
+
+
 def weed(data: Dataset, s: Settings) -> str:
     """One point of each adjacent group and place, and only quiet ones."""
     ps = data.read("ps1").join(data.read("select1"), "ps_id").filter("NOT hgt < 1e-6")
@@ -113,7 +161,7 @@ def weed(data: Dataset, s: Settings) -> str:
     ifgs, images = data.read("ifgs"), data.read("images")
     days = ifgs.join(images.select(F.col("image_ix").alias("a"), F.col("day").alias("da")), "a").select("ifg_id", F.col("da").cast("double").alias("day"))
     quiet = graph.node_minimum(blocks.arc_smoothing(graph.arc_differences(arcs, data.read("phase")), days, s.weed_window))
-    data.write("weed1", kept.join(quiet, kept.ps_id == quiet.node, "left").filter(f"node IS NULL OR (std < {s.weed_std} AND max < {s.weed_max})").drop("node", "std", "max"))
+    data.write("weed1", selection.quiet(kept.join(quiet, kept.ps_id == quiet.node, "left"), s.weed_std, s.weed_max).drop("node", "std", "max"))
     return "weed1"
 
 

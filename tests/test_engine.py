@@ -101,15 +101,118 @@ def test_filters_smooth_noise():
 
 
 def test_adaptive_filter_has_its_low_pass(spark):
-    """Without the adaptive part, a wave along the rows at the cutoff is halved, and a constant stays."""
+    """Without the adaptive part, a wave along the rows at the cutoff is halved against a constant."""
     response = kernels.butterworth(4, 800, 100)[0]
     assert np.allclose(response, [1, 1 / 1025, 1 / 1048577, 1 / 1025])
     waves = {1: [1.0] * 8, 2: [np.exp(2j * np.pi * i / 8) for i in range(8)]}
     rows = [(i + 1, j + 1, k, float(np.real(w[i])), float(np.imag(w[i]))) for k, w in waves.items() for i in range(8) for j in range(8)]
     grid = spark.createDataFrame(rows, "gi long, gj long, ifg_id long, re double, im double")
-    for r in blocks.filter_grid(grid, "adaptive", size=8, pad=0, beta=0.0).collect():
-        want = waves[r["ifg_id"]][r["gi"] - 1] * (1 if r["ifg_id"] == 1 else 0.5)
-        assert abs(complex(r["re"], r["im"]) - want) < 1e-9
+    got = {(r["ifg_id"], r["gi"], r["gj"]): complex(r["re"], r["im"]) for r in blocks.filter_grid(grid, "adaptive", size=8, pad=0, beta=0.0).collect()}
+    for (k, i, j), z in got.items():
+        assert abs(z / got[1, i, j] - waves[k][i - 1] * (1 if k == 1 else 0.5)) < 1e-9
+
+
+def test_windows_keep_their_weights_at_the_end():
+    """Two windows of four cells, two apart, over five cells: the second is moved back by one and keeps its ramp's place."""
+    assert kernels._windows(5, 4, 2, 1) == [(0, 0), (1, 1)] and kernels._windows(4, 4, 1, 3) == [(0, 0)]
+    ones = np.ones((4, 5), complex)
+    half = np.array([1.0, 2.0])
+    total = kernels._filtered(ones, 4, 0, 2, 1, np.r_[half, half[::-1]], lambda m: [np.ones((4, 4))])[0]
+    first, second = np.array([1, 2, 2, 1, 0.0]), np.array([0, 0, 1, 2, 2.0])
+    rows = np.array([1, 2, 2, 1.0])
+    want = (rows[:, None] + first[None, :]) * [1, 1, 1, 1, 0] + (rows[:, None] + second[None, :]) * [0, 0, 1, 1, 1]
+    assert np.allclose(total[:, :], want)
+
+
+def test_spectrum_is_smoothed_with_zeros_outside():
+    x = np.zeros((8, 8))
+    x[4, 0] = 1.0  # the lowest frequency along the rows: the edge once the middle is nought
+    kernel = kernels.gaussian_window(7)
+    got = np.fft.fftshift(kernels._spectrum_smoothed(x, kernel))
+    assert np.allclose(got[:, 4], [*kernel[3:], 0, 0, 0, 0]) and np.allclose(got[0], [0, *kernel])
+
+
+def test_own_cell_has_no_say():
+    """A lone odd phasor takes the angle of the field around it, also at the border and on a grid smaller than the window."""
+    low = kernels.butterworth(8, 800, 100)
+    for n in (6, 20):
+        field = np.full((n, n), np.exp(0.7j))
+        for at in ((0, 0), (n // 2, n - 1)):
+            odd = field.copy()
+            odd[at] = np.exp(-2.5j)
+            assert abs(np.angle(kernels.own_cell_filter(odd, *at, 8, low_pass=low)) - 0.7) < 0.05
+
+
+def test_chance_curve():
+    """One below the low bins and nought from the last on, smoothed; a thousand and one places; weights are squares."""
+    random, seen = np.full(100, 10.0), np.full(100, 40.0)
+    curve = kernels.chance_curve(random, seen, 31, 90)
+    assert len(curve) == 1001 and abs(curve[200] - 1) < 0.01 and abs(curve[600] - 0.25) < 0.01 and abs(curve[985]) < 0.01
+    weights = kernels.square_weights(np.array([0.6, np.nan, 1.0]), curve)
+    assert np.allclose(weights, [(1 - curve[600]) ** 2, (1 - curve[0]) ** 2, (1 - curve[1000]) ** 2])
+    x = np.sin(np.arange(30) / 5)
+    dense = kernels.interpolated(x, 10)
+    assert np.abs(dense[: 10 * 26 : 10][5:] - x[5:26]).max() < 0.05
+
+
+def test_bootstrap_deviation_is_of_the_row_alone():
+    draw = np.random.default_rng(1)
+    rows = draw.normal(0, [[0.1], [1.5]], (2, 40))
+    both, one = kernels.bootstrap_deviation(rows, np.array([5, 9])), kernels.bootstrap_deviation(rows[1:], np.array([9]))
+    assert both[1] == one[0] and both[0] < both[1]
+
+
+def test_threshold_of_fixed_vectors():
+    """By hand: share of bin k is 100 - k for k up to 99, which passes 60 from bin 41 (counted from one) on; the line through
+    bins 38 to 43 is met at 40."""
+    chance = np.zeros(100)
+    chance[:] = 1.0
+    seen = np.ones(100)
+    # With equal histograms every share is 100: nothing passes.
+    assert kernels.threshold_from_random(seen, chance, 60.0) == 1.0
+    assert np.isnan(kernels.threshold_from_random(seen, chance, 101.0))  # the first bin passes: no six bins around it
+    # Counts above bin k fall as 100 - k: with `share` false the points by chance, of which fewer than 59.5 from bin 42 on.
+    assert abs(kernels.threshold_from_random(seen, chance, 59.5, share=False) - 0.415) < 1e-9
+    assert kernels.threshold_line(np.array([]), np.array([])) == (0.0, 0.3)
+    assert kernels.threshold_line(np.array([0.2, 0.4]), np.array([0.5, np.nan])) == (0.0, 0.5)
+    assert np.allclose(kernels.threshold_line(np.array([0.2, 0.4]), np.array([0.5, 0.3])), (0.0, 0.35))
+    assert np.allclose(kernels.threshold_line(np.array([0.2, 0.4]), np.array([0.3, 0.5])), (1.0, 0.1))
+
+
+def test_plane_by_one_fit_and_five():
+    x, y = np.meshgrid(np.arange(4) * 1000.0, np.arange(4) * 1000.0)
+    x, y = x.ravel(), y.ravel()
+    v = 2 * x / 1000 - y / 1000 + 3
+    assert np.allclose(kernels.huber_plane(x, y, v, np.ones(16)), [2, -1, 3])
+    bad = v.copy()
+    bad[5] = np.nan
+    assert np.allclose(kernels.huber_plane(x, y, bad, np.ones(16)), [2, -1, 3])
+    assert np.isnan(kernels.huber_plane(x[:9], y[:9], v[:9], np.ones(9))).all()
+    assert np.isnan(kernels.huber_plane(x, y, v, np.r_[np.ones(9), np.zeros(7)])).all()
+    noisy = v + np.random.default_rng(0).normal(0, 0.1, 16)
+    noisy[3] += 9
+    design, weight = np.c_[x / 1000, y / 1000, np.ones(16)], np.ones(16)
+    fit = None
+    for _ in range(6):  # one fit and five more
+        root = np.sqrt(weight)
+        fit = np.linalg.lstsq(design * root[:, None], noisy * root, rcond=None)[0]
+        rest = noisy - design @ fit
+        weight = 1 / np.maximum(np.abs(rest) / (1.345 * 1.4826 * np.median(np.abs(rest - np.median(rest)))), 1)
+    assert np.allclose(kernels.huber_plane(x, y, noisy, np.ones(16)), fit)
+
+
+def test_nearest_of_odd_places(spark):
+    """Points without a place have no part; one far away is found; no nodes, no rows."""
+    from fringelake.operators import points
+
+    schema = "ps_id long, x double, y double"
+    here = spark.createDataFrame([(1, 0.0, 0.0), (2, float("nan"), 1.0), (3, None, 1.0), (4, 1e6, 0.0), (5, float("inf"), 0.0)], schema)
+    nodes = spark.createDataFrame([(10, 3.0, 4.0), (11, 3.0, -4.0), (12, float("nan"), 0.0)], schema)
+    got = {r["ps_id"]: (r["other"], r["d"]) for r in points.nearest(here, nodes, 2.0).collect()}
+    assert set(got) == {1, 4} and got[1] == (10, 5.0) and got[4][0] == 10
+    assert points.nearest(here, nodes.limit(0), 2.0).count() == 0 and points.nearest(here.limit(0), nodes, 2.0).count() == 0
+    delays = spark.createDataFrame([(1, 0.0, 0.0, 7.0), (2, 1.0, 0.0, None), (3, 50.0, 0.0, 9.0), (4, 40.0, 0.0, float("nan"))], schema + ", delay double")
+    assert {r["ps_id"]: r["delay"] for r in points.filled(delays, "delay", 2.0).collect()} == {1: 7.0, 2: 7.0, 3: 9.0, 4: 9.0}
 
 
 def test_robust_fits():
@@ -121,9 +224,7 @@ def test_robust_fits():
     centres = (np.arange(100) + 0.5) / 100
     chance = np.exp(-(((centres - 0.2) / 0.08) ** 2)) * 1000
     signal = np.exp(-(((centres - 0.9) / 0.05) ** 2)) * 1000
-    t = kernels.threshold_from_random(chance + signal, chance, centres, 5.0)
-    assert 0.2 < t < 0.6
-    assert kernels.threshold_line(np.array([0.1, 0.2]), np.array([0.5, 0.4]))[0] == 0
+    assert 0.3 < kernels.threshold_from_random(chance + signal, chance, 5.0) < 0.5
     days = np.arange(20) * 12.0
     assert kernels.smoothed_arc(0.001 * days, days, 60)[0] < 1e-3
     assert kernels.random_coherence(500, np.linspace(-100, 100, 20), 1.0).sum() == 500
@@ -266,7 +367,7 @@ def test_stages_recover_velocities(spark, tmp_path):
             phi = -4 * math.pi / (wavelength * 1000) * v * 12 * (b - a) / 365.25 + draw.normal(0, 0.05)
             phases.append((ps, k + 1, math.atan2(math.sin(phi), math.cos(phi))))
     spark.createDataFrame(phases, "ps_id long, ifg_id long, phi double").write.parquet(f"{root}/phase")
-    s = Settings(grid_size=40.0, random_rows=2000, scn_wavelength=5.0, scn_window=15.0, qc_share=0.03)  # the series spans 132 days
+    s = Settings(grid_size=40.0, filter_size=8, iterations=4, reject_deviation=0.2, random_rows=2000, scn_wavelength=5.0, scn_window=15.0, qc_share=0.03)  # the series spans 132 days
     assert [x[1] for x in stages.run(spark, root, s, dry=True).stages] == ["planned"] * 9
     report = stages.run(spark, root, s)
     assert [x[1] for x in report.stages] == ["done"] * 9 and report.frame(spark).count() == 9
