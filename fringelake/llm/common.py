@@ -180,8 +180,10 @@ def joined_by_row(parts, of_unique, offsets) -> list[memoryview]:
 
 
 def blocks(batch, column: str, limit: int = BLOCK_BYTES):
-    """Slices of an Arrow batch with about `limit` bytes of text each; a longer row stands alone."""
+    """Slices of an Arrow batch with about `limit` bytes of text each; a longer row stands alone. After the last one the worker
+    gives back what memory Arrow holds on to."""
     import numpy as np
+    import pyarrow as pa
     import pyarrow.compute as pc
 
     if not batch.num_rows:
@@ -194,3 +196,4 @@ def blocks(batch, column: str, limit: int = BLOCK_BYTES):
         stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
         yield batch.slice(start, stop - start)
         start, base = stop, int(ends[stop - 1])
+    pa.default_memory_pool().release_unused()
