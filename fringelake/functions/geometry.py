@@ -116,3 +116,27 @@ def distance(lon, lat, lon0, lat0) -> Column:
     """Equirectangular metres."""
     cos0 = math.cos(math.radians(lat0)) if isinstance(lat0, (int, float)) else F.cos(F.radians(lat0))
     return F.hypot(F.radians(lon - lon0) * EARTH_M * cos0, F.radians(lat - lat0) * EARTH_M)
+
+
+def looks(original, multilooked) -> Column:
+    """How many cells of an axis became one, from its two sizes; null where they don't go together."""
+    ratio = F.greatest(F.lit(1), F.bround(original / multilooked).cast("long"))
+    fits = (multilooked == F.floor(original / ratio)) | (multilooked == F.ceil(original / ratio))
+    return F.when((original > 0) & (multilooked > 0) & fits, ratio)
+
+
+def local_frame(points, heading: float):
+    """points with x, y: metres from the middle of their extent on the ellipsoid's radii there, turned by 180 degrees less the
+    heading if that makes both extents smaller, to millimetres. Extents are one broadcast row."""
+    ends = points.agg(((F.min("lon") + F.max("lon")) / 2).alias("lon0"), ((F.min("lat") + F.max("lat")) / 2).alias("lat0"))
+    east, north = curvature(F.col("lat0"))
+    x, y = flat_metres(F.col("lon"), F.col("lat"), F.col("lon0"), F.col("lat0"), east, north)
+    flat = points.crossJoin(F.broadcast(ends)).withColumn("x", x).withColumn("y", y).drop("lon0", "lat0")
+    turn = math.radians(180 - heading)
+    tx = F.col("x") * math.cos(turn) + F.col("y") * math.sin(turn)
+    ty = F.col("y") * math.cos(turn) - F.col("x") * math.sin(turn)
+    extent = lambda v: F.max(v) - F.min(v)
+    smaller = flat.agg(((extent(tx) < extent(F.col("x"))) & (extent(ty) < extent(F.col("y")))).alias("turned"))
+    told = flat.crossJoin(F.broadcast(smaller))
+    pick = lambda turned, straight: F.round(F.when(F.col("turned"), turned).otherwise(F.col(straight)), 3) + F.lit(0.0)
+    return told.select(*points.columns, pick(tx, "x").alias("x"), pick(ty, "y").alias("y"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Days between the proleptic day number 1 of year 0 and 1970-01-01.
@@ -76,15 +76,23 @@ def millimetres(x) -> Column:
     return (half_away(x.cast("float") * F.lit(1000.0).cast("float")) / 1000).cast("float")
 
 
-def text_flag(x) -> Column:
-    return F.lower(F.trim(x))
+def text_flag(x, default: str | None = None) -> Column:
+    """Lower-cased and trimmed text; the default where nothing is left."""
+    low = F.lower(F.trim(x))
+    return low if default is None else F.coalesce(F.when(low != "", low), F.lit(default))
 
 
 def unit_scale(text) -> Column:
-    """Metres of one unit that a text names; metres if it names none."""
-    low = F.lower(text)
+    """Metres of one unit that a text names; null if it names none."""
+    low = F.regexp_replace(F.lower(F.trim(text)), " ", "")
     return (
-        F.when(low.contains("millimet") | low.rlike(r"\bmm\b"), 0.001)
-        .when(low.contains("centimet") | low.rlike(r"\bcm\b"), 0.01)
-        .otherwise(1.0)
+        F.when(low.contains("millimeter") | low.isin("mm", "millimetre"), 0.001)
+        .when(low.contains("centimeter") | low.isin("cm", "centimetre"), 0.01)
+        .when(low.isin("m", "meter", "metre", "meters", "metres"), 1.0)
     )
+
+
+def axis_with_master(days: DataFrame, master: float) -> DataFrame:
+    """image_ix, day, is_master: the days in order, the master's put in where it belongs. A row for each acquisition."""
+    whole = days.select("day").union(days.sparkSession.createDataFrame([(float(master),)], "day double")).distinct()
+    return whole.select(F.row_number().over(Window.orderBy("day")).cast("long").alias("image_ix"), "day", (F.col("day") == master).alias("is_master"))

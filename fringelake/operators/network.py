@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fringelake.operators.robust import MAD_SCALE, median, percentile_rank, robust_high_z
+from fringelake.operators.graph import written
+from fringelake.operators.points import grid_neighbours
+from fringelake.operators.robust import MAD_SCALE, circular_mad, median, mid_rank, percentile_rank, robust_high_z
 
 #: Evidence thresholds and weights of the first selection.
 Z_STRONG, Z_CONTEXT, RANK_STRONG = 4.0, 3.5, 0.99
@@ -199,12 +201,86 @@ def manual_removal(ifgs: list[dict], requested: list[int], preserve: bool = True
 
 
 def final_flags(df: DataFrame) -> DataFrame:
-    """Rules of the last control from percentiles and z of network and MSD metrics and the grid control's verdict."""
+    """Rules of the last control from percentiles of network and MSD metrics and the grid control's verdicts: an extreme network
+    anomaly alone, a strong one with a grid family or a strong MSD, an extreme MSD with strong grid evidence."""
     extreme, strong = F.col("network_pct") >= 0.99, F.col("network_pct") >= 0.975
-    msd_extreme, msd_strong, grid = F.col("msd_pct") >= 0.99, F.col("msd_pct") >= 0.975, F.col("grid_strong")
-    return df.withColumn("drop", extreme | (strong & grid) | (strong & msd_strong) | (msd_extreme & grid))
+    msd_extreme, msd_strong = F.col("msd_pct") >= 0.99, F.col("msd_pct") >= 0.975
+    rules = {
+        "network_extreme": extreme, "network_strong+grid": strong & F.col("grid_family"), "network_strong+unwrap": strong & msd_strong,
+        "unwrap_extreme+grid_strong": msd_extreme & F.col("grid_strong"),
+    }
+    reasons = F.concat_ws(",", *(F.when(rule, F.lit(name)) for name, rule in rules.items()))
+    return df.withColumn("reasons", reasons).withColumn("drop", F.col("reasons") != "")
 
 
-def pivot_z(df: DataFrame, columns: list[str]) -> Column:
+def final_order() -> list[Column]:
+    """Candidates of the last control, the worst first."""
+    return [F.desc(F.col("network_pct") >= 0.99), F.desc("network_pct"), F.desc(F.col("msd_pct") >= 0.99), F.desc("msd_pct"), F.desc("grid_strong"), F.col("ifg_id")]
+
+
+def middle_z(columns: list[str]) -> Column:
     """The middle of three z columns."""
     return F.get(F.array_sort(F.array(*columns)), len(columns) // 2)
+
+
+#: The metrics of each family of the grid control (fixed values).
+MEMBERS = {
+    "closure": ("closure_rms", "closure_incoherence"),
+    "residual": ("residual_rms", "residual_mad", "residual_incoherence", "extreme_fraction"),
+    "gradient": ("gradient_mad",),
+    "validity": ("invalid_fraction",),
+    "noise": ("ifg_std",),
+}
+
+
+def grid_residuals(grid: DataFrame, least: int = 8) -> DataFrame:
+    """ifg_id and the metrics of what the low-pass (lre, lim) leaves of a filtered grid (re, im): RMS, circular MAD,
+    incoherence, the share more than a quarter turn from the middle, the share of invalid cells, and the circular MAD of
+    differences to the cells below and to the right. Fewer than `least` valid cells or differences tell nothing."""
+    there = (F.hypot("re", "im") > 0) & (F.hypot("lre", "lim") > 0)
+    turned = F.atan2(F.col("im") * F.col("lre") - F.col("re") * F.col("lim"), F.col("re") * F.col("lre") + F.col("im") * F.col("lim"))
+    rest = grid.select("ifg_id", "gi", "gj", F.when(F.coalesce(there, F.lit(False)), turned).alias("r"))
+    re, im = F.avg(F.cos("r")), F.avg(F.sin("r"))
+    mean = rest.groupBy("ifg_id").agg(
+        (1 - F.count("r") / F.count("*")).alias("invalid_fraction"), F.count("r").alias("n"), F.sqrt(F.avg(F.col("r") * F.col("r"))).alias("residual_rms"),
+        (1 - F.hypot(re, im)).alias("residual_incoherence"), F.atan2(im, re).alias("centre"),
+    )
+    apart = F.abs(F.atan2(F.sin(F.col("r") - F.col("centre")), F.cos(F.col("r") - F.col("centre"))))
+    spread = rest.join(F.broadcast(mean.select("ifg_id", "centre")), "ifg_id").groupBy("ifg_id").agg(
+        (MAD_SCALE * median(apart)).alias("residual_mad"), F.avg((apart > F.pi() / 2).cast("int")).alias("extreme_fraction")
+    )
+    steps = grid_neighbours(rest.filter("r IS NOT NULL"), "r", ["ifg_id"]).select("ifg_id", F.atan2(F.sin("d"), F.cos("d")).alias("d"))
+    gradient = circular_mad(steps, ["ifg_id"], "d").join(steps.groupBy("ifg_id").count(), "ifg_id").filter(F.col("count") >= least)
+    told = mean.join(spread, "ifg_id").join(gradient.select("ifg_id", F.col("mad").alias("gradient_mad")), "ifg_id", "left")
+    enough = ["residual_rms", "residual_mad", "residual_incoherence", "extreme_fraction"]
+    return told.select("ifg_id", *(F.when(F.col("n") >= least, F.col(c)).alias(c) for c in enough), "invalid_fraction", "gradient_mad")
+
+
+def family_evidence(metrics: DataFrame) -> DataFrame:
+    """ifg_id, n_bad, n_extreme, score from a column for each metric in MEMBERS: a family is as bad as the worst of its
+    members, so that related metrics have one vote."""
+    names = [m for members in MEMBERS.values() for m in members]
+    family = F.create_map(*(F.lit(v) for f, members in MEMBERS.items() for m in members for v in (m, f)))
+    weight = F.create_map(*(F.lit(v) for f, w in FAMILIES.items() for v in (f, w)))
+    long = metrics.unpivot("ifg_id", names, "metric", "x")
+    told = mid_rank(robust_high_z(long, "x", "z", ["metric"], kind="grid"), "x", "pct", ["metric"])
+    worst = told.groupBy("ifg_id", family[F.col("metric")].alias("family")).agg(F.max("z").alias("z"), F.max("pct").alias("pct"))
+    return worst.groupBy("ifg_id").agg(
+        F.sum((F.col("pct") >= FAMILY_BAD).cast("int")).alias("n_bad"), F.sum((F.col("z") >= FAMILY_EXTREME).cast("int")).alias("n_extreme"),
+        (F.sum(weight[F.col("family")] * F.least(F.col("z"), F.lit(FAMILY_TOP))) / sum(FAMILIES.values())).alias("score"),
+    )
+
+
+def grid_candidates(scored: DataFrame, tail: float = 0.02, z: float = 2.5, families: int = 2, excess: float = 2.5, clustered: float = 3.5, degree: int = 3, sparse_z: float = 4.0) -> DataFrame:
+    """scored (ifg_id, a, b, n_bad, n_extreme, score) with score_z, score_pct, base, excess_z and candidate.
+
+    A base candidate is in the tail of scores, far above their median and bad in several families, or extreme in two. It stays
+    one if its score stands out above its acquisitions' own level too (further where many of an acquisition's interferograms are
+    candidates), or, where an acquisition has too few for a level, if it is far out and extreme in two families."""
+    told = mid_rank(robust_high_z(scored, "score", "score_z", kind="grid"), "score", "score_pct")
+    usual = (F.col("score_pct") >= 1 - tail) & (F.col("score_z") >= z) & (F.col("n_bad") >= families)
+    based = written(told.withColumn("base", usual | (F.col("n_extreme") >= 2)))
+    around = robust_high_z(node_context(based, "score", "base"), "excess", "excess_z", kind="grid")
+    stands = F.col("excess_z") >= F.when(F.col("clustered"), clustered).otherwise(excess)
+    sparse = (F.least("degree_a", "degree_b") < degree) & (F.col("score_z") >= sparse_z) & (F.col("n_extreme") >= 2)
+    return around.withColumn("candidate", F.col("base") & (stands | sparse))

@@ -244,6 +244,17 @@ def bilinear(points: DataFrame, raster: DataFrame, least: float = 0.25) -> DataF
     return told.select("pt", F.when(F.col("w") > least, F.col("v")).otherwise(F.col("near.value")).alias("v"))
 
 
+def incidence(places: DataFrame, elevation: DataFrame) -> DataFrame:
+    """pt, incidence, cosine from a raster of look-vector elevations (row, col, value, radians): bilinear between its cells. A
+    place outside the raster, or a direction that does not come down, is an error."""
+    sampled = bilinear(places, elevation)
+    told = sampled.select("pt", (F.pi() / 2 - F.col("v")).alias("incidence"), F.sin("v").alias("cosine"))
+    outside, flat = places.join(sampled, "pt", "left_anti").count(), told.filter("NOT cosine > 0").count()
+    if outside or flat:
+        raise ValueError(f"{outside} places outside the raster, {flat} directions that do not come down")
+    return told
+
+
 def even_sample(df: DataFrame, key: str, n: int) -> DataFrame:
     """Rows at n evenly spaced places of the order by key, the first and the last included."""
     from fringelake.operators.selection import at_places

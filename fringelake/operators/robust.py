@@ -31,12 +31,12 @@ def with_median_mad(df: DataFrame, x: str, by: list[str] | None = None) -> DataF
 
 
 def _windowed(df: DataFrame, x: str, by: list[str]) -> DataFrame:
-    """As with_median_mad, by two windows over the same partitions: for tables of a row for each interferogram, arc or cell."""
+    """As with_median_mad with names that start with _rz_, by two windows over the same partitions: for tables of a row for each interferogram, arc or cell."""
     group = Window.partitionBy(*by)
     finite = F.when(~F.isnan(x) & (F.abs(x) < math.inf), F.col(x))
-    told = df.withColumn("med", median(finite).over(group)).withColumn("n", F.count(finite).over(group)).withColumn("std", F.stddev_pop(finite).over(group))
-    told = told.withColumn("spread", F.max(finite).over(group) - F.min(finite).over(group))
-    return told.withColumn("mad", median(F.abs(finite - F.col("med"))).over(group))
+    told = df.withColumn("_rz_med", median(finite).over(group)).withColumn("_rz_n", F.count(finite).over(group)).withColumn("_rz_std", F.stddev_pop(finite).over(group))
+    told = told.withColumn("_rz_spread", F.max(finite).over(group) - F.min(finite).over(group))
+    return told.withColumn("_rz_mad", median(F.abs(finite - F.col("_rz_med"))).over(group))
 
 
 def robust_high_z(df: DataFrame, x: str, out: str, by: list[str] | None = None, kind: str = "selection") -> DataFrame:
@@ -47,19 +47,19 @@ def robust_high_z(df: DataFrame, x: str, out: str, by: list[str] | None = None,
     `network` to the deviation or else 1, with NaN for non-finite values.
     """
     told = _windowed(df, x, by or [])
-    robust, n = MAD_SCALE * F.col("mad"), F.col("n").cast("double")
+    robust, n = MAD_SCALE * F.col("_rz_mad"), F.col("_rz_n").cast("double")
     if kind == "selection":
-        other, odd = F.col("spread") / F.greatest(F.lit(10.0), F.sqrt(n)), F.lit(math.inf)
+        other, odd = F.col("_rz_spread") / F.greatest(F.lit(10.0), F.sqrt(n)), F.lit(math.inf)
     elif kind == "grid":
-        other, odd = F.greatest(F.col("std"), F.col("spread") / F.sqrt(n), F.lit(_TINY)), F.lit(0.0)
+        other, odd = F.greatest(F.col("_rz_std"), F.col("_rz_spread") / F.sqrt(n), F.lit(_TINY)), F.lit(0.0)
     else:
-        other, odd = F.when(F.col("std") > _TINY, F.col("std")).otherwise(1.0), F.lit(math.nan)
+        other, odd = F.when(F.col("_rz_std") > _TINY, F.col("_rz_std")).otherwise(1.0), F.lit(math.nan)
     scale = F.when(robust > _TINY, robust).otherwise(other)
-    z = F.when(scale > _TINY, F.greatest(F.lit(0.0), (F.col(x) - F.col("med")) / scale)).otherwise(0.0)
+    z = F.when(scale > _TINY, F.greatest(F.lit(0.0), (F.col(x) - F.col("_rz_med")) / scale)).otherwise(0.0)
     if kind == "grid":
-        z = F.when(F.col("n") < 2, 0.0).otherwise(z)
+        z = F.when(F.col("_rz_n") < 2, 0.0).otherwise(z)
     finite = F.col(x).isNotNull() & ~F.isnan(x) & (F.abs(x) < math.inf)
-    return told.withColumn(out, F.when(finite, z).otherwise(odd)).drop("med", "mad", "n", "std", "spread")
+    return told.withColumn(out, F.when(finite, z).otherwise(odd)).drop("_rz_med", "_rz_mad", "_rz_n", "_rz_std", "_rz_spread")
 
 
 def percentile_rank(df: DataFrame, x: str, key: str, out: str) -> DataFrame:
@@ -75,11 +75,11 @@ def ecdf(df: DataFrame, x: str, out: str) -> DataFrame:
     return df.withColumn(out, F.cume_dist().over(Window.orderBy(x)))
 
 
-def mid_rank(df: DataFrame, x: str, out: str) -> DataFrame:
+def mid_rank(df: DataFrame, x: str, out: str, by: list[str] | None = None) -> DataFrame:
     """(smaller values + the middle of the equal ones) / n; 0.5 for less than two rows or one distinct value."""
-    whole = Window.partitionBy()
+    whole = Window.partitionBy(*(by or []))
     n = F.count("*").over(whole)
-    value = (F.rank().over(Window.orderBy(x)) - 1 + (F.count("*").over(Window.partitionBy(x)) + 1) / 2) / n
+    value = (F.rank().over(whole.orderBy(x)) - 1 + (F.count("*").over(Window.partitionBy(*(by or []), x)) + 1) / 2) / n
     return df.withColumn(out, F.when((n < 2) | (F.min(x).over(whole) == F.max(x).over(whole)), 0.5).otherwise(value))
 
 

@@ -116,9 +116,9 @@ def diagnostic_points(values: DataFrame, key: str, x: str, rule: str, count: int
     return at_places(finite, key, places)
 
 
-def at_places(df: DataFrame, key: str, places: list[int]) -> DataFrame:
-    """The rows at the places, from 0, of the order by key: rows are dealt by range, counted by part, and numbered from the
-    counts of the parts before; no task sees all rows."""
+def placed(df: DataFrame, key: str) -> DataFrame:
+    """df with the place of each row, from 0, in the order by key: rows are dealt by range, counted by part, and numbered from
+    the counts of the parts before; no task sees all rows."""
     part = written(df.repartitionByRange(key).withColumn("__part", F.spark_partition_id()))
     sizes = sorted((r["__part"], r["count"]) for r in part.groupBy("__part").count().collect())  # a row for each part
     starts, total = [], 0
@@ -128,7 +128,12 @@ def at_places(df: DataFrame, key: str, places: list[int]) -> DataFrame:
     begins = df.sparkSession.createDataFrame(starts, "__part int, __begin long")
     place = F.row_number().over(Window.partitionBy("__part").orderBy(key)) - 1
     told = part.withColumn("place", place).join(F.broadcast(begins), "__part").withColumn("place", F.col("place") + F.col("__begin"))
-    return told.filter(F.col("place").isin(places)).drop("__part", "__begin")
+    return told.drop("__part", "__begin")
+
+
+def at_places(df: DataFrame, key: str, places: list[int]) -> DataFrame:
+    """The rows at the places, from 0, of the order by key."""
+    return placed(df, key).filter(F.col("place").isin(places))
 
 
 def common_places(left: DataFrame, right: DataFrame, keys: list[str], key: str = "ps_id") -> DataFrame:

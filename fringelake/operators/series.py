@@ -39,14 +39,29 @@ def line_fit(x: Column, y: Column, w: Column | None = None) -> tuple[Column, Col
 
 
 def velocity(ts: DataFrame, key: str, day: str, x: str, w: str | None = None, least: int = 3) -> DataFrame:
-    """key, velocity a year, rms of the fit, n."""
-    t = F.col(day) / 365.25
+    """key, velocity a year, rms of the fit, n. Times count from the first day of the table, so that sums of squares of large
+    day numbers do not swallow their differences."""
+    began = ts.agg(F.min(day).alias("__began"))
+    t = (F.col(day) - F.col("__began")) / 365.25
+    near = ts.crossJoin(F.broadcast(began))
     intercept, slope = line_fit(t, F.col(x), F.col(w) if w else None)
-    fit = ts.groupBy(key).agg(intercept.alias("c"), slope.alias("velocity"), F.count("*").alias("n")).filter(F.col("n") >= least)
-    rest = ts.join(fit, key).withColumn("r", F.col(x) - F.col("c") - F.col("velocity") * t)
+    fit = near.groupBy(key).agg(intercept.alias("c"), slope.alias("velocity"), F.count("*").alias("n")).filter(F.col("n") >= least)
+    rest = near.join(fit, key).withColumn("r", F.col(x) - F.col("c") - F.col("velocity") * t)
     return rest.groupBy(key).agg(F.first("velocity").alias("velocity"), F.sqrt(F.avg(F.col("r") * F.col("r"))).alias("rms"), F.first("n").alias("n"))
 
 
+def gls_velocity(ts: DataFrame, days: list[float], covariance: np.ndarray) -> DataFrame:
+    """ps_id, c, velocity, rms of x = c + velocity * years over all epochs (image_ix from 1, in the order of `days`), by
+    generalised least squares: the two rows of the projector are a broadcast table with a row for each epoch."""
+    t = (np.asarray(days, float) - days[0]) / 365.25
+    p = projector(np.c_[np.ones(len(t)), t], covariance)
+    epochs = ts.sparkSession.createDataFrame([(k + 1, float(t[k]), float(p[0, k]), float(p[1, k])) for k in range(len(t))], "image_ix long, t double, p0 double, p1 double")
+    met = ts.join(F.broadcast(epochs), "image_ix")
+    fit = met.groupBy("ps_id").agg(F.sum(F.col("p0") * F.col("x")).alias("c"), F.sum(F.col("p1") * F.col("x")).alias("velocity"))
+    rest = met.join(fit, "ps_id").withColumn("r", F.col("x") - F.col("c") - F.col("velocity") * F.col("t"))
+    return rest.groupBy("ps_id").agg(F.first("c").alias("c"), F.first("velocity").alias("velocity"), F.sqrt(F.avg(F.col("r") * F.col("r"))).alias("rms"))
+
+
 def period_velocity(ts: DataFrame, key: str, period: Column, day: str, x: str, least: int, span: float) -> DataFrame:
     """key, period, velocity, n, span of periods with enough observations over enough days."""
     _, slope = line_fit(F.col(day) / 365.25, F.col(x))
@@ -153,3 +168,79 @@ def topofit_trials(phase: DataFrame, ifgs: DataFrame, wraps: float) -> DataFrame
     told = met.groupBy("ps_id", "trial").agg(F.first(k).alias("k"), (F.hypot(F.sum(F.cos(turned)), F.sum(F.sin(turned))) / F.count("*")).alias("coh"))
     best = told.groupBy("ps_id").agg(F.max(F.struct(F.round("coh", 9).alias("r"), (-F.abs("trial")).alias("near"), "trial", "k", "coh")).alias("best"))
     return best.select("ps_id", "best.trial", "best.k", "best.coh")
+
+
+def scla_with_time(phase: DataFrame, ifgs: DataFrame) -> DataFrame:
+    """ps_id, k of phi = c + k * bperp + v * dt: the height-error model of a small-baseline network, with the velocity fitted
+    along; moments about the means, combined on the map side."""
+    met = phase.join(F.broadcast(ifgs.select("ifg_id", "bperp", "dt")), "ifg_id")
+    s = met.groupBy("ps_id").agg(
+        F.var_pop("bperp").alias("bb"), F.var_pop("dt").alias("tt"), F.covar_pop("bperp", "dt").alias("bt"), F.covar_pop("bperp", "phi").alias("bp"), F.covar_pop("dt", "phi").alias("tp")
+    )
+    det = F.col("bb") * F.col("tt") - F.col("bt") * F.col("bt")
+    return s.select("ps_id", F.when(det > 0, (F.col("bp") * F.col("tt") - F.col("tp") * F.col("bt")) / det).alias("k"))
+
+
+def scla_single_master(ts: DataFrame, master_day: float) -> DataFrame:
+    """ps_id, k, c, v of series (ps_id, day, b, phi): k from the consecutive differences of phase over those of baseline, then
+    offset at the master's day and rate a day of what k leaves."""
+    order = Window.partitionBy("ps_id").orderBy("day")
+    steps = ts.withColumn("db", F.col("b") - F.lag("b").over(order)).withColumn("dp", F.col("phi") - F.lag("phi").over(order)).filter("db IS NOT NULL")
+    slope = steps.groupBy("ps_id").agg(F.regr_slope("dp", "db").alias("k"))
+    rest = ts.join(slope, "ps_id").withColumn("y", F.col("phi") - F.col("k") * F.col("b")).withColumn("t", F.col("day") - master_day)
+    return rest.groupBy("ps_id").agg(F.first("k").alias("k"), F.regr_intercept("y", "t").alias("c"), F.regr_slope("y", "t").alias("v"))
+
+
+def scn_from(high: DataFrame, smooth: DataFrame, master: int) -> DataFrame:
+    """ps_id, image_ix, scn: spatially smoothed values less those of the first point, nought at the master. The first point's
+    values are a row for each epoch."""
+    first = smooth.groupBy("image_ix").agg(F.min_by("v", "ps_id").alias("first"))
+    told = smooth.join(F.broadcast(first), "image_ix")
+    return told.select("ps_id", "image_ix", F.when(F.col("image_ix") == master, 0.0).otherwise(F.col("v") - F.col("first")).alias("scn"))
+
+
+def corrected(ts: DataFrame, model: DataFrame, scn: DataFrame, reference: DataFrame, master: int) -> DataFrame:
+    """ps_id, image_ix, phi: phases (ps_id, image_ix, b, phi) less k * b, c and spatial noise, nought at the master, less the
+    reference points' mean of each epoch."""
+    met = ts.join(model.select("ps_id", "k", "c"), "ps_id").join(scn, ["ps_id", "image_ix"])
+    rest = F.col("phi") - F.col("k") * F.col("b") - F.col("c") - F.col("scn")
+    told = met.select("ps_id", "image_ix", F.when(F.col("image_ix") == master, 0.0).otherwise(rest).alias("phi"))
+    means = told.join(reference.select("ps_id"), "ps_id", "left_semi").groupBy("image_ix").agg(F.avg("phi").alias("m"))
+    return told.join(F.broadcast(means), "image_ix").select("ps_id", "image_ix", (F.col("phi") - F.col("m")).alias("phi"))
+
+
+def delay_phases(delays: DataFrame, incidence: DataFrame, reference: DataFrame, master: int, wavelength: float) -> DataFrame:
+    """ps_id, image_ix, corr: zenith delays in metres along the line of sight, less the reference points' median of each epoch,
+    as phase against the master's. Reference points are few; their medians are a row for each epoch."""
+    los = delays.join(incidence, "ps_id").select("ps_id", "image_ix", (F.col("zenith") / F.cos("theta")).alias("d"))
+    middle = los.join(reference.select("ps_id"), "ps_id", "left_semi").groupBy("image_ix").agg(F.percentile("d", F.lit(0.5)).alias("m"))
+    level = los.join(F.broadcast(middle), "image_ix").select("ps_id", "image_ix", (F.col("d") - F.col("m")).alias("d"))
+    at_master = level.filter(F.col("image_ix") == master).select("ps_id", F.col("d").alias("d0"))
+    return level.join(at_master, "ps_id").select("ps_id", "image_ix", (4 * math.pi / wavelength * (F.col("d") - F.col("d0"))).alias("corr"))
+
+
+def delay_sign(phases: DataFrame, corr: DataFrame, master: int) -> DataFrame:
+    """One row: the medians over epochs of the robust scale of phases less and plus the correction, and the sign of the lower."""
+    met = phases.join(corr, ["ps_id", "image_ix"]).filter(F.col("image_ix") != master)
+    sides = met.select("image_ix", F.explode(F.create_map(F.lit("subtract"), F.col("phi") - F.col("corr"), F.lit("add"), F.col("phi") + F.col("corr"))).alias("sign", "x"))
+    half = lambda c: F.percentile(c, F.lit(0.5))
+    middle = sides.groupBy("image_ix", "sign").agg(half("x").alias("m"))
+    scale = sides.join(F.broadcast(middle), ["image_ix", "sign"]).groupBy("image_ix", "sign").agg((1.4826 * half(F.abs(F.col("x") - F.col("m")))).alias("s"))
+    told = scale.groupBy("sign").agg(half("s").alias("s")).groupBy().agg(F.max_by("s", F.col("sign") == "subtract").alias("score_subtract"), F.max_by("s", F.col("sign") == "add").alias("score_add"))
+    return told.withColumn("sign", F.when(F.col("score_subtract") <= F.col("score_add"), "subtract").otherwise("add"))
+
+
+def with_delay(phases: DataFrame, corr: DataFrame, sign: DataFrame) -> DataFrame:
+    """ps_id, image_ix, phi: phases corrected with the chosen sign, one broadcast row."""
+    met = phases.join(corr, ["ps_id", "image_ix"]).crossJoin(F.broadcast(sign.select("sign")))
+    return met.select("ps_id", "image_ix", F.when(F.col("sign") == "add", F.col("phi") + F.col("corr")).otherwise(F.col("phi") - F.col("corr")).alias("phi"))
+
+
+def design_table(ifgs: list[tuple[int, int]], n_images: int) -> list[tuple[int, int, float]]:
+    """(row, image, value) of the design matrix, the reference image's column left out."""
+    return [(k + 1, image, value) for k, (a, b) in enumerate(ifgs) for image, value in ((a, -1.0), (b, 1.0)) if 1 < image <= n_images]
+
+
+def fitted_series(fits: DataFrame, days: DataFrame) -> DataFrame:
+    """Values of each fit (c, slope a day) at each day; the days are as few as the acquisitions and are broadcast."""
+    return fits.crossJoin(F.broadcast(days)).withColumn("value", F.col("c") + F.col("slope") * F.col("day"))

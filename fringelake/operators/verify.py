@@ -3,12 +3,20 @@
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Patterns of paths by kind of failure, in order of priority.
-KINDS = (("unwrap", r"(uw|unwrap)"), ("selection", r"(select|weed)"), ("coherence", r"(pm|coh)"), ("load", r"(ps|ph|bp|la|hgt|da)\d"))
+#: Kinds of failure, in order of priority: pattern of the path, stages, kind (fixed values).
+KINDS = (
+    (r"^PATCH_[^/]*/(.*/)?pm1\.mat$", "stage2", "stage2_patch_boundary"),
+    (r"^PATCH_[^/]*/(.*/)?select1\.mat$", "stage3", "stage3_patch_boundary"),
+    (r"^PATCH_[^/]*/(.*/)?weed1\.mat$", "stage4", "stage4_patch_boundary"),
+    (r"(^|/)(pm2|ifgstd2|phuw2|uw_phaseuw|uw_grid|uw_interp)\.mat$", "stage5_6", "unwrap_smoothing"),
+    (r"(^|/)(scla2|scla_smooth2|mean_v|mv2|uw_space_time)\.mat$", "stage7_8", "unwrapped_noise_statistics"),
+)
+PRIORITY = {"stage2": 0, "stage3": 1, "stage4": 2, "stage5_6": 3, "stage7_8": 4, "unknown": 5}
 
 
 def allclose(a, b, atol: float, rtol: float) -> Column:
@@ -40,12 +48,69 @@ def exact_difference(run: DataFrame, golden: DataFrame) -> DataFrame:
 
 
 def failure_kind(path) -> Column:
-    out = F.lit("other")
-    for name, pattern in reversed(KINDS):
-        out = F.when(F.lower(path).rlike(pattern), F.lit(name)).otherwise(out)
+    out = F.lit("unclassified")
+    for pattern, _, kind in reversed(KINDS):
+        out = F.when(path.rlike(pattern), F.lit(kind)).otherwise(out)
     return out
 
 
+def stage_scope(path) -> Column:
+    out = F.lit("unknown")
+    for pattern, scope, _ in reversed(KINDS):
+        out = F.when(path.rlike(pattern), F.lit(scope)).otherwise(out)
+    return out
+
+
+def failure_summary(failures: DataFrame) -> DataFrame:
+    """priority, scope, kind, n, first of the failed paths, the earliest stages first; `boundary` marks the kind that holds the
+    failure to look at first."""
+    scope = stage_scope(F.col("path"))
+    rank = F.create_map(*(F.lit(v) for item in PRIORITY.items() for v in item))[scope]
+    told = failures.select("path", scope.alias("scope"), failure_kind(F.col("path")).alias("kind"), rank.alias("priority"))
+    groups = told.groupBy("priority", "scope", "kind").agg(F.count("*").alias("n"), F.min("path").alias("first"))
+    least = told.agg(F.min("priority").alias("least"))
+    return groups.crossJoin(F.broadcast(least)).withColumn("boundary", F.col("priority") == F.col("least")).drop("least")
+
+
+def glob_pattern(glob: str) -> str:
+    """A regular expression of a glob: * is any run of characters, ? any one, the rest itself."""
+    return "^" + "".join(".*" if c == "*" else "." if c == "?" else re.escape(c) for c in glob) + "$"
+
+
+def tolerance_of(paths: DataFrame, rules: list[tuple[str, str, str, float, float]]) -> DataFrame:
+    """path, key, mode, atol, rtol: the rule of each path and key, from the first glob that matches the path; null mode where
+    none has the key. rules: (glob, key, mode, atol, rtol), a short list that is broadcast."""
+    spark, globs = paths.sparkSession, list(dict.fromkeys(r[0] for r in rules))
+    index = F.lit(None).cast("int")
+    for k in reversed(range(len(globs))):
+        index = F.when(F.col("path").rlike(glob_pattern(globs[k])), F.lit(k)).otherwise(index)
+    listed = spark.createDataFrame([(globs.index(g), key, mode, float(a), float(r)) for g, key, mode, a, r in rules], "spec int, key string, mode string, atol double, rtol double")
+    return paths.withColumn("spec", index).join(F.broadcast(listed), ["spec", "key"], "left").drop("spec")
+
+
+def compare_tables(pairs: dict[str, tuple[DataFrame, DataFrame]], rules: dict[str, tuple[list[str], str, float, float]]) -> DataFrame:
+    """A row for each table of a run and its golden counterpart: schemas alike, required columns there, rows on one side alone,
+    rows compared and out of tolerance, largest differences. rules: keys, value, atol, rtol of each table."""
+    out = None
+    for name, (run, golden) in pairs.items():
+        keys, x, atol, rtol = rules[name]
+        missing = sorted({*keys, x} - set(run.columns))
+        told = golden.limit(0).select(F.lit(0)).agg(F.count("*").alias("z")).select(*(F.lit(None).cast("long").alias(c) for c in ("only_run", "only_golden", "compared", "failed")), *(F.lit(None).cast("double").alias(c) for c in ("max_abs", "max_rel")))
+        if not missing:
+            told = compare_numeric(run, golden, keys, x, atol, rtol)
+        row = told.select(F.lit(name).alias("name"), F.lit(run.dtypes == golden.dtypes).alias("alike"), F.lit(",".join(missing)).alias("missing"), "*")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def figure_histogram(df: DataFrame, x: str, bins: int = 60, low: float = 0.02, high: float = 0.98) -> DataFrame:
+    """bin (from 1), n of the values between the limits that a map shows, two and 98 per cent; both ends included."""
+    ends = df.agg(F.percentile(x, F.lit(low)).alias("lo"), F.percentile(x, F.lit(high)).alias("hi"))
+    inside = df.crossJoin(F.broadcast(ends)).filter(F.col(x).between(F.col("lo"), F.col("hi")))
+    place = F.least(F.lit(bins), F.floor((F.col(x) - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins) + 1)
+    return inside.groupBy(F.coalesce(place, F.lit(1)).cast("long").alias("bin")).agg(F.count("*").alias("n"))
+
+
 def field_statistics(df: DataFrame, x: str, by: list[str] | None = None, percentiles=(0.02, 0.5, 0.98)) -> DataFrame:
     v = F.col(x)
     return df.groupBy(*(by or [])).agg(
@@ -60,10 +125,13 @@ def without_outliers(df: DataFrame, x: str, kind: str = "iqr") -> DataFrame:
         return df
     if kind == "iqr":
         q1, q3 = F.percentile(x, F.lit(0.25)), F.percentile(x, F.lit(0.75))
-        bounds = df.agg(q1.alias("q1"), q3.alias("q3")).select((F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("lo"), (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("hi"))
+        bounds = df.agg(q1.alias("q1"), q3.alias("q3")).withColumn("range", F.col("q3") - F.col("q1"))
+        bounds = bounds.select((F.col("q1") - 1.5 * F.col("range")).alias("lo"), (F.col("q3") + 1.5 * F.col("range")).alias("hi"), (F.col("range") == 0).alias("flat"))
+    elif kind == "z-score":
+        bounds = df.agg(F.avg(x).alias("m"), F.stddev_pop(x).alias("s")).select((F.col("m") - 3 * F.col("s")).alias("lo"), (F.col("m") + 3 * F.col("s")).alias("hi"), (F.col("s") == 0).alias("flat"))
     else:
-        bounds = df.agg((F.avg(x) - 3 * F.stddev_pop(x)).alias("lo"), (F.avg(x) + 3 * F.stddev_pop(x)).alias("hi"))
-    return df.crossJoin(F.broadcast(bounds)).filter(F.col(x).between(F.col("lo"), F.col("hi"))).drop("lo", "hi")
+        raise ValueError("outlier filters are none, iqr and z-score")
+    return df.crossJoin(F.broadcast(bounds)).filter(F.col("flat") | F.col(x).between(F.col("lo"), F.col("hi"))).drop("lo", "hi", "flat")
 
 
 def compare_fields(a, b) -> list[Column]:

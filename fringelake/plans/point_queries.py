@@ -8,6 +8,7 @@ from fringelake.functions import geometry, phase
 from fringelake.functions.phase import r6
 from fringelake.operators import graph, points, robust
 from fringelake.plans.registry import query
+from fringelake.sources.raster import sample_raster
 
 SCALE = "sc AS (SELECT image, avg(amp) FILTER (amp > 0) AS scale FROM fx_amp GROUP BY image), v AS (SELECT pixel, image, amp / scale AS v FROM fx_amp JOIN sc USING (image))"
 
@@ -104,25 +105,8 @@ def _(fx, spark):
     return points.keep_best(cells, ["gx", "gy"]).withColumn("coh", r6("coh"))
 
 
-def scattered(fx):
-    """Every other point or so, so that neighbours form groups of all shapes."""
-    return fx.fx_ps.filter((F.col("ps_id") * 7919) % 10 < 4)
-
-
 @query(
     "adjacent_groups", "fx_ps",
-    "WITH RECURSIVE p AS (SELECT * FROM fx_ps WHERE (ps_id * 7919) % 10 < 4), f AS (SELECT i.ps_id AS a, min(j.ps_id) AS b FROM p i JOIN p j"
-    " ON abs(i.row - j.row) <= 1 AND abs(i.col - j.col) <= 1 AND i.ps_id <> j.ps_id GROUP BY i.ps_id), l AS (SELECT a, b FROM f UNION SELECT b, a FROM f),"
-    " r AS (SELECT ps_id AS node, ps_id AS seen FROM p UNION SELECT r.node, l.b FROM r JOIN l ON l.a = r.seen),"
-    " g AS (SELECT node AS ps_id, min(seen) AS grp FROM r GROUP BY node), b AS (SELECT ps_id, grp, row_number() OVER (PARTITION BY grp ORDER BY coh DESC, ps_id) = 1 AS keep FROM g JOIN p USING (ps_id))"
-    ' SELECT ps_id, grp AS "group", keep FROM b',
-)
-def _(fx, spark):
-    return points.adjacent_groups(scattered(fx))
-
-
-@query(
-    "adjacent_groups_whole", "fx_ps",
     "WITH RECURSIVE f AS (SELECT i.ps_id AS a, min(j.ps_id) AS b FROM fx_ps i JOIN fx_ps j"
     " ON abs(i.row - j.row) <= 1 AND abs(i.col - j.col) <= 1 AND i.ps_id <> j.ps_id GROUP BY i.ps_id), l AS (SELECT a, b FROM f UNION SELECT b, a FROM f),"
     " r AS (SELECT ps_id AS node, ps_id AS seen FROM fx_ps UNION SELECT r.node, l.b FROM r JOIN l ON l.a = r.seen),"
@@ -246,16 +230,6 @@ def _(fx, spark):
     "gaussian_spatial_filter", "fx_ps fx_phase",
     "WITH w AS (SELECT p.ps_id, q.ps_id AS other, exp(-(power(p.x - q.x, 2) + power(p.y - q.y, 2)) / (2 * 30 * 30)) AS w FROM fx_ps p JOIN fx_ps q"
     " ON abs(p.x - q.x) < 120 AND abs(p.y - q.y) < 120 AND sqrt(power(p.x - q.x, 2) + power(p.y - q.y, 2)) < 120)"
-    " SELECT w.ps_id, ifg_id, round(sum(w * phi) / sum(w), 6) + 0.0 AS v FROM w JOIN fx_phase f ON f.ps_id = w.other WHERE ifg_id <= 8 GROUP BY w.ps_id, ifg_id",
-)
-def _(fx, spark):
-    return points.gaussian_filter(fx.fx_ps, fx.fx_phase.filter("ifg_id <= 8"), 30.0).withColumn("v", r6("v"))
-
-
-@query(
-    "gaussian_spatial_filter_whole", "fx_ps fx_phase",
-    "WITH w AS (SELECT p.ps_id, q.ps_id AS other, exp(-(power(p.x - q.x, 2) + power(p.y - q.y, 2)) / (2 * 30 * 30)) AS w FROM fx_ps p JOIN fx_ps q"
-    " ON abs(p.x - q.x) < 120 AND abs(p.y - q.y) < 120 AND sqrt(power(p.x - q.x, 2) + power(p.y - q.y, 2)) < 120)"
     " SELECT w.ps_id, ifg_id, round(sum(w * phi) / sum(w), 6) + 0.0 AS v FROM w JOIN fx_phase f ON f.ps_id = w.other GROUP BY w.ps_id, ifg_id",
 )
 def _(fx, spark):
@@ -295,7 +269,7 @@ def _(fx, spark):
 )
 def _(fx, spark):
     raster = fx.fx_ps.select("row", (24 - F.col("col")).alias("col"), F.col("hgt").alias("v"))
-    return fx.fx_ps.select("ps_id", "row", "col").join(raster, ["row", "col"]).select("ps_id", r6("v").alias("v"))
+    return sample_raster(raster.withColumnRenamed("v", "value"), fx.fx_ps.select("ps_id", "row", "col")).select("ps_id", r6("value").alias("v"))
 
 
 @query("even_sampling", "fx_ps", "WITH o AS (SELECT ps_id, row_number() OVER (ORDER BY ps_id) - 1 AS place, count(*) OVER () AS n FROM fx_ps) SELECT ps_id, place FROM o WHERE place IN (SELECT round_even(k * (n - 1) / 40.0, 0) FROM range(41) t(k))")
@@ -303,9 +277,18 @@ def _(fx, spark):
     return points.even_sample(fx.fx_ps, "ps_id", 41).select("ps_id", F.col("place").cast("long").alias("place"))
 
 
-@query("valid_geometry", "fx_ps", "SELECT count(*) AS n FROM fx_ps WHERE lon BETWEEN -180 AND 180 AND lat BETWEEN -90 AND 90 AND NOT (abs(lon) < 1e-6 AND abs(lat) < 1e-6)")
+@query(
+    "valid_geometry", "fx_ps",
+    "SELECT ps_id FROM fx_ps WHERE ps_id % 11 > 4",
+)
 def _(fx, spark):
-    return points.valid_coordinates(fx.fx_ps).agg(F.count("*").alias("n"))
+    """Longitudes and latitudes out of range, the null island, heights that are no number and missing places go."""
+    k = F.col("ps_id") % 11
+    spoilt = fx.fx_ps.select(
+        "ps_id", F.when(k == 0, 181.0).when(k == 1, 1e-9).when(k == 2, F.lit(None)).otherwise(F.col("lon")).alias("lon"),
+        F.when(k == 3, -90.5).when(k == 1, -1e-9).otherwise(F.col("lat")).alias("lat"), F.when(k == 4, F.lit(float("nan"))).otherwise(F.col("hgt")).alias("hgt"),
+    )
+    return points.valid_coordinates(spoilt).select("ps_id")
 
 
 @query("phase_validity", "fx_phase", "SELECT ps_id, round(1 - count(*) FILTER (abs(phi) > 3) / count(*), 6) + 0.0 AS valid FROM fx_phase GROUP BY ps_id HAVING count(*) FILTER (abs(phi) > 3) <= 5")
@@ -344,15 +327,6 @@ def perpendiculars(fx, ifgs):
 @query(
     "bperp_geometry", "fx_ps fx_ifgs",
     "WITH s AS (SELECT ps_id, row, 830000.0 + (col * 10 + 4.5) * 7.8 AS s FROM fx_ps), l AS (SELECT ps_id, row, acos((7070000.0::DOUBLE * 7070000.0 + s * s - 6371000.0::DOUBLE * 6371000.0) / (2 * 7070000.0 * s)) AS look FROM s)"
-    " SELECT ps_id, ifg_id, round((bperp + 0.1 * (row - 10) / 1680) * cos(look) - (bperp / 3) * sin(look), 6) + 0.0 AS b FROM l, fx_ifgs WHERE ifg_id <= 10",
-)
-def _(fx, spark):
-    return perpendiculars(fx, fx.fx_ifgs.filter("ifg_id <= 10"))
-
-
-@query(
-    "bperp_geometry_whole", "fx_ps fx_ifgs",
-    "WITH s AS (SELECT ps_id, row, 830000.0 + (col * 10 + 4.5) * 7.8 AS s FROM fx_ps), l AS (SELECT ps_id, row, acos((7070000.0::DOUBLE * 7070000.0 + s * s - 6371000.0::DOUBLE * 6371000.0) / (2 * 7070000.0 * s)) AS look FROM s)"
     " SELECT ps_id, ifg_id, round((bperp + 0.1 * (row - 10) / 1680) * cos(look) - (bperp / 3) * sin(look), 6) + 0.0 AS b FROM l, fx_ifgs",
 )
 def _(fx, spark):

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fringelake.functions.phase import r6
-from fringelake.operators import graph, network, robust
+from fringelake.operators import graph, network, points, robust
+from fringelake.plans.point_queries import GRID, grid
 from fringelake.plans.registry import query
 
 #: DuckDB macros are not available to the driver, so shared steps are written out as common table expressions.
@@ -145,27 +146,126 @@ def _(fx, spark):
     return found.select("ifg_id", *(r6(c).alias(c) for c in ("rms", "mad", "p95", "jumps")), "n")
 
 
-@query(
-    "family_evidence", "fx_phase",
-    "WITH g AS (SELECT ifg_id, stddev_pop(phi) AS closure, avg(abs(phi)) AS residual, max(abs(phi)) AS gradient, avg(CAST(phi > 0 AS INTEGER)) AS validity,"
-    " sqrt(avg(phi * phi)) AS noise FROM fx_phase GROUP BY ifg_id), l AS (UNPIVOT g ON closure, residual, gradient, validity, noise INTO NAME f VALUE x),"
-    " m AS (SELECT f, median(x) AS med, stddev_pop(x) AS sd, max(x) - min(x) AS spread, count(*) AS n FROM l GROUP BY f),"
-    " d AS (SELECT f, median(abs(x - med)) AS mad FROM l JOIN m USING (f) GROUP BY f),"
+#: Grids of two by two cells as the low-pass of the grid; every thirteenth cell of an interferogram is invalid.
+METRICS = (
+    GRID + ", lp AS (SELECT gi, gj, ifg_id, re, im, CASE WHEN (gi * 5 + gj * 3 + ifg_id) % 13 > 0 THEN sum(re) OVER w ELSE 0 END AS lre, CASE WHEN (gi * 5 + gj * 3 + ifg_id) % 13 > 0 THEN sum(im) OVER w ELSE 0 END AS lim FROM gr"
+    " WINDOW w AS (PARTITION BY ifg_id, floor((gi - 1) / 2), floor((gj - 1) / 2))), rs AS (SELECT ifg_id, gi, gj, CASE WHEN sqrt(re * re + im * im) > 0 AND sqrt(lre * lre + lim * lim) > 0 THEN atan2(im * lre - re * lim, re * lre + im * lim) END AS r FROM lp),"
+    " mn AS (SELECT ifg_id, 1 - count(r) / count(*) AS invalid_fraction, sqrt(avg(r * r)) AS residual_rms, 1 - sqrt(power(avg(cos(r)), 2) + power(avg(sin(r)), 2)) AS residual_incoherence, atan2(avg(sin(r)), avg(cos(r))) AS centre FROM rs GROUP BY ifg_id),"
+    " ap AS (SELECT ifg_id, abs(atan2(sin(r - centre), cos(r - centre))) AS a FROM rs JOIN mn USING (ifg_id) WHERE r IS NOT NULL),"
+    " sp AS (SELECT ifg_id, 1.4826 * median(a) AS residual_mad, avg(CAST(a > pi() / 2 AS INTEGER)) AS extreme_fraction FROM ap GROUP BY ifg_id),"
+    " gs AS (SELECT p.ifg_id, atan2(sin(q.r - p.r), cos(q.r - p.r)) AS d FROM rs p JOIN rs q ON p.ifg_id = q.ifg_id AND ((q.gi = p.gi + 1 AND q.gj = p.gj) OR (q.gi = p.gi AND q.gj = p.gj + 1)) WHERE p.r IS NOT NULL AND q.r IS NOT NULL),"
+    " gc0 AS (SELECT ifg_id, atan2(avg(sin(d)), avg(cos(d))) AS c FROM gs GROUP BY ifg_id HAVING count(*) >= 8), gm AS (SELECT ifg_id, 1.4826 * median(abs(atan2(sin(d - c), cos(d - c)))) AS gradient_mad FROM gs JOIN gc0 USING (ifg_id) GROUP BY ifg_id),"
+    " gmet AS (SELECT * FROM mn JOIN sp USING (ifg_id) LEFT JOIN gm USING (ifg_id))"
+)
+
+
+def grid_metrics(fx):
+    from pyspark.sql import Window
+
+    block = Window.partitionBy("ifg_id", F.floor((F.col("gi") - 1) / 2), F.floor((F.col("gj") - 1) / 2))
+    valid = F.pmod(F.col("gi") * 5 + F.col("gj") * 3 + F.col("ifg_id"), F.lit(13)) > 0
+    low = lambda c: F.when(valid, F.sum(c).over(block)).otherwise(0.0)
+    return network.grid_residuals(grid(fx).withColumn("lre", low("re")).withColumn("lim", low("im")))
+
+
+@query("grid_residual_metrics", "fx_ps fx_phase", f"WITH {METRICS} SELECT ifg_id, {', '.join(f'round({c}, 6) + 0.0 AS {c}' for c in ('residual_rms', 'residual_mad', 'residual_incoherence', 'extreme_fraction', 'invalid_fraction', 'gradient_mad'))} FROM gmet")
+def _(fx, spark):
+    told = grid_metrics(fx)
+    return told.select("ifg_id", *(r6(c).alias(c) for c in told.columns if c != "ifg_id"))
+
+
+FAMILY = (
+    METRICS + ", " + CLOSURE + ", cs AS (SELECT unnest([ab, bc, ac]) AS ifg_id, rms, incoherence FROM cl), cm AS (SELECT ifg_id, median(rms) AS closure_rms, median(incoherence) AS closure_incoherence FROM cs GROUP BY ifg_id),"
+    " ns AS (SELECT ifg_id, degrees(sqrt(avg(phi * phi))) AS ifg_std FROM fx_phase GROUP BY ifg_id), al AS (SELECT ifg_id, closure_rms, closure_incoherence, residual_rms, residual_mad, residual_incoherence, extreme_fraction, gradient_mad, CAST(invalid_fraction AS DOUBLE) AS invalid_fraction, ifg_std FROM gmet JOIN cm USING (ifg_id) JOIN ns USING (ifg_id)),"
+    " lg AS (UNPIVOT al ON closure_rms, closure_incoherence, residual_rms, residual_mad, residual_incoherence, extreme_fraction, gradient_mad, invalid_fraction, ifg_std INTO NAME f VALUE x),"
+    " m AS (SELECT f, median(x) AS med, stddev_pop(x) AS sd, max(x) - min(x) AS spread, count(*) AS n, min(x) = max(x) AS flat FROM lg GROUP BY f), d AS (SELECT f, median(abs(x - med)) AS mad FROM lg JOIN m USING (f) GROUP BY f),"
     " z AS (SELECT ifg_id, f, greatest(0, (x - med) / CASE WHEN 1.4826 * mad > 1e-12 THEN 1.4826 * mad ELSE greatest(sd, spread / sqrt(n), 1e-12) END) AS z,"
-    " (rank() OVER (PARTITION BY f ORDER BY x) - 1 + (count(*) OVER (PARTITION BY f, x) + 1) / 2) / n AS pct FROM l JOIN m USING (f) JOIN d USING (f))"
-    " SELECT ifg_id, CAST(sum(CAST(pct >= 0.9 AS INTEGER)) AS INTEGER) AS n_bad, CAST(sum(CAST(z >= 4.5 AS INTEGER)) AS INTEGER) AS n_extreme, round(sum(least(z, 8) *"
-    " CASE f WHEN 'closure' THEN 0.3 WHEN 'residual' THEN 0.3 WHEN 'gradient' THEN 0.2 ELSE 0.1 END), 6) + 0.0 AS score FROM z GROUP BY ifg_id",
-)
+    " CASE WHEN flat THEN 0.5 ELSE (rank() OVER (PARTITION BY f ORDER BY x) - 1 + (count(*) OVER (PARTITION BY f, x) + 1) / 2) / n END AS pct FROM lg JOIN m USING (f) JOIN d USING (f)),"
+    " fm AS (SELECT ifg_id, CASE WHEN f LIKE 'closure%' THEN 'closure' WHEN f LIKE 'residual%' OR f = 'extreme_fraction' THEN 'residual' WHEN f = 'gradient_mad' THEN 'gradient' WHEN f = 'invalid_fraction' THEN 'validity' ELSE 'noise' END AS fam, max(z) AS z, max(pct) AS pct FROM z GROUP BY 1, 2),"
+    " fe AS (SELECT ifg_id, sum(CAST(pct >= 0.9 AS INTEGER)) AS n_bad, sum(CAST(z >= 4.5 AS INTEGER)) AS n_extreme, sum(least(z, 8) * CASE fam WHEN 'closure' THEN 0.3 WHEN 'residual' THEN 0.3 WHEN 'gradient' THEN 0.2 ELSE 0.1 END) AS score FROM fm GROUP BY ifg_id)"
+)
+
+
+def families(fx):
+    """The grid control's evidence, from closures, residuals, gradients, validity and noise as they are computed."""
+    closed = network.closure_by_edge(network.closure(fx.fx_phase, network.triangles(fx.fx_ifgs)))
+    noise_ = network.phase_noise(fx.fx_phase).withColumnRenamed("std_deg", "ifg_std")
+    joined = grid_metrics(fx).join(closed.select("ifg_id", F.col("rms").alias("closure_rms"), F.col("incoherence").alias("closure_incoherence")), "ifg_id").join(noise_, "ifg_id")
+    return graph.written(network.family_evidence(graph.written(joined.coalesce(1))).coalesce(1))
+
+
+@query("family_evidence", "fx_ps fx_phase fx_ifgs", f"WITH {FAMILY} SELECT ifg_id, CAST(n_bad AS BIGINT) AS n_bad, CAST(n_extreme AS BIGINT) AS n_extreme, round(score, 5) + 0.0 AS score FROM fe")
+def _(fx, spark):
+    return families(fx).withColumn("score", F.round("score", 5) + F.lit(0.0))
+
+
+def scored(fx):
+    return families(fx).join(fx.fx_ifgs.select("ifg_id", "a", "b"), "ifg_id")
+
+
+GRIDZ = "CASE WHEN 1.4826 * mad > 1e-12 THEN 1.4826 * mad ELSE greatest(sd, spread / sqrt(n), 1e-12) END"
+CANDIDATES = (
+    FAMILY + ", sc AS (SELECT fe.*, a, b FROM fe JOIN fx_ifgs USING (ifg_id)), sm0 AS (SELECT median(score) AS med, stddev_pop(score) AS sd, max(score) - min(score) AS spread, count(*) AS n FROM sc), sd0 AS (SELECT median(abs(score - med)) AS mad FROM sc, sm0),"
+    f" sz AS (SELECT sc.*, greatest(0, (score - med) / {GRIDZ}) AS score_z, (rank() OVER (ORDER BY score) - 1 + (count(*) OVER (PARTITION BY score) + 1) / 2) / n AS score_pct FROM sc, sm0, sd0),"
+    " ba AS (SELECT *, (score_pct >= 1 - {tail} AND score_z >= {z} AND n_bad >= 2) OR n_extreme >= 2 AS base FROM sz), nd AS (SELECT unnest([a, b]) AS node, score, base FROM ba),"
+    " nm AS (SELECT node, count(*) AS degree, median(score) AS middle, count(*) >= 3 AND avg(CAST(base AS INTEGER)) >= 0.5 AS clustered FROM nd GROUP BY node),"
+    " ex AS (SELECT ba.*, score - (p.middle + q.middle) / 2 AS excess, p.clustered OR q.clustered AS clustered, least(p.degree, q.degree) AS degree FROM ba JOIN nm p ON p.node = a JOIN nm q ON q.node = b),"
+    " em AS (SELECT median(excess) AS med, stddev_pop(excess) AS sd, max(excess) - min(excess) AS spread, count(*) AS n FROM ex), ed AS (SELECT median(abs(excess - med)) AS mad FROM ex, em),"
+    f" cz AS (SELECT ex.*, greatest(0, (excess - med) / {GRIDZ}) AS excess_z FROM ex, em, ed)"
+    " SELECT ifg_id, base, round(score_z, 4) + 0.0 AS score_z, round(excess_z, 4) + 0.0 AS excess_z, clustered, base AND (excess_z >= CASE WHEN clustered THEN {far} ELSE {near} END OR (degree < 3 AND score_z >= 4 AND n_extreme >= 2)) AS candidate FROM cz"
+)
+
+
+def candidates(fx, **limits):
+    told = network.grid_candidates(scored(fx), **limits)
+    return told.select("ifg_id", "base", (F.round("score_z", 4) + F.lit(0.0)).alias("score_z"), (F.round("excess_z", 4) + F.lit(0.0)).alias("excess_z"), "clustered", "candidate")
+
+
+def filled_in(text, **values):
+    for name, value in values.items():
+        text = text.replace("{" + name + "}", str(value))
+    return text
+
+
+@query("grid_candidates", "fx_ps fx_phase fx_ifgs", "WITH " + filled_in(CANDIDATES, tail=0.02, z=2.5, near=2.5, far=3.5))
+def _(fx, spark):
+    return candidates(fx)
+
+
+@query("grid_candidates_lenient", "fx_ps fx_phase fx_ifgs", "WITH " + filled_in(CANDIDATES, tail=0.3, z=0.5, near=0.2, far=0.8))
+def _(fx, spark):
+    """Limits low enough that each part of the rule decides some rows."""
+    return candidates(fx, tail=0.3, z=0.5, excess=0.2, clustered=0.8)
+
+
+FINAL = (
+    FAMILY + ", rm0 AS (SELECT ifg_id, median(phi) AS med FROM fx_phase GROUP BY ifg_id), rd AS (SELECT ifg_id, phi - med AS d FROM fx_phase JOIN rm0 USING (ifg_id)),"
+    " rt AS (SELECT ifg_id, sqrt(avg(d * d)) AS rms, 1.4826 * median(abs(d)) AS mad, avg(CAST(abs(d) > pi() AS INTEGER)) AS jumps FROM rd GROUP BY ifg_id),"
+    " rl AS (UNPIVOT rt ON rms, mad, jumps INTO NAME f VALUE x), rm AS (SELECT f, median(x) AS med, stddev_pop(x) AS sd FROM rl GROUP BY f), rx AS (SELECT f, median(abs(x - med)) AS mad FROM rl JOIN rm USING (f) GROUP BY f),"
+    " rz AS (SELECT ifg_id, f, greatest(0, (x - med) / CASE WHEN 1.4826 * mad > 1e-12 THEN 1.4826 * mad WHEN sd > 1e-12 THEN sd ELSE 1 END) AS z FROM rl JOIN rm USING (f) JOIN rx USING (f)),"
+    " nz AS (SELECT ifg_id, median(z) AS network_z FROM rz GROUP BY ifg_id), gd AS (SELECT p.ifg_id, q.v - p.v AS d FROM (SELECT gi, gj, ifg_id, atan2(im, re) AS v FROM gr) p JOIN (SELECT gi, gj, ifg_id, atan2(im, re) AS v FROM gr) q ON p.ifg_id = q.ifg_id AND ((q.gi = p.gi + 1 AND q.gj = p.gj) OR (q.gi = p.gi AND q.gj = p.gj + 1))),"
+    " ms AS (SELECT ifg_id, avg(d * d) AS msd FROM gd WHERE d <> 0 GROUP BY ifg_id), fl AS (SELECT ifg_id, network_z, cume_dist() OVER (ORDER BY round(network_z, 9)) AS network_pct, cume_dist() OVER (ORDER BY round(msd, 9)) AS msd_pct, n_bad >= 1 AS grid_family, n_bad >= 2 AS grid_strong FROM nz JOIN ms USING (ifg_id) JOIN fe USING (ifg_id))"
+)
+
+
+def final_table(fx):
+    """Network and MSD percentiles of each interferogram beside the grid control's verdicts."""
+    rest = graph.written(network.residual_metrics(fx.fx_phase, x="phi").coalesce(1))
+    for c in ("rms", "mad", "jumps"):
+        rest = robust.robust_high_z(rest, c, f"z_{c}", kind="network")
+    angles = grid(fx).select("gi", "gj", "ifg_id", F.atan2("im", "re").alias("v"))
+    msd = points.grid_msd(points.grid_neighbours(angles, "v", ["ifg_id"]), ["ifg_id"]).select("ifg_id", F.round("msd", 9).alias("msd"))
+    told = rest.select("ifg_id", network.middle_z(["z_rms", "z_mad", "z_jumps"]).alias("network_z")).withColumn("key", F.round("network_z", 9))
+    joined = graph.written(told.join(msd, "ifg_id").join(families(fx).select("ifg_id", (F.col("n_bad") >= 1).alias("grid_family"), (F.col("n_bad") >= 2).alias("grid_strong")), "ifg_id").coalesce(1))
+    return robust.ecdf(robust.ecdf(joined, "key", "network_pct"), "msd", "msd_pct")
+
+
+@query("final_flags", "fx_ps fx_phase fx_ifgs",
+    f"WITH {FINAL} SELECT ifg_id, round(network_z, 5) + 0.0 AS network_z, round(network_pct, 6) + 0.0 AS network_pct, round(msd_pct, 6) + 0.0 AS msd_pct, concat_ws(',', CASE WHEN network_pct >= 0.99 THEN 'network_extreme' END, CASE WHEN network_pct >= 0.975 AND grid_family THEN 'network_strong+grid' END,"
+    " CASE WHEN network_pct >= 0.975 AND msd_pct >= 0.975 THEN 'network_strong+unwrap' END, CASE WHEN msd_pct >= 0.99 AND grid_strong THEN 'unwrap_extreme+grid_strong' END) AS reasons FROM fl")
 def _(fx, spark):
-    phi = F.col("phi")
-    told = fx.fx_phase.groupBy("ifg_id").agg(
-        F.stddev_pop(phi).alias("closure"), F.avg(F.abs(phi)).alias("residual"), F.max(F.abs(phi)).alias("gradient"),
-        F.avg((phi > 0).cast("int")).alias("validity"), F.sqrt(F.avg(phi * phi)).alias("noise"),
-    )
-    told = graph.written(told.coalesce(1))
-    for f in network.FAMILIES:
-        told = robust.mid_rank(robust.robust_high_z(told, f, f"z_{f}", kind="grid"), f, f"pct_{f}")
-    return network.family_score(told).select("ifg_id", "n_bad", "n_extreme", r6("score").alias("score"))
+    told = network.final_flags(final_table(fx))
+    return told.select("ifg_id", (F.round("network_z", 5) + F.lit(0.0)).alias("network_z"), r6("network_pct").alias("network_pct"), r6("msd_pct").alias("msd_pct"), "reasons")
 
 
 @query(

@@ -18,6 +18,8 @@ def query(name: str, needs: str = "", sql: str | None = None):
         def run(spark, sf_dir):
             return function(Fixtures(spark, sf_dir), spark)
 
+        if name in QUERIES:
+            raise ValueError(f"two queries are named {name}")
         run.__name__, run.__doc__ = name, function.__doc__
         QUERIES[name] = run
         if sql is not None:
@@ -27,4 +29,4 @@ def query(name: str, needs: str = "", sql: str | None = None):
     return keep
 
 
-from fringelake.plans import point_queries, quality_queries, series_queries  # noqa: E402, F401
+from fringelake.plans import form_queries, point_queries, quality_queries, selection_queries, series_queries  # noqa: E402, F401

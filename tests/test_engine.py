@@ -50,11 +50,10 @@ def test_patches_hold_every_point(spark):
 
 
 def test_whole_tables(spark, sf_dir):
-    rows = {name: registry.QUERIES[name](spark, sf_dir) for name in registry.QUERIES if name.endswith("_whole")}
-    counts = {name: df.count() for name, df in rows.items()}
-    assert counts["adjacent_groups_whole"] == 500 and counts["ifg_covariance_whole"] == 64 * 65 // 2
-    assert counts["gaussian_spatial_filter_whole"] == counts["bperp_geometry_whole"] == 500 * 64
-    assert counts["outlier_filter_whole"] == spark.read.parquet(f"{sf_dir}/customer.parquet").count()  # balances are uniform
+    counts = {name: registry.QUERIES[name](spark, sf_dir).count() for name in ("adjacent_groups", "ifg_covariance", "gaussian_spatial_filter", "bperp_geometry", "outlier_filter")}
+    assert counts["adjacent_groups"] == 500 and counts["ifg_covariance"] == 64 * 65 // 2
+    assert counts["gaussian_spatial_filter"] == counts["bperp_geometry"] == 500 * 64
+    assert counts["outlier_filter"] == spark.read.parquet(f"{sf_dir}/customer.parquet").count()  # balances are uniform
     assert registry.QUERIES["random_coherence_histogram"](spark, sf_dir).agg(F.sum("n")).first()[0] == 300_000 == Settings().random_rows
 
 
@@ -270,7 +269,7 @@ def test_nulls_and_empty_tables(spark):
 
 def test_phase_functions(spark):
     one = spark.range(1)
-    row = one.select(phase.wrap(F.lit(4.0)).alias("w"), phase.unit_scale(F.lit("Units: mm")).alias("u"), phase.half_away(F.lit(-2.5)).alias("h"),
+    row = one.select(phase.wrap(F.lit(4.0)).alias("w"), phase.unit_scale(F.lit(" M M")).alias("u"), phase.half_away(F.lit(-2.5)).alias("h"),
                      phase.positive_pi(F.lit(-math.pi), F.lit(1)).alias("p"), phase.amplitude(F.lit(9.0), True).alias("a"), phase.text_flag(F.lit(" Y ")).alias("f"),
                      phase.from_yyyymmdd(F.lit(20240131)).cast("string").alias("d")).first()
     assert abs(row["w"] - (4 - 2 * math.pi)) < 1e-12 and row["u"] == 0.001 and row["h"] == -3
