@@ -233,9 +233,15 @@ def delaunay(xy: np.ndarray) -> np.ndarray:
         centre = a + np.array([(c - a)[1] * e - (b - a)[1] * f, (b - a)[0] * f - (c - a)[0] * e]) / d
         return centre[0], centre[1], ((a - centre) ** 2).sum()
 
-    triangles = {(n, n + 1, n + 2): circle((n, n + 1, n + 2))}
-    for k in np.lexsort((xy[:, 1], xy[:, 0])):
+    # Points come from left to right, so a triangle whose circle lies left of the point in hand is finished and not looked at again.
+    triangles, finished = {(n, n + 1, n + 2): circle((n, n + 1, n + 2))}, []
+    for step, k in enumerate(np.argsort(p[:n, 0], kind="stable")):
         x, y = p[k]
+        if step % 64 == 0:
+            passed = [t for t, (cx, _, r) in triangles.items() if x > cx and (x - cx) ** 2 > r]
+            for t in passed:
+                del triangles[t]
+            finished += passed
         bad = [t for t, (cx, cy, r) in triangles.items() if (x - cx) ** 2 + (y - cy) ** 2 < r]
         sides: dict[tuple[int, int], int] = {}
         for t in bad:
@@ -247,7 +253,7 @@ def delaunay(xy: np.ndarray) -> np.ndarray:
             if count == 1:
                 t = (a, b, int(k))
                 triangles[t] = circle(t)
-    edges = {(min(s), max(s)) for t in triangles for s in ((t[0], t[1]), (t[1], t[2]), (t[0], t[2])) if max(s) < n}
+    edges = {(min(s), max(s)) for t in [*finished, *triangles] for s in ((t[0], t[1]), (t[1], t[2]), (t[0], t[2])) if max(s) < n}
     return np.array(sorted(edges), int).reshape(-1, 2)
 
 

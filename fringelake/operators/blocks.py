@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fringelake.functions import kernels
+from fringelake.operators.graph import written
+from fringelake.operators.robust import quantiles
 
 
 def stacked(phase: DataFrame, n: int) -> DataFrame:
@@ -59,7 +61,8 @@ def steady(points: DataFrame, residual: DataFrame, most: float, draws: int = 100
 
 
 def filter_grid(grid: DataFrame, method: str = "goldstein", cutoff: float = 800.0, pixel: float = 100.0, **settings) -> DataFrame:
-    """gi, gj, ifg_id, re, im of each interferogram's grid, filtered; a group is one grid. The adaptive filter's low-pass lets
+    """gi, gj, ifg_id, re, im of each interferogram's grid, filtered, and with the spectral filter its low-pass, lre and lim
+    (elsewhere nought); a group is one grid. The adaptive filter's low-pass lets
     through wavelengths above `cutoff`, in the units of `pixel`, the size of a cell."""
     if method == "adaptive":
         settings = {"size": 24, "pad": 8} | settings
@@ -69,10 +72,11 @@ def filter_grid(grid: DataFrame, method: str = "goldstein", cutoff: float = 800.
         i, j = pdf["gi"].to_numpy() - 1, pdf["gj"].to_numpy() - 1
         dense = np.zeros((i.max() + 1, j.max() + 1), complex)
         dense[i, j] = pdf["re"].to_numpy() + 1j * pdf["im"].to_numpy()
-        out = kernels.goldstein(dense, **settings)[0] if method == "goldstein" else kernels.adaptive_filter(dense, **settings)
-        return pd.DataFrame({"gi": i + 1, "gj": j + 1, "ifg_id": pdf["ifg_id"], "re": out[i, j].real, "im": out[i, j].imag})
+        out, low = kernels.goldstein(dense, **settings) if method == "goldstein" else (kernels.adaptive_filter(dense, **settings), np.zeros_like(dense))
+        columns = {"re": out[i, j].real, "im": out[i, j].imag, "lre": low[i, j].real, "lim": low[i, j].imag}
+        return pd.DataFrame({"gi": i + 1, "gj": j + 1, "ifg_id": pdf["ifg_id"], **columns})
 
-    return grid.groupBy("ifg_id").applyInPandas(one, "gi long, gj long, ifg_id long, re double, im double")
+    return grid.groupBy("ifg_id").applyInPandas(one, "gi long, gj long, ifg_id long, re double, im double, lre double, lim double")
 
 
 def without_own_cell(phase: DataFrame, cells: DataFrame, grid: DataFrame, size: int, cutoff: float, pixel: float) -> DataFrame:
@@ -119,15 +123,57 @@ def restore_points(phase: DataFrame, cells: DataFrame, unwrapped: DataFrame) ->
     return met.select("ps_id", "ifg_id", (F.col("uw") + F.atan2(F.sin(rest), F.cos(rest))).alias("uw"))
 
 
-def robust_deramp(values: DataFrame, value: str = "phi") -> DataFrame:
-    """ps_id, ifg_id, flat: each interferogram less its robust plane; a group is one interferogram's points of one patch."""
-
-    def one(pdf):
-        x, y, v = (pdf[c].to_numpy(float) for c in ("x", "y", value))
-        a, b, c = kernels.huber_plane(x, y, v, pdf["coh"].to_numpy(float))
-        return pd.DataFrame({"ps_id": pdf["ps_id"], "ifg_id": pdf["ifg_id"], "flat": v - (a * x / 1000 + b * y / 1000 + c)})
-
-    return values.groupBy("ifg_id").applyInPandas(one, "ps_id long, ifg_id long, flat double")
+def _planes(rows: DataFrame, weight) -> dict[int, np.ndarray]:
+    """The weighted plane of each interferogram from sums that combine on the map side; a row for each is collected."""
+    one = F.lit(1.0)
+    design = {"x": F.col("x"), "y": F.col("y"), "o": one}
+    pairs = [("x", "x"), ("x", "y"), ("x", "o"), ("y", "y"), ("y", "o"), ("o", "o")]
+    sums = [F.sum(weight * design[a] * design[b]).alias(a + b) for a, b in pairs] + [F.sum(weight * design[a] * F.col("v")).alias(a + "v") for a in design]
+    out = {}
+    for r in rows.filter(weight > 0).groupBy("ifg_id").agg(F.count("*").alias("n"), *sums).collect():
+        if r["n"] >= kernels.PLANE_POINTS:
+            m = np.array([[r["xx"], r["xy"], r["xo"]], [r["xy"], r["yy"], r["yo"]], [r["xo"], r["yo"], r["oo"]]])
+            out[r["ifg_id"]] = np.linalg.lstsq(m, np.array([r["xv"], r["yv"], r["ov"]]), rcond=None)[0]
+    return out
+
+
+def robust_deramp(values: DataFrame, value: str = "phi", delta: float = 1.345, rounds: int = 5) -> DataFrame:
+    """ps_id, ifg_id, flat: each interferogram less its robust plane by the rules of ``kernels.huber_plane``; null where it has
+    none. Planes are fitted from sums and scales from exact medians, so no task holds an interferogram; what goes round is a
+    row for each of them."""
+    spark, number = values.sparkSession, lambda c: F.when(~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))), F.col(c).cast("double"))
+    rows = values.select("ps_id", "ifg_id", (number("x") / 1000).alias("x"), (number("y") / 1000).alias("y"), number(value).alias("v"), (number("coh") * number("coh")).alias("w"))
+    rows = written(rows)
+    whole = rows.filter("x IS NOT NULL AND y IS NOT NULL AND v IS NOT NULL AND w > 0")
+    planes = _planes(whole, F.col("w"))
+    open_ = set(planes)
+
+    def rest_of(some: DataFrame, ids) -> DataFrame:
+        table = spark.createDataFrame([(int(k), *map(float, planes[k])) for k in ids], "ifg_id long, a double, b double, c double")
+        return some.join(F.broadcast(table), "ifg_id").withColumn("r", F.col("v") - F.col("a") * F.col("x") - F.col("b") * F.col("y") - F.col("c"))
+
+    for _ in range(rounds):
+        if not open_:
+            break
+        rest = rest_of(whole, sorted(open_))
+        middle = quantiles(rest, "r", {"m": 0.5}, ["ifg_id"])
+        apart = rest.join(F.broadcast(middle), "ifg_id").select("ifg_id", F.abs(F.col("r") - F.col("m")).alias("d"))
+        scales = {r["ifg_id"]: 1.4826 * r["mad"] for r in quantiles(apart, "d", {"mad": 0.5}, ["ifg_id"]).collect()}  # a row for each
+        open_ = {k for k in open_ if scales.get(k, 0.0) > 1e-8}
+        if not open_:
+            break
+        table = spark.createDataFrame([(int(k), float(scales[k])) for k in sorted(open_)], "ifg_id long, s double")
+        weighted = rest.join(F.broadcast(table), "ifg_id")
+        after = _planes(weighted, F.col("w") / F.greatest(F.abs("r") / (delta * F.col("s")), F.lit(1.0)))
+        open_ = {k for k in open_ if k in after}
+        moved = {k: float(np.abs(after[k] - planes[k]).max()) for k in open_}
+        planes |= {k: after[k] for k in open_}
+        open_ = {k for k in open_ if moved[k] >= 1e-8}
+    if not planes:
+        return rows.select("ps_id", "ifg_id", F.lit(None).cast("double").alias("flat"))
+    table = spark.createDataFrame([(int(k), *map(float, p)) for k, p in planes.items()], "ifg_id long, a double, b double, c double")
+    met = rows.join(F.broadcast(table), "ifg_id", "left")
+    return met.select("ps_id", "ifg_id", (F.col("v") - F.col("a") * F.col("x") - F.col("b") * F.col("y") - F.col("c")).alias("flat"))
 
 
 def delaunay_arcs(points: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from fringelake.operators.graph import written
 from fringelake.operators.points import grid_neighbours
-from fringelake.operators.robust import MAD_SCALE, circular_mad, median, mid_rank, percentile_rank, robust_high_z
+from fringelake.operators.robust import MAD_SCALE, circular_mad, ecdf, median, mid_rank, percentile_rank, quantiles, robust_high_z
 
 #: Evidence thresholds and weights of the first selection.
 Z_STRONG, Z_CONTEXT, RANK_STRONG = 4.0, 3.5, 0.99
@@ -100,17 +100,36 @@ def triangles(ifgs: DataFrame) -> DataFrame:
 
 
 def closure(phase: DataFrame, loops: DataFrame, least: int = 8) -> DataFrame:
-    """For each loop: n, RMS closure angle and incoherence 1 - |mean phasor|. The loops are broadcast (a few per
-    interferogram); phases are joined by point, once for each side of the loop."""
-    side = lambda name: phase.select("ps_id", F.col("ifg_id").alias(name), F.col("phi").alias(f"phi_{name}"))
-    met = side("ab").join(F.broadcast(loops), "ab").join(side("bc"), ["ps_id", "bc"]).join(side("ac"), ["ps_id", "ac"])
-    angle = F.col("phi_ab") + F.col("phi_bc") - F.col("phi_ac")
-    told = met.withColumn("e", F.atan2(F.sin(angle), F.cos(angle)))
-    return (
-        told.groupBy("ab", "bc", "ac")
-        .agg(F.count("*").alias("n"), F.sqrt(F.avg(F.col("e") * F.col("e"))).alias("rms"), (1 - F.hypot(F.avg(F.cos("e")), F.avg(F.sin("e")))).alias("incoherence"))
-        .filter(F.col("n") >= least)
-    )
+    """For each loop: n, RMS closure angle and incoherence 1 - |mean phasor|. Phases meet once, as one array a point; loops (a few
+    per interferogram) are summed over blocks of points, and the sums are as few as the loops."""
+    import numpy as np
+    import pandas as pd
+
+    sides = np.array([(r["ab"], r["bc"], r["ac"]) for r in loops.collect()], int).reshape(-1, 3)  # a few rows per interferogram
+    ids = [r["ifg_id"] for r in phase.select("ifg_id").distinct().orderBy("ifg_id").collect()]  # a row for each interferogram
+    at = {k: n for n, k in enumerate(ids)}
+    sides = sides[[all(k in at for k in loop) for loop in sides.tolist()]] if len(sides) else sides
+    ab, bc, ac = (np.array([at[k] for k in sides[:, n].tolist()], int) for n in range(3))
+
+    def sums(batches):
+        total = np.zeros((4, len(sides)))
+        for pdf in batches:
+            for start in range(0, len(pdf), 1000):
+                phi = np.vstack(pdf["phi"].iloc[start : start + 1000]).astype(float)
+                e = phi[:, ab] + phi[:, bc] - phi[:, ac]
+                there = np.isfinite(e)
+                e = np.where(there, e, 0.0)
+                c, s = np.cos(e), np.sin(e)
+                wrapped = np.arctan2(s, c)
+                total += [there.sum(axis=0), (wrapped * wrapped * there).sum(axis=0), (c * there).sum(axis=0), (s * there).sum(axis=0)]
+        yield pd.DataFrame({"ab": sides[:, 0], "bc": sides[:, 1], "ac": sides[:, 2], "n": total[0], "ee": total[1], "c": total[2], "s": total[3]})
+
+    rows = phase.groupBy("ps_id").agg(F.map_from_entries(F.collect_list(F.struct("ifg_id", "phi"))).alias("m"))
+    arrays = rows.select(F.array(*(F.coalesce(F.try_element_at("m", F.lit(k).cast(phase.schema["ifg_id"].dataType)), F.lit(float("nan"))) for k in ids)).alias("phi"))
+    parts = arrays.mapInPandas(sums, "ab long, bc long, ac long, n double, ee double, c double, s double")
+    told = parts.groupBy("ab", "bc", "ac").agg(*(F.sum(c).alias(c) for c in ("n", "ee", "c", "s"))).filter(F.col("n") >= least)
+    rms, size = F.sqrt(F.col("ee") / F.col("n")), F.hypot(F.col("c") / F.col("n"), F.col("s") / F.col("n"))
+    return told.select("ab", "bc", "ac", F.col("n").cast("long").alias("n"), rms.alias("rms"), (1 - size).alias("incoherence"))
 
 
 def closure_by_edge(closed: DataFrame) -> DataFrame:
@@ -121,16 +140,11 @@ def closure_by_edge(closed: DataFrame) -> DataFrame:
 
 def residual_metrics(residual: DataFrame, least: int = 100, x: str = "r") -> DataFrame:
     """ifg_id, rms, mad, p95, jump share of residuals less their median."""
-    middle = residual.groupBy("ifg_id").agg(median(x).alias("med"))
-    told = residual.join(F.broadcast(middle), "ifg_id").withColumn("d", F.col(x) - F.col("med"))
-    return (
-        told.groupBy("ifg_id")
-        .agg(
-            F.sqrt(F.avg(F.col("d") * F.col("d"))).alias("rms"), (MAD_SCALE * median(F.abs("d"))).alias("mad"),
-            F.percentile(F.abs("d"), F.lit(0.95)).alias("p95"), F.avg((F.abs("d") > F.pi()).cast("double")).alias("jumps"), F.count("*").alias("n"),
-        )
-        .filter(F.col("n") >= least)
-    )
+    middle = quantiles(residual, x, {"med": 0.5}, ["ifg_id"])
+    told = residual.join(F.broadcast(middle), "ifg_id").select("ifg_id", (F.col(x) - F.col("med")).alias("d")).withColumn("size", F.abs("d"))
+    spread = quantiles(told, "size", {"mad": 0.5, "p95": 0.95}, ["ifg_id"])
+    sums = told.groupBy("ifg_id").agg(F.sqrt(F.avg(F.col("d") * F.col("d"))).alias("rms"), F.avg((F.col("size") > F.pi()).cast("double")).alias("jumps"), F.count("*").alias("n"))
+    return sums.join(spread, "ifg_id").filter(F.col("n") >= least).select("ifg_id", "rms", (MAD_SCALE * F.col("mad")).alias("mad"), "p95", "jumps", "n")
 
 
 def connected_to(edges: DataFrame, start: int) -> DataFrame:
@@ -213,6 +227,18 @@ def final_flags(df: DataFrame) -> DataFrame:
     return df.withColumn("reasons", reasons).withColumn("drop", F.col("reasons") != "")
 
 
+def final_percentiles(metrics: DataFrame, msd: DataFrame, families: DataFrame) -> DataFrame:
+    """ifg_id, network_z (the middle of the z of rms, mad and jumps), network_pct, msd, msd_pct, grid_family, grid_strong: what the
+    last control judges by. Each table has a row for each interferogram."""
+    rest = metrics
+    for c in ("rms", "mad", "jumps"):
+        rest = robust_high_z(rest, c, f"z_{c}", kind="network")
+    told = rest.select("ifg_id", middle_z(["z_rms", "z_mad", "z_jumps"]).alias("network_z"))
+    grid = families.select("ifg_id", (F.col("n_bad") >= 1).alias("grid_family"), (F.col("n_bad") >= 2).alias("grid_strong"))
+    joined = written(told.join(msd.select("ifg_id", F.round("msd", 9).alias("msd")), "ifg_id").join(grid, "ifg_id").withColumn("key", F.round("network_z", 9)).coalesce(1))
+    return ecdf(ecdf(joined, "key", "network_pct"), "msd", "msd_pct").drop("key")
+
+
 def final_order() -> list[Column]:
     """Candidates of the last control, the worst first."""
     return [F.desc(F.col("network_pct") >= 0.99), F.desc("network_pct"), F.desc(F.col("msd_pct") >= 0.99), F.desc("msd_pct"), F.desc("grid_strong"), F.col("ifg_id")]

@@ -73,8 +73,19 @@ def cell_balanced(points: DataFrame, rows: int = 32, cols: int = 32, most: int =
 
 
 def fair_cap(points: DataFrame, rows: int, cols: int, most: int) -> DataFrame:
-    """The first `most` points by rank in the cell, then dispersion: every cell gets its turn. A distributed top-k."""
-    return cell_rank(points, rows, cols).orderBy("rank", "d_a", "row", "col").limit(most)
+    """The first `most` points by rank in the cell, then dispersion: every cell gets its turn. Ranks are counted first; all
+    points of the ranks before the one in which the cap falls stay, and only that rank's points are ordered, by range."""
+    from fringelake.operators.selection import placed
+
+    ranked = written(cell_rank(points, rows, cols))
+    counts = sorted((r["rank"], r["count"]) for r in ranked.groupBy("rank").count().collect())  # a row for each place in a cell
+    total = 0
+    for rank, n in counts:
+        if total + n > most:
+            edge = placed(ranked.filter(F.col("rank") == rank).withColumn("__order", F.struct("d_a", "row", "col")), "__order")
+            return ranked.filter(F.col("rank") < rank).unionByName(edge.filter(F.col("place") < most - total).drop("__order", "place"))
+        total += n
+    return ranked
 
 
 def anchors(points: DataFrame, cell_m: float, per_cell: int) -> DataFrame:

@@ -1,5 +1,8 @@
-"""Robust statistics of a column, whole or by group. Medians are exact percentiles of tables that are small by nature
-(one row for each interferogram, arc or cell); long tables are reduced to such a table first."""
+"""Robust statistics of a column, whole or by group.
+
+``median`` is an exact percentile of a group that is small by nature (a row for each interferogram, arc, cell or region).
+Long tables with few groups go through ``quantiles``, which is exact too and never holds a group's values in one task.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +11,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fringelake.operators.graph import written
+
 MAD_SCALE = 1.4826
 _TINY = 1e-12
 
@@ -16,18 +21,45 @@ def median(x) -> Column:
     return F.percentile(x, F.lit(0.5))
 
 
+def quantiles(df: DataFrame, x: str, shares: dict[str, float], by: list[str] | None = None, bins: int = 1024) -> DataFrame:
+    """by and, for each name, the exact quantile of the finite values of x, between neighbours as a percentile is. For long tables
+    with few groups: the values are counted by bins between their ends, and only the bins that hold a wanted place are ordered.
+    What is collected by group are at most `bins` counts; equal values are counted before they move."""
+    keys, names = by or [], list(shares)
+    rows = df.select(*keys, F.col(x).cast("double").alias("_q_x")).filter("_q_x IS NOT NULL AND NOT isnan(_q_x) AND abs(_q_x) < double('inf')")
+    if not keys:
+        keys, rows = ["_q_all"], rows.withColumn("_q_all", F.lit(0))
+    ends = written(rows.groupBy(*keys).agg(F.min("_q_x").alias("_q_lo"), F.max("_q_x").alias("_q_hi"), F.count("*").alias("_q_n")))
+    share = F.when(F.col("_q_hi") > F.col("_q_lo"), (F.col("_q_x") - F.col("_q_lo")) / (F.col("_q_hi") - F.col("_q_lo"))).otherwise(0.0)
+    binned = rows.join(F.broadcast(ends), keys).select(*keys, "_q_x", F.least(F.lit(bins - 1), F.floor(share * bins)).alias("_q_bin"))
+    counts = written(binned.groupBy(*keys, "_q_bin").agg(F.count("*").alias("_q_c")))
+    order = Window.partitionBy(*keys).orderBy("_q_bin")
+    starts = counts.withColumn("_q_end", F.sum("_q_c").over(order))
+    place = {k: F.lit(p) * (F.col("_q_n") - 1) for k, p in shares.items()}
+    wanted = ends.select(*keys, F.explode(F.array(*(F.struct(F.lit(f"{k}{side}").alias("what"), f(place[k]).cast("long").alias("at")) for k in names for side, f in (("_lo", F.floor), ("_hi", F.ceil))))).alias("w")).select(*keys, "w.*")
+    held = wanted.join(starts, keys).filter("at < _q_end AND at >= _q_end - _q_c").select(*keys, "what", "_q_bin", (F.col("at") - F.col("_q_end") + F.col("_q_c")).alias("inner"))
+    held = written(held)
+    few = binned.join(F.broadcast(held.select(*keys, "_q_bin").distinct()), [*keys, "_q_bin"], "left_semi").groupBy(*keys, "_q_bin", "_q_x").agg(F.count("*").alias("_q_c"))
+    told = few.withColumn("_q_end", F.sum("_q_c").over(Window.partitionBy(*keys, "_q_bin").orderBy("_q_x")))
+    met = told.join(F.broadcast(held), [*keys, "_q_bin"]).filter("inner < _q_end AND inner >= _q_end - _q_c")
+    found = met.groupBy(*keys).agg(*(F.max(F.when(F.col("what") == f"{k}{side}", F.col("_q_x"))).alias(f"{k}{side}") for k in names for side in ("_lo", "_hi"))).join(F.broadcast(ends), keys)
+    between = {k: place[k] - F.floor(place[k]) for k in names}
+    out = found.select(*keys, *((F.col(f"{k}_lo") * (1 - between[k]) + F.col(f"{k}_hi") * between[k]).alias(k) for k in names))
+    return out if by else out.drop("_q_all")
+
+
 def with_median_mad(df: DataFrame, x: str, by: list[str] | None = None) -> DataFrame:
     """df with med, mad, n, std (population) of the finite values of x in each group."""
     by = by or []
     finite = F.when(~F.isnan(x) & (F.abs(x) < math.inf), F.col(x))
 
     def joined(left, right):
-        return left.join(right, by, "left") if by else left.crossJoin(F.broadcast(right))  # one row
+        return left.join(F.broadcast(right), by, "left") if by else left.crossJoin(F.broadcast(right))  # one row
 
-    middle = df.groupBy(*by).agg(median(finite).alias("med"), F.count(finite).alias("n"), F.stddev_pop(finite).alias("std"))
-    told = joined(df, middle)
-    spread = told.groupBy(*by).agg(median(F.abs(finite - F.col("med"))).alias("mad"), (F.max(finite) - F.min(finite)).alias("spread"))
-    return joined(told, spread)
+    middle = df.groupBy(*by).agg(F.count(finite).alias("n"), F.stddev_pop(finite).alias("std"), (F.max(finite) - F.min(finite)).alias("spread"))
+    told = joined(joined(df, quantiles(df, x, {"med": 0.5}, by)), middle)
+    apart = told.select(*by, F.abs(finite - F.col("med")).alias("_apart"))
+    return joined(told, quantiles(apart, "_apart", {"mad": 0.5}, by))
 
 
 def _windowed(df: DataFrame, x: str, by: list[str]) -> DataFrame:
@@ -92,5 +124,6 @@ def circular_mad(df: DataFrame, by: list[str], angle: str) -> DataFrame:
     """centre (circular mean) and mad (scaled median distance from it) of each group's angles."""
     centre = df.groupBy(*by).agg(F.atan2(F.avg(F.sin(angle)), F.avg(F.cos(angle))).alias("centre"))
     apart = F.col(angle) - F.col("centre")
-    told = df.join(centre, by).withColumn("apart", F.abs(F.atan2(F.sin(apart), F.cos(apart))))
-    return told.groupBy(*by).agg(F.first("centre").alias("centre"), (MAD_SCALE * median("apart")).alias("mad"))
+    told = df.join(F.broadcast(centre), by).withColumn("apart", F.abs(F.atan2(F.sin(apart), F.cos(apart))))
+    spread = quantiles(told, "apart", {"mad": 0.5}, by)
+    return centre.join(spread, by).select(*by, "centre", (MAD_SCALE * F.col("mad")).alias("mad"))

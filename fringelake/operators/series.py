@@ -12,6 +12,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fringelake.operators.robust import MAD_SCALE, median, quantiles
+
 
 def differences(ts: DataFrame, key: str, day: str, x: str) -> DataFrame:
     order = Window.partitionBy(key).orderBy(day)
@@ -127,10 +129,34 @@ def invert(phase: DataFrame, p: np.ndarray) -> DataFrame:
 
 
 def covariance(phase: DataFrame) -> DataFrame:
-    """i, j, cov of interferograms i <= j over points, from sums of products; as many rows as the network has pairs."""
-    other = phase.select("ps_id", F.col("ifg_id").alias("j"), F.col("phi").alias("y"))
-    met = phase.select("ps_id", F.col("ifg_id").alias("i"), F.col("phi").alias("x")).join(other, "ps_id").filter("i <= j")
-    return met.groupBy("i", "j").agg(F.covar_samp("x", "y").alias("cov"))
+    """i, j, cov of interferograms i <= j over the points that have both. Phases meet once, as one array a point, and blocks of
+    points are summed as products of matrices; what moves then is a row for each pair of the network and task."""
+    import pandas as pd
+
+    means = {r["ifg_id"]: r["m"] for r in phase.groupBy("ifg_id").agg(F.avg("phi").alias("m")).collect()}  # a row for each interferogram
+    ids = sorted(means)
+    middle, (i, j) = np.array([means[k] for k in ids], float), np.triu_indices(len(ids))
+
+    def sums(batches):
+        n, sx, sxy = (np.zeros((len(ids), len(ids))) for _ in range(3))
+        for pdf in batches:
+            for start in range(0, len(pdf), 2000):
+                x = np.vstack(pdf["phi"].iloc[start : start + 2000]).astype(float) - middle
+                there = np.isfinite(x).astype(float)
+                x = np.nan_to_num(x)
+                n += there.T @ there
+                sx += x.T @ there
+                sxy += x.T @ x
+        yield pd.DataFrame({"a": i, "b": j, "n": n[i, j], "sx": sx[i, j], "sy": sx[j, i], "sxy": sxy[i, j]})
+
+    rows = phase.groupBy("ps_id").agg(F.map_from_entries(F.collect_list(F.struct("ifg_id", "phi"))).alias("m"))
+    arrays = rows.select(F.array(*(F.coalesce(F.try_element_at("m", F.lit(k).cast(phase.schema["ifg_id"].dataType)), F.lit(float("nan"))) for k in ids)).alias("phi"))
+    parts = arrays.mapInPandas(sums, "a int, b int, n double, sx double, sy double, sxy double")
+    told = parts.groupBy("a", "b").agg(*(F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxy"))).filter("n > 0")
+    names = phase.sparkSession.createDataFrame(list(enumerate(ids)), "k int, ifg_id long")
+    name = lambda c, out: names.select(F.col("k").alias(c), F.col("ifg_id").alias(out))
+    cov = F.when(F.col("n") > 1, (F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")) / (F.col("n") - 1))
+    return told.join(F.broadcast(name("a", "i")), "a").join(F.broadcast(name("b", "j")), "b").select("i", "j", cov.alias("cov"))
 
 
 def reference_centred(phase: DataFrame, reference: DataFrame) -> DataFrame:
@@ -147,27 +173,42 @@ def scla(phase: DataFrame, ifgs: DataFrame) -> DataFrame:
 
 
 def temporal_highpass(ts: DataFrame, key: str, day: str, x: str, window: float) -> DataFrame:
-    """Values less their Gaussian-weighted mean in time; pairs of epochs of one point meet by the point's key."""
-    other = ts.select(key, F.col(day).alias("od"), F.col(x).alias("ox"))
-    apart = F.col(day) - F.col("od")
-    w = F.exp(-apart * apart / (2 * window * window))
-    low = ts.join(other, key).groupBy(key, day).agg((F.sum(w * F.col("ox")) / F.sum(w)).alias("low"))
-    return ts.join(low, [key, day]).withColumn("high", F.col(x) - F.col("low"))
+    """Values less their Gaussian-weighted mean in time. A point's epochs meet once, as one array, in which each is weighed
+    against all: squared in the epochs of a point, with no rows for their pairs."""
+    rest = [c for c in ts.columns if c != key]
+    series_ = ts.groupBy(key).agg(F.collect_list(F.struct(*rest)).alias("s"))
+    w = lambda a, b: F.exp(-(a[day] - b[day]) * (a[day] - b[day]) / (2 * window * window))
+    add = lambda e: lambda t, o: F.struct((t["w"] + w(e, o)).alias("w"), (t["x"] + w(e, o) * o[x]).alias("x"))
+    none = F.struct(F.lit(0.0).alias("w"), F.lit(0.0).alias("x"))
+    low = lambda e: F.aggregate("s", none, add(e), lambda t: t["x"] / t["w"])
+    told = series_.select(key, F.explode(F.transform("s", lambda e: F.struct(*(e[c].alias(c) for c in rest), low(e).alias("low")))).alias("e"))
+    return told.select(key, "e.*").withColumn("high", F.col(x) - F.col("low"))
 
 
 def topofit_trials(phase: DataFrame, ifgs: DataFrame, wraps: float) -> DataFrame:
-    """ps_id, k, coh: the trial slope of largest coherence. Trials are a broadcast column of the network's size; each point
-    meets them by a cross product with a constant, and sums combine on the map side."""
-    spark = phase.sparkSession
+    """ps_id, trial, k, coh: the trial slope of largest coherence, the smallest on ties, of positive and negative ones the
+    negative. Phases meet once, as one array a point; trials are columns of a matrix, not rows."""
+    import pandas as pd
+
     n = math.ceil(8 * wraps)
-    trials = spark.createDataFrame([(k, ) for k in range(-n, n + 1)], "trial long")
-    span = ifgs.agg((F.max("bperp") - F.min("bperp")).alias("span"))
-    met = phase.join(F.broadcast(ifgs.select("ifg_id", "bperp")), "ifg_id").crossJoin(F.broadcast(trials.crossJoin(span)))
-    k = F.col("trial") / 8 * 2 * math.pi / F.col("span") * 1.0
-    turned = F.col("phi") - k * F.col("bperp")
-    told = met.groupBy("ps_id", "trial").agg(F.first(k).alias("k"), (F.hypot(F.sum(F.cos(turned)), F.sum(F.sin(turned))) / F.count("*")).alias("coh"))
-    best = told.groupBy("ps_id").agg(F.max(F.struct(F.round("coh", 9).alias("r"), (-F.abs("trial")).alias("near"), "trial", "k", "coh")).alias("best"))
-    return best.select("ps_id", "best.trial", "best.k", "best.coh")
+    base = {r["ifg_id"]: r["bperp"] for r in ifgs.select("ifg_id", "bperp").collect()}  # a row for each interferogram
+    span, trials = max(base.values()) - min(base.values()), np.arange(-n, n + 1)
+    slopes = trials / 8 * 2 * math.pi / span
+    order = np.lexsort((trials, np.abs(trials)))  # the first of the largest counts
+
+    def best(batches):
+        for pdf in batches:
+            rows = []
+            for ps, s in zip(pdf["ps_id"], pdf["s"]):
+                phi, b = np.array([e["phi"] for e in s], float), np.array([e["b"] for e in s], float)
+                coh = np.abs(np.exp(1j * (phi[:, None] - b[:, None] * slopes)).sum(axis=0)) / len(phi)
+                k = order[np.argmax(np.round(coh[order], 9))]
+                rows.append((ps, int(trials[k]), float(slopes[k]), float(coh[k])))
+            yield pd.DataFrame(rows, columns=["ps_id", "trial", "k", "coh"])
+
+    met = phase.join(F.broadcast(ifgs.select("ifg_id", F.col("bperp").alias("b"))), "ifg_id")
+    return met.groupBy("ps_id").agg(F.collect_list(F.struct("phi", "b")).alias("s")).mapInPandas(best, "ps_id long, trial long, k double, coh double")
+
 
 
 def scla_with_time(phase: DataFrame, ifgs: DataFrame) -> DataFrame:
@@ -223,10 +264,10 @@ def delay_sign(phases: DataFrame, corr: DataFrame, master: int) -> DataFrame:
     """One row: the medians over epochs of the robust scale of phases less and plus the correction, and the sign of the lower."""
     met = phases.join(corr, ["ps_id", "image_ix"]).filter(F.col("image_ix") != master)
     sides = met.select("image_ix", F.explode(F.create_map(F.lit("subtract"), F.col("phi") - F.col("corr"), F.lit("add"), F.col("phi") + F.col("corr"))).alias("sign", "x"))
-    half = lambda c: F.percentile(c, F.lit(0.5))
-    middle = sides.groupBy("image_ix", "sign").agg(half("x").alias("m"))
-    scale = sides.join(F.broadcast(middle), ["image_ix", "sign"]).groupBy("image_ix", "sign").agg((1.4826 * half(F.abs(F.col("x") - F.col("m")))).alias("s"))
-    told = scale.groupBy("sign").agg(half("s").alias("s")).groupBy().agg(F.max_by("s", F.col("sign") == "subtract").alias("score_subtract"), F.max_by("s", F.col("sign") == "add").alias("score_add"))
+    by = ["image_ix", "sign"]
+    apart = sides.join(F.broadcast(quantiles(sides, "x", {"m": 0.5}, by)), by).select(*by, F.abs(F.col("x") - F.col("m")).alias("d"))
+    scale = quantiles(apart, "d", {"s": 0.5}, by).withColumn("s", MAD_SCALE * F.col("s"))
+    told = scale.groupBy("sign").agg(median("s").alias("s")).groupBy().agg(F.max_by("s", F.col("sign") == "subtract").alias("score_subtract"), F.max_by("s", F.col("sign") == "add").alias("score_add"))
     return told.withColumn("sign", F.when(F.col("score_subtract") <= F.col("score_add"), "subtract").otherwise("add"))
 
 
@@ -244,3 +285,10 @@ def design_table(ifgs: list[tuple[int, int]], n_images: int) -> list[tuple[int,
 def fitted_series(fits: DataFrame, days: DataFrame) -> DataFrame:
     """Values of each fit (c, slope a day) at each day; the days are as few as the acquisitions and are broadcast."""
     return fits.crossJoin(F.broadcast(days)).withColumn("value", F.col("c") + F.col("slope") * F.col("day"))
+
+
+def misfit(phase: DataFrame, epochs: DataFrame, ifgs: DataFrame) -> DataFrame:
+    """ps_id, ifg_id, r: phases less the difference of the inverted epochs, the first image being nought."""
+    side = lambda name: epochs.select("ps_id", F.col("image_ix").alias(name), F.col("phi").alias(f"x{name}"))
+    met = phase.join(F.broadcast(ifgs.select("ifg_id", "a", "b")), "ifg_id").join(side("a"), ["ps_id", "a"], "left").join(side("b"), ["ps_id", "b"], "left")
+    return met.select("ps_id", "ifg_id", (F.col("phi") - F.coalesce("xb", F.lit(0.0)) + F.coalesce("xa", F.lit(0.0))).alias("r"))

@@ -8,6 +8,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fringelake.operators.robust import quantiles
+
 #: Kinds of failure, in order of priority: pattern of the path, stages, kind (fixed values).
 KINDS = (
     (r"^PATCH_[^/]*/(.*/)?pm1\.mat$", "stage2", "stage2_patch_boundary"),
@@ -105,7 +107,7 @@ def compare_tables(pairs: dict[str, tuple[DataFrame, DataFrame]], rules: dict[st
 
 def figure_histogram(df: DataFrame, x: str, bins: int = 60, low: float = 0.02, high: float = 0.98) -> DataFrame:
     """bin (from 1), n of the values between the limits that a map shows, two and 98 per cent; both ends included."""
-    ends = df.agg(F.percentile(x, F.lit(low)).alias("lo"), F.percentile(x, F.lit(high)).alias("hi"))
+    ends = quantiles(df, x, {"lo": low, "hi": high})
     inside = df.crossJoin(F.broadcast(ends)).filter(F.col(x).between(F.col("lo"), F.col("hi")))
     place = F.least(F.lit(bins), F.floor((F.col(x) - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins) + 1)
     return inside.groupBy(F.coalesce(place, F.lit(1)).cast("long").alias("bin")).agg(F.count("*").alias("n"))
@@ -113,10 +115,9 @@ def figure_histogram(df: DataFrame, x: str, bins: int = 60, low: float = 0.02, h
 
 def field_statistics(df: DataFrame, x: str, by: list[str] | None = None, percentiles=(0.02, 0.5, 0.98)) -> DataFrame:
     v = F.col(x)
-    return df.groupBy(*(by or [])).agg(
-        F.count(v).alias("n"), F.avg(v).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max"), F.stddev_pop(v).alias("std"),
-        *(F.percentile(v, F.lit(p)).alias(f"p{round(100 * p):02d}") for p in percentiles),
-    )
+    sums = df.groupBy(*(by or [])).agg(F.count(v).alias("n"), F.avg(v).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max"), F.stddev_pop(v).alias("std"))
+    told = quantiles(df, x, {f"p{round(100 * p):02d}": p for p in percentiles}, by)
+    return sums.join(F.broadcast(told), by, "left") if by else sums.crossJoin(F.broadcast(told))
 
 
 def without_outliers(df: DataFrame, x: str, kind: str = "iqr") -> DataFrame:
@@ -124,8 +125,7 @@ def without_outliers(df: DataFrame, x: str, kind: str = "iqr") -> DataFrame:
     if kind == "none":
         return df
     if kind == "iqr":
-        q1, q3 = F.percentile(x, F.lit(0.25)), F.percentile(x, F.lit(0.75))
-        bounds = df.agg(q1.alias("q1"), q3.alias("q3")).withColumn("range", F.col("q3") - F.col("q1"))
+        bounds = quantiles(df, x, {"q1": 0.25, "q3": 0.75}).withColumn("range", F.col("q3") - F.col("q1"))
         bounds = bounds.select((F.col("q1") - 1.5 * F.col("range")).alias("lo"), (F.col("q3") + 1.5 * F.col("range")).alias("hi"), (F.col("range") == 0).alias("flat"))
     elif kind == "z-score":
         bounds = df.agg(F.avg(x).alias("m"), F.stddev_pop(x).alias("s")).select((F.col("m") - 3 * F.col("s")).alias("lo"), (F.col("m") + 3 * F.col("s")).alias("hi"), (F.col("s") == 0).alias("flat"))

@@ -402,14 +402,14 @@ def _(fx, spark):
 def _(fx, spark):
     from fringelake.operators import blocks
 
-    return blocks.filter_grid(grid(fx).select("gi", "gj", "ifg_id", "re", "im"), "goldstein", size=8)
+    return blocks.filter_grid(grid(fx).select("gi", "gj", "ifg_id", "re", "im"), "goldstein")
 
 
 @query("grid_adaptive_filter")
 def _(fx, spark):
     from fringelake.operators import blocks
 
-    return blocks.filter_grid(grid(fx).select("gi", "gj", "ifg_id", "re", "im"), "adaptive", size=8, pad=4)
+    return blocks.filter_grid(grid(fx).select("gi", "gj", "ifg_id", "re", "im"), "adaptive")
 
 
 @query("grid_unwrap")

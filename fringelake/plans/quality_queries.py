@@ -250,14 +250,9 @@ FINAL = (
 
 def final_table(fx):
     """Network and MSD percentiles of each interferogram beside the grid control's verdicts."""
-    rest = graph.written(network.residual_metrics(fx.fx_phase, x="phi").coalesce(1))
-    for c in ("rms", "mad", "jumps"):
-        rest = robust.robust_high_z(rest, c, f"z_{c}", kind="network")
     angles = grid(fx).select("gi", "gj", "ifg_id", F.atan2("im", "re").alias("v"))
-    msd = points.grid_msd(points.grid_neighbours(angles, "v", ["ifg_id"]), ["ifg_id"]).select("ifg_id", F.round("msd", 9).alias("msd"))
-    told = rest.select("ifg_id", network.middle_z(["z_rms", "z_mad", "z_jumps"]).alias("network_z")).withColumn("key", F.round("network_z", 9))
-    joined = graph.written(told.join(msd, "ifg_id").join(families(fx).select("ifg_id", (F.col("n_bad") >= 1).alias("grid_family"), (F.col("n_bad") >= 2).alias("grid_strong")), "ifg_id").coalesce(1))
-    return robust.ecdf(robust.ecdf(joined, "key", "network_pct"), "msd", "msd_pct")
+    msd = points.grid_msd(points.grid_neighbours(angles, "v", ["ifg_id"]), ["ifg_id"])
+    return network.final_percentiles(graph.written(network.residual_metrics(fx.fx_phase, x="phi").coalesce(1)), msd, families(fx))
 
 
 @query("final_flags", "fx_ps fx_phase fx_ifgs",

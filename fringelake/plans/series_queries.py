@@ -161,7 +161,7 @@ def _(fx, spark):
 @query("incidence_units", "fx_ps", "WITH q AS (SELECT quantile_cont(30 + hgt / 100, 0.95) <= pi() / 2 + 0.15 AS rad FROM fx_ps) SELECT ps_id, round(CASE WHEN rad THEN 30 + hgt / 100 ELSE radians(30 + hgt / 100) END, 6) + 0.0 AS incidence FROM fx_ps, q")
 def _(fx, spark):
     told = fx.fx_ps.withColumn("inc", 30 + F.col("hgt") / 100)
-    is_rad = told.agg((F.percentile("inc", F.lit(0.95)) <= math.pi / 2 + 0.15).alias("rad"))
+    is_rad = robust.quantiles(told, "inc", {"q": 0.95}).select((F.col("q") <= math.pi / 2 + 0.15).alias("rad"))
     return told.crossJoin(F.broadcast(is_rad)).select("ps_id", r6(F.when(F.col("rad"), F.col("inc")).otherwise(F.radians("inc"))).alias("incidence"))
 
 

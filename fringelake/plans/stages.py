@@ -179,38 +179,74 @@ def promote(data: Dataset, s: Settings) -> str:
 
 
 def unwrap(data: Dataset, s: Settings) -> str:
-    """Grid, filter, unwrap, restore; drop noisy interferograms while the network holds; invert to epochs."""
+    """Grid, filter, unwrap, restore; drop noisy interferograms while the network holds; invert to epochs. What the first
+    inversion leaves, the roughness of the unwrapped grids and the grid control's evidence decide which interferograms the
+    second one does without."""
     ps = data.read("ps2")
     ph = data.read("phase").join(ps.select("ps_id"), "ps_id", "left_semi")
     cells = points.grid_cells(ps, s.grid_size)
-    grid = points.grid_accumulate(cells, ph).select("gi", "gj", "ifg_id", "re", "im")
-    uw = data.write("uw_grid", blocks.unwrap_grid(grid))
+    filtered = data.write("uw_filtered", blocks.filter_grid(points.grid_accumulate(cells, ph).select("gi", "gj", "ifg_id", "re", "im"), "goldstein", size=s.filter_size))
+    uw = data.write("uw_grid", blocks.unwrap_grid(filtered.select("gi", "gj", "ifg_id", "re", "im")))
     restored = data.write("phuw_sb", blocks.restore_points(ph, cells, uw).withColumnRenamed("uw", "phi"))
-    noise = data.read("ifg_noise").withColumnRenamed("std_deg", "x").join(data.read("ifgs").withColumn("dt", F.col("b") - F.col("a")), "ifg_id")
-    told = network.evidence_table(graph.written(noise), "x", "dt")
-    audit = data.write("ifg_audit", told)
+    noise = data.read("ifg_noise")
+    dated = noise.withColumnRenamed("std_deg", "x").join(data.read("ifgs").withColumn("dt", F.col("b") - F.col("a")), "ifg_id")
+    audit = data.write("ifg_audit", network.evidence_table(graph.written(dated), "x", "dt"))
     edges = data.network()
     dropped = list(s.drop) or network.greedy_removal([r.asDict() for r in audit.collect()], s.qc_share)  # a row for each interferogram
     if s.drop:
         network.manual_removal(edges, dropped)
+    reference = ps.filter(selection.in_reference(centre=(s.reference_lon, s.reference_lat) if s.reference_lon is not None else None, radius=s.reference_radius))
+    centred = graph.written(series.reference_centred(restored, reference.select("ps_id")))
+    data.write("phuw", _inverted(data, centred, dropped))
+    if not s.drop:
+        final = data.write("final_audit", _final_audit(data, ph, filtered, uw, centred, noise))
+        more = final_removal(edges, dropped, [r.asDict() for r in final.orderBy(*network.final_order()).collect()], s.qc_share)  # a row for each
+        if more:
+            data.write("phuw", _inverted(data, centred, [*dropped, *more]))
+    return "phuw"
+
+
+def _inverted(data: Dataset, centred: DataFrame, dropped: list[int]) -> DataFrame:
+    edges = data.network()
     left = [e for e in edges if e["ifg_id"] not in dropped]
     p = series.projector(series.design_matrix([(e["a"], e["b"]) for e in left], max(e["b"] for e in edges)))
     order = data.spark.createDataFrame([(e["ifg_id"], k + 1) for k, e in enumerate(left)], "ifg_id long, solve_ix long")
-    reference = ps
-    if s.reference_lon is not None and np.isfinite(s.reference_radius):
-        reference = ps.filter(points.radius_mask(ps, s.reference_lon, s.reference_lat, s.reference_radius))
-    centred = series.reference_centred(restored, reference.select("ps_id"))
-    solved = centred.join(F.broadcast(order), "ifg_id").select("ps_id", F.col("solve_ix").alias("ifg_id"), "phi")
-    data.write("phuw", series.invert(solved, p))
-    return "phuw"
+    return series.invert(centred.join(F.broadcast(order), "ifg_id").select("ps_id", F.col("solve_ix").alias("ifg_id"), "phi"), p)
+
+
+def _final_audit(data: Dataset, ph: DataFrame, filtered: DataFrame, uw: DataFrame, centred: DataFrame, noise: DataFrame) -> DataFrame:
+    """The last control's percentiles and flags, with the grid control's families."""
+    ifgs = data.read("ifgs")
+    closed = network.closure_by_edge(network.closure(ph, network.triangles(ifgs)))
+    metrics = network.grid_residuals(filtered).join(noise.select("ifg_id", F.col("std_deg").alias("ifg_std")), "ifg_id")
+    metrics = metrics.join(closed.select("ifg_id", F.col("rms").alias("closure_rms"), F.col("incoherence").alias("closure_incoherence")), "ifg_id", "left")
+    families = graph.written(network.family_evidence(graph.written(metrics.coalesce(1))).coalesce(1))
+    data.write("grid_audit", network.grid_candidates(families.join(ifgs.select("ifg_id", "a", "b"), "ifg_id")))
+    misfit = graph.written(network.residual_metrics(series.misfit(centred, data.read("phuw"), ifgs)).coalesce(1))
+    msd = points.grid_msd(points.grid_neighbours(uw.withColumnRenamed("uw", "v"), "v", ["ifg_id"]), ["ifg_id"])
+    return network.final_flags(network.final_percentiles(misfit, msd, families))
+
+
+def final_removal(edges: list[dict], dropped: list[int], audit: list[dict], share: float) -> list[int]:
+    """The flagged interferograms, the worst first, as far as the cap that the first control left allows and the network holds."""
+    place = {r["ifg_id"]: -k for k, r in enumerate(audit) if r["drop"]}
+    left = [e | {"candidate": e["ifg_id"] in place, "score": place.get(e["ifg_id"], 0)} for e in edges if e["ifg_id"] not in dropped]
+    most = max(1, int(share * len(edges))) - len(dropped)
+    return network.greedy_removal(left, share)[:most] if most > 0 and place else []
 
 
 def look_angle_error(data: Dataset, s: Settings) -> str:
-    """Slope of the unwrapped phase over perpendicular baselines, held within its neighbours'."""
-    model = graph.written(series.scla(data.read("phuw_sb"), data.read("ifgs")))
+    """Slope of the unwrapped phase over perpendicular baselines with the velocity fitted along, and what is left at nought, both
+    held within the neighbours'."""
+    ifgs = data.read("ifgs")
+    days = data.read("images").select("image_ix", "day")
+    day = lambda name: days.select(F.col("image_ix").alias(name), F.col("day").alias(f"d{name}"))
+    spans = ifgs.join(day("a"), "a").join(day("b"), "b").select("ifg_id", "bperp", (F.col("db") - F.col("da")).alias("dt"))
+    slope = graph.written(series.scla_with_time(data.read("phuw_sb"), spans))
+    offset = series.scla(data.read("phuw_sb"), ifgs).select("ps_id", "c")
     arcs = graph.written(blocks.delaunay_arcs(data.read("ps2")))
-    smooth = graph.clamp_to_neighbours(model.select("ps_id", "k"), arcs, "k")
-    data.write("scla", smooth.join(model.select("ps_id", "c"), "ps_id"))
+    held = graph.clamp_to_neighbours(slope.select("ps_id", "k"), arcs, "k").join(graph.clamp_to_neighbours(graph.written(offset), arcs, "c"), "ps_id")
+    data.write("scla", held)
     return "scla"
 
 

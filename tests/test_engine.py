@@ -200,6 +200,49 @@ def test_plane_by_one_fit_and_five():
     assert np.allclose(kernels.huber_plane(x, y, noisy, np.ones(16)), fit)
 
 
+def test_robust_deramp_is_that_of_one_machine(spark):
+    draw = np.random.default_rng(6)
+    rows = []
+    for ifg in (1, 2, 3, 4):
+        for ps in range(5 if ifg == 3 else 60):
+            x, y = draw.uniform(0, 4000, 2)
+            v = ifg * x / 1000 - y / 1000 + draw.normal(0, 0.05) + (8 if ps % 7 == 0 else 0)
+            rows.append((ps, ifg, float(x), float(y), float("nan") if ps == 9 else None if ps == 10 else float(v), 0.0 if ps == 11 else float(draw.uniform(0.2, 1))))
+    frame = spark.createDataFrame(rows, "ps_id long, ifg_id long, x double, y double, phi double, coh double")
+    got = {(r["ps_id"], r["ifg_id"]): r["flat"] for r in blocks.robust_deramp(frame).collect()}
+    for ifg in (1, 2, 4):
+        part = [r for r in rows if r[1] == ifg]
+        x, y, v, q = (np.array([np.nan if r[k] is None else r[k] for r in part], float) for k in (2, 3, 4, 5))
+        a, b, c = kernels.huber_plane(x, y, v, q)
+        want = v - (a * x / 1000 + b * y / 1000 + c)
+        for r, w in zip(part, want):
+            assert got[r[0], ifg] is None if np.isnan(w) else abs(got[r[0], ifg] - w) < 1e-6
+    assert all(v is None for (_, ifg), v in got.items() if ifg == 3)  # five points
+
+
+def test_quantiles_are_exact(spark):
+    draw = np.random.default_rng(7)
+    values = [(1, float(v)) for v in draw.normal(0, 1, 700)] + [(2, 5.0)] * 40 + [(3, float(v)) for v in np.r_[draw.uniform(0, 1e-9, 50), 1e6]] + [(4, float("nan")), (4, None), (4, 2.0)]
+    frame = spark.createDataFrame(values, "g int, v double").repartition(5)
+    for by in (["g"], None):
+        for bins in (1024, 3):
+            got = robust.quantiles(frame, "v", {"a": 0.0, "b": 0.37, "c": 0.5, "d": 1.0}, by, bins).collect()
+            for r in got:
+                own = [v for g, v in values if v is not None and v == v and (by is None or g == r["g"])]
+                assert np.allclose([r[k] for k in "abcd"], np.quantile(own, [0, 0.37, 0.5, 1]), rtol=1e-12, atol=1e-15)
+            assert len(got) == (4 if by else 1)
+    assert robust.quantiles(frame.limit(0), "v", {"a": 0.5}, ["g"]).count() == 0
+
+
+def test_delaunay_of_many_points_is_quick():
+    import time
+
+    xy = np.random.default_rng(2).uniform(0, 1e4, (4000, 2))
+    began = time.process_time()
+    edges = kernels.delaunay(xy)
+    assert len(edges) > 3 * 4000 - 200 and time.process_time() - began < 30
+
+
 def test_nearest_of_odd_places(spark):
     """Points without a place have no part; one far away is found; no nodes, no rows."""
     from fringelake.operators import points
