@@ -10,8 +10,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from fringelake.operators.graph import written
+from pyspark.sql import types as T
 
 MAD_SCALE = 1.4826
 _TINY = 1e-12
@@ -21,30 +20,38 @@ def median(x) -> Column:
     return F.percentile(x, F.lit(0.5))
 
 
-def quantiles(df: DataFrame, x: str, shares: dict[str, float], by: list[str] | None = None, bins: int = 1024) -> DataFrame:
+def quantiles(df: DataFrame, x: str, shares: dict[str, float], by: list[str] | None = None, bins: int = 256) -> DataFrame:
     """by and, for each name, the exact quantile of the finite values of x, between neighbours as a percentile is. For long tables
-    with few groups: the values are counted by bins between their ends, and only the bins that hold a wanted place are ordered.
-    What is collected by group are at most `bins` counts; equal values are counted before they move."""
+    with few groups (interferograms, acquisitions): the values are counted by bins between their ends, and only the bins that
+    hold a wanted place are ordered. What is collected is a row for each group and at most `bins` counts of it; equal values are
+    counted before they move."""
     keys, names = by or [], list(shares)
     rows = df.select(*keys, F.col(x).cast("double").alias("_q_x")).filter("_q_x IS NOT NULL AND NOT isnan(_q_x) AND abs(_q_x) < double('inf')")
     if not keys:
         keys, rows = ["_q_all"], rows.withColumn("_q_all", F.lit(0))
-    ends = written(rows.groupBy(*keys).agg(F.min("_q_x").alias("_q_lo"), F.max("_q_x").alias("_q_hi"), F.count("*").alias("_q_n")))
+    spark, group = df.sparkSession, T.StructType([rows.schema[k] for k in keys])
+    long = lambda *fields: T.StructType([*group.fields, *(T.StructField(n, t) for n, t in fields)])
+    found = rows.groupBy(*keys).agg(F.min("_q_x").alias("lo"), F.max("_q_x").alias("hi"), F.count("*").alias("n")).collect()
+    sizes = {tuple(r[k] for k in keys): r["n"] for r in found}
+    ends = spark.createDataFrame([(*(r[k] for k in keys), r["lo"], r["hi"]) for r in found], long(("_q_lo", T.DoubleType()), ("_q_hi", T.DoubleType())))
     share = F.when(F.col("_q_hi") > F.col("_q_lo"), (F.col("_q_x") - F.col("_q_lo")) / (F.col("_q_hi") - F.col("_q_lo"))).otherwise(0.0)
-    binned = rows.join(F.broadcast(ends), keys).select(*keys, "_q_x", F.least(F.lit(bins - 1), F.floor(share * bins)).alias("_q_bin"))
-    counts = written(binned.groupBy(*keys, "_q_bin").agg(F.count("*").alias("_q_c")))
-    order = Window.partitionBy(*keys).orderBy("_q_bin")
-    starts = counts.withColumn("_q_end", F.sum("_q_c").over(order))
-    place = {k: F.lit(p) * (F.col("_q_n") - 1) for k, p in shares.items()}
-    wanted = ends.select(*keys, F.explode(F.array(*(F.struct(F.lit(f"{k}{side}").alias("what"), f(place[k]).cast("long").alias("at")) for k in names for side, f in (("_lo", F.floor), ("_hi", F.ceil))))).alias("w")).select(*keys, "w.*")
-    held = wanted.join(starts, keys).filter("at < _q_end AND at >= _q_end - _q_c").select(*keys, "what", "_q_bin", (F.col("at") - F.col("_q_end") + F.col("_q_c")).alias("inner"))
-    held = written(held)
-    few = binned.join(F.broadcast(held.select(*keys, "_q_bin").distinct()), [*keys, "_q_bin"], "left_semi").groupBy(*keys, "_q_bin", "_q_x").agg(F.count("*").alias("_q_c"))
+    binned = rows.join(F.broadcast(ends), keys).select(*keys, "_q_x", F.least(F.lit(bins - 1), F.floor(share * bins)).cast("int").alias("_q_bin"))
+    held, before = [], {}
+    for r in binned.groupBy(*keys, "_q_bin").agg(F.count("*").alias("c")).orderBy(*keys, "_q_bin").collect():
+        key = tuple(r[k] for k in keys)
+        start = before.get(key, 0)
+        before[key] = start + r["c"]
+        for name, p in shares.items():
+            place = p * (sizes[key] - 1)
+            low = math.floor(place)
+            for at, weight in {low: 1 - (place - low), math.ceil(place): place - low if place > low else 1.0}.items():
+                if start <= at < start + r["c"]:
+                    held.append((*key, name, r["_q_bin"], at - start, float(weight)))
+    wanted = spark.createDataFrame(held, long(("what", T.StringType()), ("_q_bin", T.IntegerType()), ("inner", T.LongType()), ("weight", T.DoubleType())))
+    few = binned.join(F.broadcast(wanted.select(*keys, "_q_bin").distinct()), [*keys, "_q_bin"], "left_semi").groupBy(*keys, "_q_bin", "_q_x").agg(F.count("*").alias("_q_c"))
     told = few.withColumn("_q_end", F.sum("_q_c").over(Window.partitionBy(*keys, "_q_bin").orderBy("_q_x")))
-    met = told.join(F.broadcast(held), [*keys, "_q_bin"]).filter("inner < _q_end AND inner >= _q_end - _q_c")
-    found = met.groupBy(*keys).agg(*(F.max(F.when(F.col("what") == f"{k}{side}", F.col("_q_x"))).alias(f"{k}{side}") for k in names for side in ("_lo", "_hi"))).join(F.broadcast(ends), keys)
-    between = {k: place[k] - F.floor(place[k]) for k in names}
-    out = found.select(*keys, *((F.col(f"{k}_lo") * (1 - between[k]) + F.col(f"{k}_hi") * between[k]).alias(k) for k in names))
+    met = told.join(F.broadcast(wanted), [*keys, "_q_bin"]).filter("inner < _q_end AND inner >= _q_end - _q_c")
+    out = met.groupBy(*keys).agg(*(F.sum(F.when(F.col("what") == k, F.col("_q_x") * F.col("weight"))).alias(k) for k in names))
     return out if by else out.drop("_q_all")
 
 

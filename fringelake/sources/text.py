@@ -45,7 +45,7 @@ def pair_list(spark, path: str, n_images: int) -> DataFrame:
 def pairs(lines: DataFrame, n_images: int) -> DataFrame:
     """As ``pair_list``, of rows (line, at)."""
     rows = lines.withColumn("part", F.split("line", r"\s+"))
-    told = rows.select(F.row_number().over(Window.orderBy("at")).cast("long").alias("ifg_id"), F.get("part", F.lit(0)).cast("long").alias("a"), F.get("part", F.lit(1)).cast("long").alias("b"))
+    told = rows.select(F.row_number().over(Window.orderBy("at")).cast("long").alias("ifg_id"), F.get("part", F.lit(0)).try_cast("long").alias("a"), F.get("part", F.lit(1)).try_cast("long").alias("b"))
     bad = told.filter(f"a IS NULL OR b IS NULL OR a < 1 OR b < 1 OR a > {n_images} OR b > {n_images} OR a = b").count()
     ends = told.select(F.least("a", "b"), F.greatest("a", "b"))
     if bad or ends.count() != ends.distinct().count():
@@ -56,9 +56,10 @@ def pairs(lines: DataFrame, n_images: int) -> DataFrame:
 def edges(lines: DataFrame, n_nodes: int) -> DataFrame:
     """edge_id, a, b (from 0) of the lines of an edge file: a head with the number of edges, then 'number a b mark', counted
     from 1. The number of edges must be the head's, and the nodes in range."""
-    cut = lines.select("at", F.split(F.trim("line"), r"\s+").alias("part")).withColumn("head", F.col("at") == F.min("at").over(Window.partitionBy()))
-    told = cut.filter("NOT head").select(*((F.get("part", F.lit(k)).cast("long") - 1).alias(c) for k, c in enumerate(("edge_id", "a", "b"))))
-    n = cut.filter("head").select(F.get("part", F.lit(0)).cast("long")).first()
+    first = lines.agg(F.min("at").alias("first"))
+    cut = lines.crossJoin(F.broadcast(first)).select((F.col("at") == F.col("first")).alias("head"), F.split(F.trim("line"), r"\s+").alias("part"))
+    told = cut.filter("NOT head").select(*((F.get("part", F.lit(k)).try_cast("long") - 1).alias(c) for k, c in enumerate(("edge_id", "a", "b"))))
+    n = cut.filter("head").select(F.get("part", F.lit(0)).try_cast("long")).first()
     found, bad = told.agg(F.count("*"), F.count_if(~F.col("a").between(0, n_nodes - 1) | ~F.col("b").between(0, n_nodes - 1) | F.col("a").isNull() | F.col("b").isNull())).first()
     if n is None or found != n[0] or bad:
         raise ValueError(f"{found} edges where the head says {n and n[0]}, {bad} out of range")
@@ -91,7 +92,7 @@ def patch_order(names: DataFrame, listed: DataFrame | None = None) -> DataFrame:
     """place, name of the patches of a dataset: in the order of its list if there is one (rows name, at), else by the number
     that ends the name, then the name. A listed patch that is not there is an error."""
     if listed is None:
-        order = [F.coalesce(F.regexp_extract("name", r"(\d+)$", 1).cast("long"), F.lit(2**31)), F.col("name")]
+        order = [F.coalesce(F.regexp_extract("name", r"(\d+)$", 1).try_cast("long"), F.lit(2**31)), F.col("name")]
         return names.select(F.row_number().over(Window.orderBy(*order)).cast("long").alias("place"), "name")
     missing = listed.join(names, "name", "left_anti")
     if not missing.isEmpty():

@@ -2,7 +2,10 @@
 
 import json
 import math
+import os
 import struct
+import subprocess
+import sys
 
 import duckdb
 import numpy as np
@@ -429,8 +432,95 @@ def test_dense_query_runs(spark, sf_dir, name):
     assert registry.QUERIES[name](spark, sf_dir).count() > 0
 
 
-def test_entry_without_the_corpus_operators(spark):
+HIDING = """
+import sys
+class Hidden:
+    def find_spec(self, name, path=None, target=None):
+        if name == {hidden!r}:
+            raise ModuleNotFoundError("hidden", name=name)
+sys.meta_path.insert(0, Hidden())
+import __spark_entry__ as entry
+names = set(entry.queries())
+assert set(entry.oracle_sql()) <= names and len(names) > 100
+print(sorted(n for n in names if n.startswith("op") and n[2:3].isdigit() or n == "pipeline"))
+"""
+
+
+@pytest.mark.parametrize("hidden, left", [("fringelake.llm", "[]"), ("corpus_pipeline", "[]"), ("zstandard", None)])
+def test_entry_without_the_corpus_operators(hidden, left):
+    """The entry imports without the subpackage or the pipeline; a library that the operators lack is an error, at the latest when they run."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", HIDING.format(hidden=hidden)], cwd=root, capture_output=True, text=True, timeout=120)
+    if left is not None:
+        assert done.returncode == 0, done.stderr
+        assert done.stdout.strip() == left
+    else:
+        assert done.returncode or done.stdout.strip() != "[]"
+
+
+def test_entry_runs(spark):
     import __spark_entry__ as entry
 
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_lists_that_are_wrong(spark):
+    """Scene, pair and edge lists, files by date and patches: what does not fit together is an error that names it."""
+    lines = lambda *rows: spark.createDataFrame([(r, k) for k, r in enumerate(rows)], "line string, at long")
+    dates = text.scenes(lines("a/20240101.rslc b", "a/20240113.rslc b"))
+    for wrong in (lines("a/20240101.rslc b"), lines("a/20240101.rslc b", "a/20240101.rslc c"), lines("a/20240101.rslc b", "20240113")):
+        with pytest.raises(ValueError):
+            text.scenes(wrong)
+    for wrong in (lines("1 1"), lines("1 3"), lines("1 2", "2 1"), lines("1")):
+        with pytest.raises(ValueError):
+            text.pairs(wrong, 2)
+    for wrong in (lines("2 1", "1 1 2 0"), lines("1 1", "1 1 9 0"), lines("1 1", "1 x 2 0")):
+        with pytest.raises(ValueError):
+            text.edges(wrong, 3)
+    files = lambda *names: spark.createDataFrame([(n,) for n in names], "path string")
+    assert text.dated_files(dates, files("m/20240101.mli", "m/20240113.mli", "m/readme")).count() == 2
+    for wrong in (files("m/20240101.mli"), files("m/20240101.mli", "n/20240101.mli", "m/20240113.mli")):
+        with pytest.raises(ValueError):
+            text.dated_files(dates, wrong)
+    ifgs = spark.createDataFrame([(1, 1, 2)], "ifg_id long, a long, b long")
+    assert text.paired_files(ifgs, dates, files("d/20240101_20240113.diff", "d/20240113_20240101.diff")).count() == 1
+    with pytest.raises(ValueError):
+        text.paired_files(ifgs, dates, files("d/20240113_20240101.diff"))
+    names = spark.createDataFrame([("PATCH_10",), ("PATCH_2",), ("other",)], "name string")
+    assert [r["name"] for r in text.patch_order(names).orderBy("place").collect()] == ["PATCH_2", "PATCH_10", "other"]
+    with pytest.raises(ValueError):
+        text.patch_order(names, spark.createDataFrame([("PATCH_7", 1)], "name string, at long"))
+
+
+def test_selections_of_odd_tables(spark):
+    from fringelake.operators import selection
+
+    points_ = spark.createDataFrame([(k, k // 40, k % 40) for k in range(1000)], "ps_id long, row long, col long")
+    for target in (1, 30, 90, 25_000):
+        along, across = selection.patch_grid(points_, target)
+        assert along * across >= min(-(-1000 // target), 64 * 64)
+    with pytest.raises(ValueError):
+        selection.patch_grid(points_.limit(0))
+    with pytest.raises(ValueError):
+        selection.coherence_mask(points_, None, "other", 0.1)
+    with pytest.raises(ValueError):
+        verify.without_outliers(points_, "row", "other")
+    flat = spark.createDataFrame([(k, 1.0) for k in range(20)], "ps_id long, v double")
+    for kind in ("none", "iqr", "z-score"):
+        assert verify.without_outliers(flat, "v", kind).count() == 20
+    assert selection.diagnostic_points(flat.limit(0), "ps_id", "v", "evenly_spaced", 5).count() == 0
+    assert selection.diagnostic_points(flat, "ps_id", "v", "evenly_spaced", 50).count() == 20
+    assert [r["place"] for r in selection.placed(flat.repartition(4), "ps_id").orderBy("ps_id").collect()] == list(range(20))
+    lv = spark.createDataFrame([(r, c, 0.9) for r in range(3) for c in range(3)], "row long, col long, value double")
+    with pytest.raises(ValueError):
+        points.incidence(spark.createDataFrame([(1, 9.0, 9.0)], "pt long, r double, c double"), lv)
+
+
+def test_final_removal_keeps_cap_and_network():
+    edges = [{"ifg_id": k + 1, "a": a, "b": b} for k, (a, b) in enumerate((a, b) for a in range(1, 7) for b in range(a + 1, 7))]
+    audit = [{"ifg_id": k, "drop": k in (3, 5, 9)} for k in (9, 5, 3, 1, 2)]
+    assert stages.final_removal(edges, [], audit, 0.1) == [9]
+    assert stages.final_removal(edges, [], audit, 0.2) == [9, 5, 3]
+    assert stages.final_removal(edges, [1], audit, 0.2) == [9, 5]
+    assert stages.final_removal(edges, [1, 2, 3], audit, 0.2) == [] == stages.final_removal(edges, [], [], 0.5)
