@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from fringelake.llm.common import BLOCK_BYTES, crc_mod, first_by_hash, text_of, texts_within
 
 #: Bounds of every classifier's fit: labelled rows of each class, and characters of their texts in all; texts are never cut.
-ROWS, CHARS = 4000, 12_000_000
+ROWS, CHARS = 4000, 8_000_000
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, id_col="doc_id", text_col="text", rows=ROWS, chars=CHARS):
