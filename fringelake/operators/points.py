@@ -42,6 +42,13 @@ def pairwise_dispersion(amp: DataFrame, ifgs: DataFrame, threshold: float) -> Da
     return found.select("pixel", "n_pairs", (F.sqrt("q") / F.col("mean")).alias("d_a")).filter(F.col("d_a") < threshold)
 
 
+def single_look_candidates(amp: DataFrame, ifgs: DataFrame, width: int, range_looks: int, azimuth_looks: int, threshold: float) -> DataFrame:
+    """cell_row, cell_col, row, col, d_a: the pairwise dispersion of each single-look pixel (numbered along lines of `width`), the
+    least one of each multilook cell, and of those the ones below the threshold."""
+    told = pairwise_dispersion(amp, ifgs, math.inf).select(F.floor(F.col("pixel") / width).alias("row"), (F.col("pixel") % width).alias("col"), "d_a")
+    return best_look(told, range_looks, azimuth_looks).filter(F.col("d_a") < threshold)
+
+
 def best_look(pixels: DataFrame, range_looks: int, azimuth_looks: int) -> DataFrame:
     """The single-look pixel of least dispersion in each multilook cell, the first by (row, col) on ties."""
     cell = [F.floor(F.col("row") / azimuth_looks).alias("cell_row"), F.floor(F.col("col") / range_looks).alias("cell_col")]

@@ -172,12 +172,13 @@ def scla(phase: DataFrame, ifgs: DataFrame) -> DataFrame:
     return met.groupBy("ps_id").agg(k.alias("k"), c.alias("c"))
 
 
-def temporal_highpass(ts: DataFrame, key: str, day: str, x: str, window: float) -> DataFrame:
+def temporal_highpass(ts: DataFrame, key: str, day: str, x: str, window: float, master: float | None = None) -> DataFrame:
     """Values less their Gaussian-weighted mean in time. A point's epochs meet once, as one array, in which each is weighed
-    against all: squared in the epochs of a point, with no rows for their pairs."""
+    against all: squared in the epochs of a point, with no rows for their pairs. The master's day has no weight."""
     rest = [c for c in ts.columns if c != key]
     series_ = ts.groupBy(key).agg(F.collect_list(F.struct(*rest)).alias("s"))
-    w = lambda a, b: F.exp(-(a[day] - b[day]) * (a[day] - b[day]) / (2 * window * window))
+    near = lambda a, b: F.exp(-(a[day] - b[day]) * (a[day] - b[day]) / (2 * window * window))
+    w = near if master is None else lambda a, b: F.when(b[day] == master, 0.0).otherwise(near(a, b))
     add = lambda e: lambda t, o: F.struct((t["w"] + w(e, o)).alias("w"), (t["x"] + w(e, o) * o[x]).alias("x"))
     none = F.struct(F.lit(0.0).alias("w"), F.lit(0.0).alias("x"))
     low = lambda e: F.aggregate("s", none, add(e), lambda t: t["x"] / t["w"])

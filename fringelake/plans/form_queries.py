@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from fringelake.functions import geometry, phase
 from fringelake.functions.phase import r6
-from fringelake.operators import blocks, points, series, verify
-from fringelake.plans.point_queries import GRID
+from fringelake.operators import blocks, graph, points, series, verify
+from fringelake.plans.point_queries import ARCS, GRID
 from fringelake.plans.registry import query
 from fringelake.sources import text
 
@@ -279,6 +279,26 @@ def _(fx, spark):
     return series.fitted_series(fits, days).select("ps_id", "image_ix", r6("value").alias("value"))
 
 
+@query("model_envelope", "fx_ps fx_phase fx_ifgs",
+    f"WITH {ARCS}, m AS (SELECT ps_id, regr_slope(phi, bperp) AS k, regr_intercept(phi, bperp) AS c FROM fx_phase JOIN fx_ifgs USING (ifg_id) GROUP BY ps_id), u AS (SELECT a, b FROM arcs UNION SELECT b, a FROM arcs),"
+    " e AS (SELECT u.a, min(k) AS k0, max(k) AS k1, min(c) AS c0, max(c) AS c1 FROM u JOIN m ON m.ps_id = u.b GROUP BY u.a)"
+    " SELECT ps_id, round(greatest(coalesce(k0, k), least(coalesce(k1, k), k)), 6) + 0.0 AS k, round(greatest(coalesce(c0, c), least(coalesce(c1, c), c)), 6) + 0.0 AS c FROM m LEFT JOIN e ON e.a = ps_id")
+def _(fx, spark):
+    """Slope and offset of the height-error model, both held within the neighbours'."""
+    from fringelake.plans.point_queries import arcs
+
+    model, links = graph.written(series.scla(fx.fx_phase, fx.fx_ifgs)), graph.written(arcs(fx))
+    held = graph.clamp_to_neighbours(model.select("ps_id", "k"), links, "k").join(graph.clamp_to_neighbours(model.select("ps_id", "c"), links, "c"), "ps_id")
+    return held.select("ps_id", r6("k").alias("k"), r6("c").alias("c"))
+
+
+@query("highpass_without_master", "fx_phase fx_ifgs fx_images",
+    f"WITH {TS}, w AS (SELECT p.ps_id, p.image_ix, p.phi, sum(exp(-power(p.day - q.day, 2) / (2 * 900)) * q.phi) FILTER (q.image_ix <> 7) / sum(exp(-power(p.day - q.day, 2) / (2 * 900))) FILTER (q.image_ix <> 7) AS low"
+    " FROM ts p JOIN ts q USING (ps_id) GROUP BY p.ps_id, p.image_ix, p.phi) SELECT ps_id, image_ix, round(phi - low, 6) + 0.0 AS high FROM w")
+def _(fx, spark):
+    return series.temporal_highpass(series_of(fx), "ps_id", "day", "phi", 30.0, 739252.0 + 72).select("ps_id", "image_ix", r6("high").alias("high"))
+
+
 # ---- delays ------------------------------------------------------------------------------------------------------------------
 
 DELAY = (

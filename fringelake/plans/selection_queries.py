@@ -204,3 +204,12 @@ def _(fx, spark):
     told = fx.fx_phase.groupBy("ifg_id").agg(F.floor(F.degrees(F.sqrt(F.avg(F.col("phi") * F.col("phi"))))).alias("x"), F.round(F.avg(F.abs("phi")) * 20).alias("y"))
     told = robust.ecdf(robust.ecdf(graph.written(told.coalesce(1)), "x", "network_pct"), "y", "msd_pct").withColumn("grid_strong", F.col("y") < 31)
     return told.select("ifg_id", F.row_number().over(Window.orderBy(*network.final_order())).cast("long").alias("place"))
+
+
+@query("single_look_candidates", "fx_amp fx_ifgs",
+    "WITH sc AS (SELECT image, avg(amp) FILTER (amp > 0.001) AS scale FROM fx_amp GROUP BY image), v AS (SELECT pixel, image, amp / scale AS v FROM fx_amp JOIN sc USING (image)),"
+    " p AS (SELECT m.pixel, m.v AS m, s.v AS s FROM v m JOIN fx_ifgs ON m.image = a JOIN v s ON s.image = b AND s.pixel = m.pixel), d AS (SELECT pixel, sqrt(avg((m - s) * (m - s))) / avg((m + s) / 2) AS d_a FROM p GROUP BY pixel),"
+    " r AS (SELECT CAST(floor(pixel / 40) AS BIGINT) AS row, pixel % 40 AS col, d_a FROM d), c AS (SELECT CAST(floor(row / 2) AS BIGINT) AS cell_row, CAST(floor(col / 4) AS BIGINT) AS cell_col, arg_min(row, (d_a, row, col)) AS row, arg_min(col, (d_a, row, col)) AS col, min(d_a) AS d_a FROM r GROUP BY 1, 2)"
+    " SELECT cell_row, cell_col, row, col, round(d_a, 6) + 0.0 AS d_a FROM c WHERE d_a < 0.5")
+def _(fx, spark):
+    return points.single_look_candidates(fx.fx_amp, fx.fx_ifgs, 40, 4, 2, 0.5).withColumn("d_a", r6("d_a"))

@@ -282,6 +282,35 @@ def outputs(data: Dataset, s: Settings) -> str:
 STAGES: list[Callable[[Dataset, Settings], str]] = [load, coherence, select, weed, promote, unwrap, look_angle_error, spatial_noise, outputs]
 
 
+#: What each stage reads and writes.
+INPUTS = {
+    "load": ("ps phase", "ps1"), "coherence": ("ps1 phase ifgs", "pm1 weights1 turned1"), "select": ("pm1 ps1 phase ifgs weights1 turned1", "select1"),
+    "weed": ("ps1 select1 phase ifgs images", "kept1 weed1"), "promote": ("weed1 phase pm1 ifgs", "ps2 ifg_noise"),
+    "unwrap": ("ps2 phase ifgs ifg_noise", "uw_filtered uw_grid phuw_sb ifg_audit final_audit grid_audit phuw"), "look_angle_error": ("phuw_sb ifgs images ps2", "scla"),
+    "spatial_noise": ("phuw scla ifgs images ps2", "phcorr scn"), "outputs": ("phcorr scn ps2", "series velocity"),
+}
+
+
+def stage_inputs(spark: SparkSession) -> DataFrame:
+    """stage, name, role (reads or writes), table of every stage."""
+    rows = [(k + 1, f.__name__, role, t) for k, f in enumerate(STAGES) for role, tables in zip(("reads", "writes"), INPUTS[f.__name__]) for t in tables.split()]
+    return spark.createDataFrame(rows, "stage int, name string, role string, table string")
+
+
+def replay(spark: SparkSession, root: str, reference: str, stage: int) -> list[str]:
+    """Takes what a stage writes from a reference folder instead of computing it; a table that is not there is an error."""
+    data, other = Dataset(spark, root), Dataset(spark, reference)
+    tables = INPUTS[STAGES[stage - 1].__name__][1].split()
+    needed = [t for t in tables if t not in ("final_audit", "grid_audit")]  # not written where the list of drops is given
+    missing = [t for t in needed if not other.has(t)]
+    if missing:
+        raise ValueError(f"{reference} lacks {missing}")
+    taken = [t for t in tables if other.has(t)]
+    for table in taken:
+        data.write(table, other.read(table))
+    return taken
+
+
 def preflight(data: Dataset) -> None:
     """Shapes that the stages rely on; an error names what is wrong."""
     edges = data.network()

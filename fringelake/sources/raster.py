@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 #: Cell types by name: numpy type and values per cell.
@@ -31,6 +32,25 @@ def coherence_kind(size: int, width: int, lines: int) -> str:
     raise ValueError(f"{size} bytes are neither float nor byte cells of {width} x {lines}")
 
 
+def layout(parameters: dict[str, str], size: int) -> tuple[int, int, str]:
+    """(width, lines, type) of a raster from the names and texts of its parameter file, checked against the file's size."""
+    find = lambda *names: next((parameters[n].split()[0] for n in names if parameters.get(n, "").split()), None)
+    width, lines, kind = find("range_samples", "interferogram_width", "width"), find("azimuth_lines", "interferogram_azimuth_lines", "nlines"), find("image_format", "data_format")
+    if width is None or lines is None or kind is None:
+        raise ValueError("a parameter file must give width, lines and format")
+    kind = {"real*4": "float", "real*8": "double", "integer*2": "short"}.get(kind.lower(), kind.lower())
+    if kind not in TYPES:
+        raise ValueError(f"{kind} is no cell type")
+    if infer_lines(size, int(width), kind) != int(lines):
+        raise ValueError(f"{size} bytes are not {width} x {lines} {kind} cells")
+    return int(width), int(lines), kind
+
+
+def coherence(raster: DataFrame, kind: str) -> DataFrame:
+    """A raster of coherence from 0 to 1: bytes are 255ths."""
+    return raster.withColumn("value", F.col("value") / 255) if kind == "uchar" else raster
+
+
 class _Lines(InputPartition):
     def __init__(self, first: int, last: int):
         self.first, self.last = first, last

@@ -341,6 +341,18 @@ def test_raster_source(spark, tmp_path):
     assert picked.first()["value"] == 54
 
 
+def test_raster_layout(spark):
+    given = {"range_samples": "40", "azimuth_lines": "10 lines", "image_format": "REAL*4"}
+    assert raster.layout(given, 1600) == (40, 10, "float")
+    assert raster.layout({"width": "40", "nlines": "10", "data_format": "FCOMPLEX"}, 3200) == (40, 10, "fcomplex")
+    for wrong, size in ((given, 1604), (given, 800), (given | {"image_format": "odd"}, 1600), ({"width": "40"}, 1600)):
+        with pytest.raises(ValueError):
+            raster.layout(wrong, size)
+    cells_ = spark.createDataFrame([(0, 0, 255.0), (0, 1, 51.0)], "row long, col long, value double")
+    assert [r["value"] for r in raster.coherence(cells_, raster.coherence_kind(2, 2, 1)).orderBy("col").collect()] == [1.0, 0.2]
+    assert [r["value"] for r in raster.coherence(cells_, raster.coherence_kind(8, 2, 1)).orderBy("col").collect()] == [255.0, 51.0]
+
+
 def test_text_sources(spark, tmp_path):
     (tmp_path / "p.par").write_text("title: a: b\nrange_samples:   1200  samples\nprf: 1.68e3 Hz\nnone: x\n")
     found = {r["name"]: (r["text"], r["number"]) for r in text.parameters(spark, str(tmp_path / "p.par")).collect()}
@@ -423,6 +435,12 @@ def test_stages_recover_velocities(spark, tmp_path):
     assert abs(slope - 0.05) < 0.02
     assert {x[1] for x in stages.run(spark, root, s).stages} == {"kept"}
     assert stages.status(spark, root).count() == 9
+    other = str(tmp_path / "replayed")
+    assert stages.replay(spark, other, root, 3) == ["select1"] and spark.read.parquet(f"{other}/select1").count() == spark.read.parquet(f"{root}/select1").count()
+    with pytest.raises(ValueError):
+        stages.replay(spark, root, other, 5)
+    told = {(r["role"], r["table"]) for r in stages.stage_inputs(spark).collect()}
+    assert {t for role, t in told if role == "writes"} <= set(os.listdir(root)) and {t for _, t in told} <= set(os.listdir(root))
     with pytest.raises(ValueError):
         stages.run(spark, root, s, start=5, end=3)
 
