@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fringelake.functions import kernels
+from fringelake.functions import arcs, kernels
 from fringelake.operators.graph import written
 from fringelake.operators.robust import quantiles
 
@@ -188,6 +188,57 @@ def delaunay_arcs(points: DataFrame) -> DataFrame:
     return points.select("patch_id", "ps_id", "x", "y").groupBy("patch_id").applyInPandas(one, "patch_id long, a long, b long")
 
 
+def difference_whitener(noise: DataFrame, arcs_: DataFrame, ids: list[int]) -> np.ndarray:
+    """The whitener of noise (ps_id, ifg_id, phi) differenced over arcs (a, b): sums of products by block of arcs, one matrix of
+    the network's size a task; only arcs whose ends have every interferogram count."""
+    points_ = stacked(noise, len(ids))
+    met = arcs_.select("a", "b").join(points_.select(F.col("ps_id").alias("a"), F.col("phi").alias("pa")), "a").join(points_.select(F.col("ps_id").alias("b"), F.col("phi").alias("pb")), "b")
+
+    def sums(batches):
+        count, total, products = 0, np.zeros(len(ids)), np.zeros((len(ids), len(ids)))
+        for pdf in batches:
+            if len(pdf):
+                d = np.vstack(pdf["pb"]) - np.vstack(pdf["pa"])
+                count, total, products = count + len(d), total + d.sum(axis=0), products + d.T @ d
+        yield pd.DataFrame({"n": [count], "total": [total.tobytes()], "products": [products.tobytes()]})
+
+    parts = met.select("pa", "pb").mapInPandas(sums, "n long, total binary, products binary")
+    whole = parts.repartition(8).mapInPandas(lambda batches: _added(batches, len(ids)), "n long, total binary, products binary").collect()  # eight rows
+    count, total, products = 0, np.zeros(len(ids)), np.zeros((len(ids), len(ids)))
+    for r in whole:
+        count, total, products = count + r["n"], total + np.frombuffer(r["total"]), products + np.frombuffer(r["products"]).reshape(len(ids), -1)
+    return arcs.whitener(count, total, products)
+
+
+def _added(batches, n: int):
+    count, total, products = 0, np.zeros(n), np.zeros(n * n)
+    for pdf in batches:
+        for some, t, p in zip(pdf["n"], pdf["total"], pdf["products"]):
+            count, total, products = count + int(some), total + np.frombuffer(t), products + np.frombuffer(p)
+    yield pd.DataFrame({"n": [count], "total": [total.tobytes()], "products": [products.tobytes()]})
+
+
+def arc_space_time(differences: DataFrame, pairs: list[tuple[int, int]], days: list[float], bperp: list[float], window: float, method: str = "3D", wraps: float = 0.0, w: np.ndarray | None = None, runs: int = 15) -> DataFrame:
+    """edge_id, ifg_id, k, noise, uw of arcs that every interferogram has: look-angle slopes (none with `wraps` of nought), smoothing
+    in time and unwrapping along it. pairs: image indices from 0 in the order of interferograms. Arcs are handled in the
+    batches that Spark deals out; an arc's result depends on its id and phases alone."""
+    p, d, b = np.array(pairs, int), np.array(days, float), np.array(bperp, float)
+    if method not in arcs.METHODS:
+        raise ValueError(f"methods are {', '.join(arcs.METHODS)}")
+    rows = stacked(differences.select(F.col("edge_id").alias("ps_id"), "ifg_id", F.col("dphi").alias("phi")), len(p))
+
+    def fit(batches):
+        for pdf in batches:
+            for start in range(0, len(pdf), 500):
+                some = pdf.iloc[start : start + 500]
+                z, keys = np.exp(1j * np.vstack(some["phi"])), some["ps_id"].to_numpy()
+                k = arcs.slopes(z, p, d, b, wraps) if wraps > 0 else np.zeros(len(z))
+                noise, uw = arcs.space_time(z, keys, p, d, b, window, method, k, w, runs)
+                yield pd.DataFrame({"edge_id": np.repeat(keys, len(p)), "ifg_id": np.tile(np.arange(1, len(p) + 1), len(keys)), "k": np.repeat(k, len(p)), "noise": noise.ravel(), "uw": uw.ravel()})
+
+    return rows.mapInPandas(fit, "edge_id long, ifg_id long, k double, noise double, uw double")
+
+
 def arc_smoothing(differences: DataFrame, days: DataFrame, window: float) -> DataFrame:
     """edge_id, a, b, std, max: noise of each arc's series against a local line in time."""
     rows = differences.join(F.broadcast(days), "ifg_id").groupBy("edge_id", "a", "b").agg(F.array_sort(F.collect_list(F.struct("day", "dphi"))).alias("s"))

@@ -193,6 +193,41 @@ def nearest(queries: DataFrame, nodes: DataFrame, size: float) -> DataFrame:
         reach *= 2
 
 
+def label_raster(occupied: DataFrame) -> DataFrame:
+    """gi, gj, z: for each cell of the grid the number of the nearest occupied one (gi, gj), the smallest on ties; occupied cells
+    are numbered from 1 by column, then row."""
+    from fringelake.operators.selection import placed
+
+    nodes = written(placed(occupied.select("gi", "gj").distinct().withColumn("order", F.struct("gj", "gi")), "order"))
+    nodes = nodes.select((F.col("place") + 1).cast("long").alias("ps_id"), F.col("gj").cast("double").alias("x"), F.col("gi").cast("double").alias("y"))
+    ends = nodes.agg(F.max("y").cast("long").alias("rows"), F.max("x").cast("long").alias("cols")).filter("rows IS NOT NULL")
+    lines = ends.select("cols", F.explode(F.sequence(F.lit(1).cast("long"), "rows")).alias("gi"))
+    cells = lines.select("gi", F.explode(F.sequence(F.lit(1).cast("long"), "cols")).alias("gj"))
+    at = cells.select(F.struct("gi", "gj").alias("ps_id"), F.col("gj").cast("double").alias("x"), F.col("gi").cast("double").alias("y"))
+    return nearest(at, nodes, 2.0).select("ps_id.gi", "ps_id.gj", F.col("other").alias("z"))
+
+
+def label_edges(labels: DataFrame) -> DataFrame:
+    """gi, gj, z, colix, rowix: the signed number of the edge between a cell's label and the one to its right (colix) and below
+    (rowix): 0 where they are the same, null past the border, negative where the larger label comes first. Edges are the
+    distinct pairs of labels, numbered from 1 in order."""
+    from fringelake.operators.selection import placed
+
+    here = written(labels.select("gi", "gj", "z"))
+    right = here.select("gi", (F.col("gj") - 1).alias("gj"), F.col("z").alias("zr"))
+    below = here.select((F.col("gi") - 1).alias("gi"), "gj", F.col("z").alias("zb"))
+    met = here.join(right, ["gi", "gj"], "left").join(below, ["gi", "gj"], "left")
+    pair = lambda c: F.struct(F.least("z", c).alias("lo"), F.greatest("z", c).alias("hi"))
+    ends = met.select(F.explode(F.array(pair("zr"), pair("zb"))).alias("e"), "zr", "zb").filter("e.lo <> e.hi").select("e").distinct()
+    numbers = placed(ends, "e").select("e", (F.col("place") + 1).cast("long").alias("n"))
+    out = met
+    for c, name in (("zr", "colix"), ("zb", "rowix")):
+        number = numbers.select(F.col("e").alias("pair"), F.col("n").alias(name))
+        signed = F.when(F.col(c).isNull(), None).when(F.col(c) == F.col("z"), 0).otherwise(F.signum(F.col(c) - F.col("z")).cast("long") * F.col(name))
+        out = out.withColumn("pair", pair(c)).join(number, "pair", "left").withColumn(name, signed).drop("pair")
+    return out.select("gi", "gj", "z", "colix", "rowix")
+
+
 def filled(values: DataFrame, x: str, size: float) -> DataFrame:
     """ps_id and x, with the nearest known value where a point has none; null if no point has any."""
     known = F.col(x).isNotNull() & ~F.isnan(x)

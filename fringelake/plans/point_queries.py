@@ -454,3 +454,28 @@ def _(fx, spark):
     from fringelake.operators import blocks
 
     return blocks.random_histogram(spark, baselines(fx), 1.0)
+
+
+@query(
+    "label_edge_rasters", "fx_ps",
+    "WITH " + CELLS.replace("/ 100)", "/ 30)") + ", oc AS (SELECT DISTINCT gi, gj FROM gc), nd AS (SELECT gi, gj, row_number() OVER (ORDER BY gj, gi) AS node FROM oc), ex AS (SELECT max(gi) AS r, max(gj) AS c FROM oc),"
+    " al AS (SELECT i.range AS gi, j.range AS gj FROM range(1, (SELECT r + 1 FROM ex)) i, range(1, (SELECT c + 1 FROM ex)) j),"
+    " z AS (SELECT gi, gj, node AS z FROM (SELECT al.gi, al.gj, node, row_number() OVER (PARTITION BY al.gi, al.gj ORDER BY sqrt(power(al.gi - nd.gi, 2) + power(al.gj - nd.gj, 2)), node) AS p FROM al, nd) WHERE p = 1),"
+    " pr AS (SELECT p.gi, p.gj, 'c' AS kind, p.z AS z0, q.z AS z1 FROM z p JOIN z q ON q.gi = p.gi AND q.gj = p.gj + 1 UNION ALL SELECT p.gi, p.gj, 'r', p.z, q.z FROM z p JOIN z q ON q.gi = p.gi + 1 AND q.gj = p.gj),"
+    " ed AS (SELECT lo, hi, row_number() OVER (ORDER BY lo, hi) AS n FROM (SELECT DISTINCT least(z0, z1) AS lo, greatest(z0, z1) AS hi FROM pr WHERE z0 <> z1)),"
+    " sg AS (SELECT gi, gj, kind, CASE WHEN z0 = z1 THEN 0 WHEN z1 > z0 THEN n ELSE -n END AS ix FROM pr LEFT JOIN ed ON lo = least(z0, z1) AND hi = greatest(z0, z1))"
+    " SELECT z.gi, z.gj, z.z, c.ix AS colix, r.ix AS rowix FROM z LEFT JOIN sg c ON c.gi = z.gi AND c.gj = z.gj AND c.kind = 'c' LEFT JOIN sg r ON r.gi = z.gi AND r.gj = z.gj AND r.kind = 'r'",
+)
+def _(fx, spark):
+    return points.label_edges(points.label_raster(points.grid_cells(fx.fx_ps, 30.0)))
+
+
+@query("arc_space_time")
+def _(fx, spark):
+    """Tested against planted series."""
+    from fringelake.operators import blocks
+
+    ifgs = fx.fx_ifgs.orderBy("ifg_id").collect()  # a row for each interferogram
+    days = [r["day"] for r in fx.fx_images.orderBy("image_ix").collect()]  # a row for each acquisition
+    pairs = [(r["a"] - 1, r["b"] - 1) for r in ifgs]
+    return blocks.arc_space_time(graph.arc_differences(arcs(fx), fx.fx_phase), pairs, days, [r["bperp"] for r in ifgs], 60.0, "3D_QUICK", 1.0)

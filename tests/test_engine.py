@@ -13,7 +13,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from fringelake.functions import geometry, kernels, phase
+from fringelake.functions import arcs, geometry, kernels, phase
 from fringelake.operators import blocks, graph, network, points, robust, series, verify
 from fringelake.plans import registry, stages
 from fringelake.plans.config import Settings
@@ -203,6 +203,87 @@ def test_plane_by_one_fit_and_five():
     assert np.allclose(kernels.huber_plane(x, y, noisy, np.ones(16)), fit)
 
 
+def small_network(n=12):
+    draw = np.random.default_rng(3)
+    pairs = np.array([(a, b) for a in range(n) for b in range(a + 1, min(n, a + 4))])
+    days, base = np.arange(n) * 12.0, draw.uniform(-150, 150, n)
+    return pairs, days, base[pairs[:, 1]] - base[pairs[:, 0]]
+
+
+@pytest.mark.parametrize("kind", ["chain", "hub", "all"])
+def test_arc_slopes_are_found(kind):
+    """Planted slopes over neighbouring acquisitions, over one acquisition's star, and over a network that is neither."""
+    pairs, days, b = small_network()
+    base = np.r_[0, np.cumsum(b[[np.flatnonzero((pairs == (k, k + 1)).all(axis=1))[0] for k in range(11)]])]
+    if kind == "hub":
+        pairs = np.array([(min(5, k), max(5, k)) for k in range(12) if k != 5])
+    elif kind == "all":
+        pairs = np.array([(a, b_) for a in range(12) for b_ in range(a + 2, 12, 3)])
+    b = base[pairs[:, 1]] - base[pairs[:, 0]]
+    draw = np.random.default_rng(5)
+    want = draw.uniform(-0.012, 0.012, 40)
+    z = np.exp(1j * (want[:, None] * b + draw.normal(0, 0.1, (40, len(b)))))
+    got = arcs.slopes(z, pairs, days, b, 1.0)
+    assert np.abs(got - want).max() < 2e-3
+    assert (arcs.slopes(np.exp(1j * draw.uniform(-3, 3, (200, len(b)))), pairs, days, b, 1.0) == 0).mean() > 0.2  # chance is coherent at times
+    assert (arcs.slopes(z, pairs, days, np.ones(len(b)), 1.0) == 0).all()
+
+
+def test_whitened_noise_is_white():
+    draw = np.random.default_rng(1)
+    mix = draw.normal(size=(6, 6))
+    d = draw.normal(size=(5000, 6)) @ mix.T
+    w = arcs.whitener(len(d), d.sum(axis=0), d.T @ d)
+    assert np.allclose(np.cov((d @ w.T).T), np.eye(6), atol=1e-8)
+    assert (arcs.whitener(1, d[0], np.outer(d[0], d[0])) == np.eye(6)).all()
+    flat = np.c_[d[:, 0], np.zeros(5000)]
+    assert np.isfinite(arcs.whitener(len(d), flat.sum(axis=0), flat.T @ flat)).all()
+
+
+def test_space_time_of_planted_series():
+    pairs, days, b = small_network()
+    g, draw = arcs.network(pairs, len(days)), np.random.default_rng(2)
+    slow = 0.002 * days + 0.2 * np.sin(days / 40)
+    z = np.exp(1j * (g @ slow + draw.normal(0, 0.05, (30, len(pairs)))))
+    keys = np.arange(30)
+    for method in ("3D", "3D_QUICK"):
+        noise, uw = arcs.space_time(z, keys, pairs, days, b, 24.0, method)
+        assert np.abs(noise).max() < 0.5 and np.allclose(np.exp(1j * uw), z) and np.abs(uw - g @ slow).max() < 0.4
+    noise, uw = arcs.space_time(z, keys, pairs, days, b, 24.0, "2D")
+    assert np.allclose(uw, np.angle(z)) and np.allclose(noise, uw)
+    k = np.full(30, 0.03)
+    tilted = z * np.exp(1j * k[:, None] * b)
+    noise, uw = arcs.space_time(tilted, keys, pairs, days, b, 24.0, "3D", k)
+    assert np.abs(uw - g @ slow - 0.03 * b).max() < 0.4
+    wild = np.exp(1j * draw.uniform(-3, 3, z.shape))
+    assert np.isnan(arcs.space_time(wild, keys, pairs, days, b, 24.0, "3D_QUICK")[0]).all(axis=1).any()
+    with pytest.raises(ValueError):
+        arcs.space_time(z, keys, pairs, days, b, 24.0, "4D")
+
+
+def test_annealing_finds_what_smoothing_misses():
+    """A trend of more than half a turn between acquisitions wraps; the annealed series follows it, the same every time."""
+    pairs, days, b = small_network()
+    g, x = arcs.network(pairs, len(days)), np.arange(12.0)
+    phase = np.angle(np.exp(1j * (g @ (1.3 * x) + np.random.default_rng(4).normal(0, 0.1, len(pairs)))))
+    found = arcs.anneal(g, np.eye(len(pairs)), phase, x, 7, 4)
+    assert np.abs(np.angle(np.exp(1j * (g @ found - phase)))).std() < 0.6
+    assert (found == arcs.anneal(g, np.eye(len(pairs)), phase, x, 7, 4)).all()
+    z = np.exp(1j * phase)[None]
+    plain = arcs.space_time(z, np.array([7]), pairs, days, b, 24.0, "3D")[0].std()
+    assert arcs.space_time(z, np.array([7]), pairs, days, b, 24.0, "3D", w=np.eye(len(pairs)), runs=4)[0].std() < plain / 2
+
+
+def test_difference_whitener(spark):
+    draw = np.random.default_rng(8)
+    phi = draw.normal(0, [0.1, 0.3, 0.2], (60, 3))
+    noise = spark.createDataFrame([(p + 1, k + 1, float(phi[p, k])) for p in range(60) for k in range(3)], "ps_id long, ifg_id long, phi double")
+    links = [(p + 1, p + 2) for p in range(59)]
+    w = blocks.difference_whitener(noise, spark.createDataFrame(links, "a long, b long"), [1, 2, 3])
+    d = np.array([phi[q - 1] - phi[p - 1] for p, q in links])
+    assert np.allclose(w, arcs.whitener(len(d), d.sum(axis=0), d.T @ d))
+
+
 def test_robust_deramp_is_that_of_one_machine(spark):
     draw = np.random.default_rng(6)
     rows = []
