@@ -164,3 +164,35 @@ def space_time(z: np.ndarray, keys: np.ndarray, pairs: np.ndarray, days: np.ndar
                 smooth[arc] = g @ anneal(g, w, phase[arc], x, int(keys[arc]), runs)
     noise = np.angle(flat * np.exp(-1j * smooth))
     return noise, smooth + noise + slope[:, None] * bperp
+
+
+def beside_master(days: np.ndarray) -> list[int]:
+    """The epochs next to the master's day, which is 0: the last one before it and the first one after; the last of all if none
+    is after it."""
+    after = np.flatnonzero(days > 0)
+    if not len(after):
+        return [len(days) - 1] if len(days) else []
+    first = int(after[days[after].argmin()])
+    return [first - 1, first] if first else [first]
+
+
+def smooth_single_master(z: np.ndarray, days: np.ndarray, window: float) -> tuple[np.ndarray, np.ndarray]:
+    """(smoothed and unwrapped along time, noise) of arcs over a single master's epochs, whose days count from the master's: at
+    each epoch a Gaussian-weighted line through the phases about their weighted mean; the steps from epoch to epoch are summed, and
+    whole turns are taken off so that the epochs beside the master are within half a turn of nought."""
+    z, days = np.asarray(z, complex), np.asarray(days, float)
+    phase, smooth = np.angle(z), np.empty(z.shape, complex)
+    for k, day in enumerate(days):
+        apart = day - days
+        w = np.exp(-(apart**2) / (2 * max(window, 1e-6) ** 2))
+        w /= max(w.sum(), 1e-12)
+        mean = z @ w
+        rest = np.mod(phase - np.angle(mean)[:, None] + np.pi, 2 * np.pi) - np.pi
+        rest = np.where((np.abs(rest + np.pi) < 1e-6) & (apart > 0), np.pi, rest)
+        sx, sxx, sy, sxy = w @ apart, w @ apart**2, rest @ w, rest @ (w * apart)
+        spread = sxx - sx * sx
+        smooth[:, k] = mean * np.exp(1j * ((sxx * sy - sx * sxy) / spread if spread > 1e-12 else sy))
+    steps = np.angle(np.c_[smooth[:, :1], smooth[:, 1:] * np.conj(smooth[:, :-1])])
+    series = np.cumsum(steps, axis=1)
+    near = series[:, beside_master(days)].mean(axis=1)
+    return series - (near - np.angle(np.exp(1j * near)))[:, None], np.angle(z * np.conj(smooth))

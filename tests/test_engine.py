@@ -6,6 +6,7 @@ import os
 import struct
 import subprocess
 import sys
+import zlib
 
 import duckdb
 import numpy as np
@@ -17,7 +18,7 @@ from fringelake.functions import arcs, geometry, kernels, phase
 from fringelake.operators import blocks, graph, network, points, robust, series, verify
 from fringelake.plans import registry, stages
 from fringelake.plans.config import Settings
-from fringelake.sources import raster, sinks, text
+from fringelake.sources import mat, raster, sinks, text
 from fringelake.streaming import epochs
 
 DENSE = {n for n in registry.QUERIES if n not in registry.ORACLE_SQL}
@@ -274,6 +275,84 @@ def test_annealing_finds_what_smoothing_misses():
     assert arcs.space_time(z, np.array([7]), pairs, days, b, 24.0, "3D", w=np.eye(len(pairs)), runs=4)[0].std() < plain / 2
 
 
+def test_single_master_smoothing():
+    days = np.arange(-5, 6) * 12.0
+    days = days[days != 0]
+    draw = np.random.default_rng(1)
+    slow = 0.05 * days + 0.0003 * days**2
+    z = np.exp(1j * (slow + draw.normal(0, 0.05, (20, len(days)))))
+    series_, noise = arcs.smooth_single_master(z, days, 15.0)
+    assert np.abs(noise).max() < 0.5 and np.abs(series_ - slow).max() < 0.6
+    assert arcs.beside_master(days) == [4, 5] and arcs.beside_master(days[:5]) == [4] and arcs.beside_master(days[5:]) == [0] and arcs.beside_master(days[:0]) == []
+
+
+def mat_file(order, matrices, compress):
+    """Bytes of a level 5 file; matrices: name -> array or text."""
+    pad = lambda b: b + bytes(-len(b) % 8)
+    tag = lambda kind, b: pad(struct.pack(order + "II", kind, len(b)) + b)
+    codes = {"f8": (9, 6), "f4": (7, 7), "i4": (5, 12), "u1": (2, 9)}
+    out = b"test".ljust(124) + struct.pack(order + "H", 0x0100) + (b"IM" if order == "<" else b"MI")
+    for name, x in matrices.items():
+        small = struct.pack(order + "I", (len(name) << 16) | 1) + name.encode().ljust(4, b"\0") if len(name) <= 4 else tag(1, name.encode())
+        if isinstance(x, str):
+            body = tag(6, struct.pack(order + "II", 4, 0)) + tag(5, struct.pack(order + "ii", 1, len(x))) + small + tag(17, np.array([ord(c) for c in x], order + "u2").tobytes())
+        else:
+            parts = [x.real, x.imag] if np.iscomplexobj(x) else [x]
+            kind, cls = codes[parts[0].dtype.str[1:]]
+            body = tag(6, struct.pack(order + "II", cls | (0x800 if len(parts) == 2 else 0), 0)) + tag(5, struct.pack(order + "ii", *x.shape)) + small
+            body += b"".join(tag(kind, p.astype(order + p.dtype.str[1:]).tobytes(order="F")) for p in parts)
+        element = tag(14, body)
+        if compress:
+            packed = zlib.compress(element)
+            element = struct.pack(order + "II", 15, len(packed)) + packed
+        out += element
+    return out
+
+
+@pytest.mark.parametrize("order, compress", [("<", False), (">", False), ("<", True), (">", True)])
+def test_matrix_files(spark, tmp_path, order, compress):
+    z = np.arange(12, dtype="f8").reshape(3, 4) * (1 + 2j)
+    given = {"ph": z, "bperp": np.arange(5, dtype="f4").reshape(5, 1), "ij": np.arange(6, dtype="i4").reshape(2, 3), "small_baseline_flag": "y", "n": np.array([[7]], "u1")}
+    data = mat_file(order, given, compress)
+    found = mat.variables(data)
+    assert set(found) == set(given) and found["small_baseline_flag"] == "y"
+    assert all(np.array_equal(found[k], v) for k, v in given.items() if not isinstance(v, str))
+    assert set(mat.variables(data, {"ij"})) == {"ij"}
+    for k in (1, 2):
+        (tmp_path / f"ps{k}.mat").write_bytes(data)
+    rows = mat.read_matrix(spark, str(tmp_path / "*.mat"), "ph").collect()
+    assert len(rows) == 24 and all(complex(r["value"], r["im"]) == z[r["row"], r["col"]] for r in rows)
+    with pytest.raises(Exception):
+        mat.read_matrix(spark, str(tmp_path / "*.mat"), "none").collect()
+    with pytest.raises(ValueError):
+        mat.variables(b"x" * 200)
+
+
+@pytest.mark.parametrize("order", ["<", ">"])
+def test_patch_inputs(spark, tmp_path, order):
+    draw = np.random.default_rng(4)
+    want = {}
+    for patch, n in (("PATCH_1", 40), ("PATCH_2", 25)):
+        folder = tmp_path / "scene" / patch
+        folder.mkdir(parents=True)
+        ll, hgt, z = np.c_[draw.uniform(-120, -119, n), draw.uniform(35, 36, n)], draw.uniform(0, 900, n), np.exp(1j * draw.uniform(-3, 3, (n, 6)))
+        (folder / "pscands.1.ij").write_text("".join(f"{k + 1} {k * 3} {k * 2}\n" for k in range(n)))
+        (folder / "pscands.1.da").write_text("".join(f"{0.1 + k / 100}\n" for k in range(n)))
+        (folder / "pscands.1.ll").write_bytes(ll.astype(order + "f4").tobytes())
+        (folder / "pscands.1.hgt").write_bytes(hgt.astype(order + "f4").tobytes())
+        (folder / "pscands.1.ph").write_bytes(np.stack([z.T.real, z.T.imag], axis=-1).astype(order + "f4").tobytes())
+        want[patch] = ll, hgt, z
+    points_, phases = mat.read_patches(spark, str(tmp_path / "scene"))
+    for r in points_.collect():
+        ll, hgt, _ = want[r["patch"]]
+        k = r["ps_id"] - 1
+        assert (r["row"], r["col"]) == (3 * k, 2 * k) and np.allclose([r["lon"], r["lat"]], ll[k], atol=1e-4) and abs(r["hgt"] - hgt[k]) < 1e-3 and abs(r["d_a"] - 0.1 - k / 100) < 1e-9
+    assert points_.count() == 65 and phases.count() == 65 * 6
+    assert all(abs(complex(r["re"], r["im"]) - want[r["patch"]][2][r["ps_id"] - 1, r["ifg_id"] - 1]) < 1e-6 for r in phases.collect())
+    with pytest.raises(ValueError):
+        mat.patch_phases(bytes(40), 3)
+
+
 def test_difference_whitener(spark):
     draw = np.random.default_rng(8)
     phi = draw.normal(0, [0.1, 0.3, 0.2], (60, 3))
