@@ -331,6 +331,50 @@ def test_chat(spark):
     assert [(role, text) for role, text, _ in C.parse(cut)] == [("user", "hi"), ("assistant", said[1][3])]
 
 
+def test_ablation_by_plain_loops(docs):
+    from fringelake.llm import quality_rules as Q
+
+    found = Q.ledger(docs).cache()
+    masks = [r["failed"] for r in found.select("failed").collect()]
+    told = {(r["policy"], r["version"], r["rule"]): r for r in Q.ablation(found).collect()}
+    assert len(told) == sum(bin(p.mask).count("1") for p in Q.POLICIES)
+    for p in Q.POLICIES:
+        for rule, bit in Q.BIT.items():
+            if p.mask & bit:
+                r = told[p.name, p.version, rule]
+                assert r["n_failed"] == sum(bool(m & bit) for m in masks)
+                assert r["n_kept"] == sum(not m & p.mask for m in masks)
+                without = sum(not m & (p.mask & ~bit) for m in masks)  # the policy without the rule
+                assert r["n_kept"] + r["n_kept_without"] == without
+
+
+def test_chat_of_a_long_conversation_and_clashing_names(spark):
+    """Ten thousand turns of one conversation, dealt over many partitions; columns that are named like the operator's own."""
+    from fringelake.llm import chat as C
+
+    turns = [(9, k, "user" if k % 2 == 0 else "assistant", f"turn {k} " + C.TRICKY * (k % 3)) for k in range(10_000)]
+    turns += [(8, 0, "user", "é漢🙂" * 20_000), (8, 1, "assistant", "<|" * 30_000)]
+    names = "place long, loss boolean, error string, state string, segments string, n_turns long"
+    frame = spark.createDataFrame([(*t, 5, True, "x", "y", "z", 1) for t in turns], f"conv_id long, turn int, role string, text string, {names}").repartition(13)
+    got = {r["conv_id"]: r for r in C.read_back(C.format_conversations(frame)).collect()}
+    for conv in (8, 9):
+        own = [(role, text) for c, _, role, text in turns if c == conv]
+        loss = "".join(text for role, text in own if role == "assistant")
+        r = got[conv]
+        assert r["valid"] and r["n_turns"] == len(own) and r["loss_chars"] == len(loss)
+        assert r["turns_sha256"] == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in own).encode()).hexdigest()
+        assert r["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest()
+
+
+def test_html_with_clashing_names(spark):
+    from fringelake.llm import html_extract as H
+
+    page = "<article><p>One two three.</p></article>"
+    names = "text string, n_chars long, tokens string, score double, weights string"
+    frame = spark.createDataFrame([(1, "u", page, "old", 99, "t", 0.5, "w"), (2, None, None, None, None, None, None, None)], f"page_id long, url string, html string, {names}")
+    assert sorted(map(tuple, H.extract_pages(frame).collect())) == [(1, "u", "One two three.", 14), (2, None, "", 0)]
+
+
 def test_html(spark):
     from fringelake.llm import html_extract as H
 
