@@ -105,6 +105,45 @@ def compare_tables(pairs: dict[str, tuple[DataFrame, DataFrame]], rules: dict[st
     return out
 
 
+def folder_tables(spark, root: str, globs: list[str]) -> list[str]:
+    """Names of the tables in a folder of tables that a glob names, in order."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+    names = sorted(s.getPath().getName() for s in found if s.isDirectory())
+    return [n for n in names if not n.startswith("_") and any(re.match(glob_pattern(g), n) for g in globs)]
+
+
+def compare_folders(spark, run: str, golden: str, globs: list[str], rules: list[tuple[str, list[str], str, float, float]]) -> DataFrame:
+    """As ``compare_tables`` for every table of the golden folder that a glob names; a table that the run lacks is missing as a
+    whole. rules: (glob, keys, value, atol, rtol), the first that names a table holds; a table without one is an error."""
+    names, there = folder_tables(spark, golden, globs), set(folder_tables(spark, run, ["*"]))
+    pairs, chosen = {}, {}
+    for name in names:
+        rule = next((r[1:] for r in rules if re.match(glob_pattern(r[0]), name)), None)
+        if rule is None:
+            raise ValueError(f"no rule for {name}")
+        right = spark.read.parquet(f"{golden}/{name}")
+        left = spark.read.parquet(f"{run}/{name}") if name in there else right.limit(0).select()
+        pairs[name], chosen[name] = (left, right), rule
+    if not pairs:
+        raise ValueError(f"{golden} has no table that {globs} name")
+    return compare_tables(pairs, chosen)
+
+
+def inspect_folder(spark, root: str, globs: tuple[str, ...] = ("*",)) -> DataFrame:
+    """table, column, type, n, n_null, low, high (as text) of every column of the tables of a folder."""
+    out = None
+    for name in folder_tables(spark, root, list(globs)):
+        df = spark.read.parquet(f"{root}/{name}")
+        stats = [F.struct(F.lit(c).alias("column"), F.lit(t).alias("type"), F.count("*").alias("n"), F.count_if(F.col(c).isNull()).alias("n_null"), F.min(c).cast("string").alias("low"), F.max(c).cast("string").alias("high")) for c, t in df.dtypes if not t.startswith(("map", "variant"))]
+        if stats:
+            told = df.agg(F.array(*stats).alias("s")).select(F.lit(name).alias("table"), F.explode("s").alias("s")).select("table", "s.*")
+            out = told if out is None else out.unionByName(told)
+    if out is None:
+        raise ValueError(f"{root} has no tables")
+    return out
+
+
 def figure_histogram(df: DataFrame, x: str, bins: int = 60, low: float = 0.02, high: float = 0.98) -> DataFrame:
     """bin (from 1), n of the values between the limits that a map shows, two and 98 per cent; both ends included."""
     ends = quantiles(df, x, {"lo": low, "hi": high})

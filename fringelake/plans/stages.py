@@ -352,6 +352,15 @@ def run(spark: SparkSession, root: str, settings: Settings | None = None, start:
     return report
 
 
+def audit_is_current(spark: SparkSession, root: str, settings: Settings) -> bool:
+    """Whether the controls of stage 6 ran with these settings and their audits are there; a run with `keep` does it again if
+    not."""
+    data = Dataset(spark, root)
+    marks = {r["stage"]: r["fingerprint"] for r in data.read("_marks").collect()} if data.has("_marks") else {}  # nine rows at most
+    audits = ["ifg_audit"] if settings.drop else ["ifg_audit", "grid_audit", "final_audit"]
+    return marks.get(6) == settings.fingerprint() and all(map(data.has, audits))
+
+
 def status(spark: SparkSession, root: str) -> DataFrame:
     """The stages that a dataset has been through."""
     data = Dataset(spark, root)

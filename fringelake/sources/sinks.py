@@ -23,6 +23,78 @@ def write_feature_lines(df: DataFrame, path: str, lon: str = "lon", lat: str = "
     df.select(F.to_json(F.struct(F.lit("Feature").alias("type"), geometry.alias("geometry"), F.struct(*rest).alias("properties"))).alias("value")).write.mode("overwrite").text(path)
 
 
+def write_feature_collection(df: DataFrame, path: str, lon: str = "lon", lat: str = "lat") -> int:
+    """One GeoJSON file with all features, written row by row by the driver, which never holds more than a part."""
+    rest, n = [c for c in df.columns if c not in (lon, lat)], 0
+    geometry = F.struct(F.lit("Point").alias("type"), F.array(lon, lat).alias("coordinates"))
+    features = df.select(F.to_json(F.struct(F.lit("Feature").alias("type"), geometry.alias("geometry"), F.struct(*rest).alias("properties"))).alias("value"))
+    with open(path, "w", encoding="utf-8") as file:
+        file.write('{"type":"FeatureCollection","features":[')
+        for row in features.toLocalIterator():
+            file.write(("," if n else "") + "\n" + row["value"])
+            n += 1
+        file.write("\n]}\n")
+    return n
+
+
+def series_columns(ts: DataFrame, key: str, date: str, value: str) -> DataFrame:
+    """A row for each point with a column D<yyyymmdd> for each date: the table of a series shapefile. Dates are as few as the
+    acquisitions."""
+    stamped = ts.withColumn("stamp", F.date_format(date, "'D'yyyyMMdd"))
+    stamps = [r["stamp"] for r in stamped.select("stamp").distinct().orderBy("stamp").collect()]
+    return stamped.groupBy(key).pivot("stamp", stamps).agg(F.first(value))
+
+
+def write_geotiff(cells: DataFrame, path: str, west: float, north: float, size: float, epsg: int, tags: dict[int, str] | None = None) -> tuple[int, int]:
+    """A map of two bands, mean and count, from rows (row, col, mean, n) counted from the north-west corner; cells without a row
+    are NaN and 0. Rows come to the driver in order, one line of the map is held at once, and the file is as large as the map.
+    tags: further text tags by number. Returns (rows, columns)."""
+    ends = cells.agg(F.max("row"), F.max("col")).first()
+    rows, cols = (int(v) + 1 if v is not None else 0 for v in ends)
+    if not rows or not cols:
+        raise ValueError("no cells to map")
+    texts = {42113: "nan", **(tags or {})}
+    doubles = {33550: (size, size, 0.0), 33922: (0.0, 0.0, 0.0, west, north, 0.0)}
+    keys = (1, 1, 0, 3, 1024, 0, 1, 1, 1025, 0, 1, 1, 3072, 0, 1, epsg)  # a projected plane, cells as areas, its code
+    line, entries, extra = 4 * cols, [], b""
+    n_entries = 11 + len(texts) + len(doubles) + 1
+    at = 8 + 2 + 12 * n_entries + 4
+
+    def entry(tag, kind, count, content):
+        nonlocal extra
+        if len(content) <= 4:
+            entries.append((tag, struct.pack("<HHI", tag, kind, count) + content.ljust(4, b"\0")))
+        else:
+            entries.append((tag, struct.pack("<HHII", tag, kind, count, at + len(extra))))
+            extra += content + b"\0" * (len(content) % 2)
+
+    short, long = lambda *v: struct.pack(f"<{len(v)}H", *v), lambda *v: struct.pack(f"<{len(v)}I", *v)
+    for tag, kind, value in ((256, 4, long(cols)), (257, 4, long(rows)), (259, 3, short(1)), (262, 3, short(1)), (277, 3, short(2)), (278, 4, long(rows)), (284, 3, short(2))):
+        entry(tag, kind, 1, value)
+    entry(258, 3, 2, short(32, 32))
+    entry(339, 3, 2, short(3, 3))
+    entry(279, 4, 2, long(rows * line, rows * line))
+    for tag, values in doubles.items():
+        entry(tag, 12, len(values), struct.pack(f"<{len(values)}d", *values))
+    for tag, text in texts.items():
+        entry(tag, 2, len(text) + 1, text.encode("ascii") + b"\0")
+    entry(34735, 3, len(keys), short(*keys))
+    first = at + len(extra) + 8
+    entry(273, 4, 2, long(first, first + rows * line))
+    with open(path, "wb") as file:
+        file.write(struct.pack("<2sHI", b"II", 42, 8) + struct.pack("<H", n_entries) + b"".join(e for _, e in sorted(entries)) + struct.pack("<I", 0) + extra)
+        blank, none = struct.pack("<f", float("nan")) * cols, bytes(line)
+        for k, filler in enumerate((blank, none)):
+            file.seek(first + k * rows * line)
+            for _ in range(rows):
+                file.write(filler)
+        for r in cells.select("row", "col", "mean", "n").orderBy("row", "col").toLocalIterator():
+            for k, value in enumerate((r["mean"], r["n"])):
+                file.seek(first + k * rows * line + r["row"] * line + 4 * r["col"])
+                file.write(struct.pack("<f", float("nan") if value is None else float(value)))
+    return rows, cols
+
+
 def write_series_csv(df: DataFrame, path: str, decimals: int = 6) -> None:
     kept = [F.format_number(c, decimals).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes]
     df.select(*kept).write.mode("overwrite").option("header", True).csv(path)

@@ -546,6 +546,35 @@ def test_sinks(spark, tmp_path):
     assert json.loads((tmp_path / "m" / "x.json").read_text()) == {"a": 1}
 
 
+def test_map_and_collection_files(spark, tmp_path):
+    cells_ = spark.createDataFrame([(0, 1, 2.5, 3), (2, 3, -1.0, 1)], "row long, col long, mean double, n long").repartition(2)
+    path = str(tmp_path / "map.tif")
+    assert sinks.write_geotiff(cells_, path, 500_000.0, 4_000_000.0, 30.0, 32611, {305: "fringelake"}) == (3, 4)
+    data = open(path, "rb").read()
+    assert data[:4] == b"II*\0"
+    count = struct.unpack_from("<H", data, 8)[0]
+    tags = {}
+    for k in range(count):
+        tag, kind, n, value = struct.unpack_from("<HHII", data, 10 + 12 * k)
+        size = {2: 1, 3: 2, 4: 4, 12: 8}[kind] * n
+        raw = data[value : value + size] if size > 4 else data[10 + 12 * k + 8 :][:size]
+        tags[tag] = raw.rstrip(b"\0").decode() if kind == 2 else struct.unpack("<" + str(n) + {3: "H", 4: "I", 12: "d"}[kind], raw)
+    assert list(tags) == sorted(tags) and tags[256] == (4,) and tags[257] == (3,) and tags[305] == "fringelake" and tags[42113] == "nan"
+    assert tags[33922][3:5] == (500_000.0, 4_000_000.0) and tags[33550][:2] == (30.0, 30.0) and tags[34735][-4:] == (3072, 0, 1, 32611)
+    mean, n = (np.frombuffer(data, "<f4", 12, at).reshape(3, 4) for at in tags[273])
+    assert mean[0, 1] == 2.5 and mean[2, 3] == -1 and np.isnan(mean).sum() == 10 and n.sum() == 4 and len(data) == tags[273][1] + tags[279][1]
+    with pytest.raises(ValueError):
+        sinks.write_geotiff(cells_.limit(0), path, 0.0, 0.0, 1.0, 32611)
+    frame = spark.createDataFrame([(1, 10.0, 50.0, 1.5), (2, 11.0, 51.0, None)], "pt long, lon double, lat double, v double")
+    assert sinks.write_feature_collection(frame, str(tmp_path / "all.json")) == 2
+    told = json.loads((tmp_path / "all.json").read_text())
+    assert told["type"] == "FeatureCollection" and [f["properties"]["pt"] for f in told["features"]] == [1, 2]
+    assert sinks.write_feature_collection(frame.limit(0), str(tmp_path / "none.json")) == 0 and json.loads((tmp_path / "none.json").read_text())["features"] == []
+    ts = spark.sql("SELECT * FROM VALUES (1, DATE'2024-01-01', 0.5), (1, DATE'2024-01-13', 1.5), (2, DATE'2024-01-01', 2.0) t(pt, date, v)")
+    wide = sinks.series_columns(ts, "pt", "date", "v")
+    assert wide.columns == ["pt", "D20240101", "D20240113"] and {r["pt"]: r["D20240113"] for r in wide.collect()} == {1: 1.5, 2: None}
+
+
 def test_settings(tmp_path):
     (tmp_path / "c.json").write_text('{"wraps": 2.0, "drop": [3]}')
     s = Settings.load(str(tmp_path / "c.json"), wraps=1.5)
@@ -599,6 +628,17 @@ def test_stages_recover_velocities(spark, tmp_path):
     assert stages.replay(spark, other, root, 3) == ["select1"] and spark.read.parquet(f"{other}/select1").count() == spark.read.parquet(f"{root}/select1").count()
     with pytest.raises(ValueError):
         stages.replay(spark, root, other, 5)
+    assert stages.audit_is_current(spark, root, s) and not stages.audit_is_current(spark, root, Settings()) and not stages.audit_is_current(spark, other, s)
+    rules = [("velocity", ["ps_id"], "velocity", 1e-9, 0.0), ("*", ["ps_id"], "coh", 1e-9, 0.0)]
+    same = {r["name"]: r for r in verify.compare_folders(spark, root, root, ["velocity", "select*"], rules).collect()}
+    assert set(same) == {"velocity", "select1"} and all(r["alike"] and not r["failed"] and r["compared"] for r in same.values())
+    lost = {r["name"]: r for r in verify.compare_folders(spark, other, root, ["velocity", "select*"], rules).collect()}
+    assert not lost["velocity"]["alike"] and lost["velocity"]["missing"] == "ps_id,velocity" and lost["select1"]["failed"] == 0
+    for globs in (["none*"], ["scla"]):
+        with pytest.raises(ValueError):
+            verify.compare_folders(spark, root, root, globs, rules[:1])
+    told = {(r["table"], r["column"]): r for r in verify.inspect_folder(spark, root, ("ps", "images")).collect()}
+    assert told["ps", "ps_id"]["n"] == n * n and told["images", "image_ix"]["high"] == "12" and told["ps", "hgt"]["n_null"] == 0
     told = {(r["role"], r["table"]) for r in stages.stage_inputs(spark).collect()}
     assert {t for role, t in told if role == "writes"} <= set(os.listdir(root)) and {t for _, t in told} <= set(os.listdir(root))
     with pytest.raises(ValueError):
