@@ -27,8 +27,8 @@ from fringelake.llm.common import Memo, blocks, checkpointed, joined_by_row, tex
 LENGTH, END = 2048, 0
 #: Words that each half of a worker's memory holds, from task to task; words in a line for the tokenizer; bytes of text at once.
 KNOWN, WORDS, BLOCK = 150_000, 200, 6 << 20
-#: Patterns that are fitted; steps of the fit.
-PATTERNS, STEPS = 60_000, 400
+#: Patterns that are fitted, which is all of them at LENGTH; steps of the fit.
+PATTERNS, STEPS = 400_000, 400
 
 
 #: Letters that lower-casing keeps single, and marks that may end a word (fixed values).
