@@ -52,7 +52,8 @@ def scored(docs: DataFrame, function, folds: int, held: int, threshold: float, i
 
 
 def kept_rows(docs: DataFrame, function, text_col: str = "text", limit: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of docs, all columns, for which `function` (texts -> booleans) is true. One pass, no shuffle."""
+    """The rows of docs, all columns, for which `function` (texts -> booleans) is true; a null text is given as the empty one.
+    One pass, no shuffle; columns are told apart by place, so their names don't matter."""
     at = docs.columns.index(text_col)
 
     def each(batches):

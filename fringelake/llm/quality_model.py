@@ -218,5 +218,8 @@ def op7_quality_classifier(spark, sf_dir: str) -> DataFrame:
 
 
 def drop_poor(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The rows of docs whose score is KEEP or more, all columns; the model is fitted on the labelled rows among docs. Null and
+    empty texts are scored from zero vectors; rows with a null id are scored like any other; repeated rows stay or go together;
+    no rows in, no rows out."""
     model = spark.sparkContext.broadcast(fitted(spark, docs, sf_dir))
     return labelled.kept_rows(docs, lambda texts: model.value.score(texts) >= KEEP, limit=BLOCK)

@@ -180,6 +180,9 @@ def op1_toxicity(spark, sf_dir: str) -> DataFrame:
 
 
 def drop_toxic(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The rows of docs whose score is below REJECT, all columns; the model is fitted on the labelled rows among docs. Null and
+    empty texts are scored as one empty window; rows with a null id are scored like any other; repeated rows stay or go
+    together; no rows in, no rows out."""
     model = spark.sparkContext.broadcast(fitted(spark, docs, sf_dir))
     held = []
 
