@@ -206,13 +206,20 @@ def spanning_order(n: int, arcs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def unwrap(phase: np.ndarray, order: np.ndarray, parent: np.ndarray) -> np.ndarray:
-    """Rows of wrapped phase, integrated along the tree: each node is its parent plus the wrapped difference."""
-    out = np.array(phase, float)
-    for node in order:
-        p = parent[node]
-        if p != node:
-            step = phase[node] - phase[p]
-            out[node] = out[p] + np.arctan2(np.sin(step), np.cos(step))
+    """Rows of wrapped phase, integrated along the tree: each node is its parent plus the wrapped difference. All nodes that are
+    equally far from their root go together."""
+    out, n = np.array(phase, float), len(parent)
+    step = out - out[parent]
+    step = np.arctan2(np.sin(step), np.cos(step))
+    children = np.argsort(parent, kind="stable")
+    children = children[parent[children] != children]
+    starts = np.searchsorted(parent[children], np.arange(n + 1))
+    front = np.flatnonzero(parent == np.arange(n))
+    while len(front):
+        many = starts[front + 1] - starts[front]
+        place = np.repeat(starts[front] - np.cumsum(many) + many, many) + np.arange(many.sum())
+        front = children[place]
+        out[front] = out[parent[front]] + step[front]
     return out
 
 

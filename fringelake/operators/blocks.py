@@ -6,6 +6,8 @@ the acquisition fixes, not the number of points. Trees and networks are computed
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -107,15 +109,22 @@ def unwrap_grid(grid: DataFrame) -> DataFrame:
 
     def one(pdf):
         pdf = pdf.sort_values(["gi", "gj"], ignore_index=True)
-        at = {(i, j): k for k, (i, j) in enumerate(zip(pdf["gi"], pdf["gj"]))}
-        arcs = [(k, at[n]) for (i, j), k in at.items() for n in ((i + 1, j), (i, j + 1)) if n in at]
-        order, parent = kernels.spanning_order(len(pdf), np.array(arcs, int).reshape(-1, 2))
+        order, parent = _tree(pdf["gi"].to_numpy(np.int64).tobytes(), pdf["gj"].to_numpy(np.int64).tobytes())
         uw = kernels.unwrap(np.arctan2(pdf["im"], pdf["re"]).to_numpy(), order, parent)
         return pd.DataFrame({"gi": pdf["gi"], "gj": pdf["gj"], "ifg_id": pdf["ifg_id"], "uw": uw})
 
     return grid.groupBy("ifg_id").applyInPandas(one, "gi long, gj long, ifg_id long, uw double")
 
 
+@lru_cache(maxsize=2)
+def _tree(rows: bytes, cols: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The tree over neighbouring cells, kept by a worker for the interferograms that occupy the same ones."""
+    gi, gj = np.frombuffer(rows, np.int64), np.frombuffer(cols, np.int64)
+    at = {cell: k for k, cell in enumerate(zip(gi.tolist(), gj.tolist()))}
+    links = [(k, at[n]) for (i, j), k in at.items() for n in ((i + 1, j), (i, j + 1)) if n in at]
+    return kernels.spanning_order(len(gi), np.array(links, int).reshape(-1, 2))
+
+
 def restore_points(phase: DataFrame, cells: DataFrame, unwrapped: DataFrame) -> DataFrame:
     """ps_id, ifg_id, uw: a point's unwrapped phase is its cell's plus the wrapped rest."""
     met = phase.join(cells.select("ps_id", "gi", "gj"), "ps_id").join(unwrapped, ["gi", "gj", "ifg_id"])
