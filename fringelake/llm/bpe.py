@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fringelake.llm.common import Memo, blocks, joined_by_row, text_of
+from fringelake.llm.common import Memo, blocks, joined_by_row, kept, text_of
 
 #: Words, and pieces, that each half of a worker's memory holds; bytes of text at once.
 KNOWN, BLOCK = 150_000, 8 << 20
@@ -197,15 +197,13 @@ class TextEncoder:
         return [whole[a:b] for a, b in zip(at, at[1:])]
 
 
-#: The encoder of this worker process; tasks that follow use its known words.
-_ENCODER: dict[str, TextEncoder] = {}
-
-
 def _encoder(merges, pattern: str) -> TextEncoder:
-    found = _ENCODER.get(pattern)
-    if found is None or found.merges is not merges.value:
-        found = _ENCODER[pattern] = TextEncoder(merges.value, pattern)
-    return found
+    """The encoder of this worker process; tasks that follow use its known words."""
+    found = merges.value
+    encoders = kept("bpe", found, dict)
+    if pattern not in encoders:
+        encoders[pattern] = TextEncoder(found, pattern)
+    return encoders[pattern]
 
 
 def _encoded(batches, merges, pattern):

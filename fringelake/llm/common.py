@@ -179,11 +179,40 @@ def joined_by_row(parts, of_unique, offsets) -> list[memoryview]:
     return [whole[a:b] for a, b in zip(at, at[1:])]
 
 
+#: What this worker process keeps from task to task: of one operator at a time, (owner, key, value).
+_KEPT: list[tuple] = []
+
+
+def kept(owner: str, key, make):
+    """The value that `make` gives for the key, which must stay alive as long as it is asked for (a broadcast's value); what
+    another operator kept in this worker is dropped, so that memory holds one operator's models and words at a time."""
+    if not _KEPT or _KEPT[0][0] != owner or _KEPT[0][1] is not key:
+        _KEPT.clear()
+        give_back()
+        _KEPT.append((owner, key, make()))
+    return _KEPT[0][2]
+
+
+def give_back() -> None:
+    """Returns to the system what Arrow and the C library hold on to after large blocks."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        trim = ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):  # only some C libraries have it
+        return
+    gc.collect(0)
+    trim(0)
+
+
 def blocks(batch, column: str, limit: int = BLOCK_BYTES):
     """Slices of an Arrow batch with about `limit` bytes of text each; a longer row stands alone. After the last one the worker
     gives back what memory Arrow holds on to."""
     import numpy as np
-    import pyarrow as pa
     import pyarrow.compute as pc
 
     if not batch.num_rows:
@@ -196,4 +225,4 @@ def blocks(batch, column: str, limit: int = BLOCK_BYTES):
         stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
         yield batch.slice(start, stop - start)
         start, base = stop, int(ends[stop - 1])
-    pa.default_memory_pool().release_unused()
+    give_back()

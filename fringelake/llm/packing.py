@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fringelake.llm.common import Memo, blocks, checkpointed, joined_by_row, text_of
+from fringelake.llm.common import Memo, blocks, checkpointed, joined_by_row, kept, text_of
 
 LENGTH, END = 2048, 0
 #: Words that each half of a worker's memory holds, from task to task; words in a line for the tokenizer; bytes of text at once.
@@ -90,16 +90,12 @@ class WordTokenizer:
         return joined_by_row(words, self._of_words(words.dictionary), offsets - offsets[0])
 
 
-_TOKENIZER: list[WordTokenizer] = []
-
-
 def _tokenizer(source) -> WordTokenizer:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    if not _TOKENIZER or _TOKENIZER[0].source != source.value:
-        _TOKENIZER[:] = [WordTokenizer(source.value)]
-    return _TOKENIZER[0]
+    text = source.value
+    return kept("packing", text, lambda: WordTokenizer(text))
 
 
 _PIECES = "id long, piece int, start long, length long, ids_crc32 long, task int, ordinal long"

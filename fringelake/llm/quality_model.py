@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from fringelake.llm import labelled
-from fringelake.llm.common import blocks, table
+from fringelake.llm.common import blocks, kept, table
 
 FOLDS, HELD, THRESHOLD = 5, 0, 0.3
 #: A row leaves the pipeline below this score, the query's own threshold.
@@ -204,10 +204,15 @@ def fitted(spark, docs: DataFrame, sf_dir: str) -> Model:
     return fit(texts, y)
 
 
+def _model(model) -> Model:
+    found = model.value
+    return kept("quality", found, lambda: found)
+
+
 def _scored(batches, model):
     for batch in batches:
         for part in blocks(batch, "t", BLOCK):
-            found = model.value.score(part.column("t").to_pylist())
+            found = _model(model).score(part.column("t").to_pylist())
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(found, pa.float64())], names=["doc_id", "score"])
 
 
@@ -222,4 +227,4 @@ def drop_poor(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     empty texts are scored from zero vectors; rows with a null id are scored like any other; repeated rows stay or go together;
     no rows in, no rows out."""
     model = spark.sparkContext.broadcast(fitted(spark, docs, sf_dir))
-    return labelled.kept_rows(docs, lambda texts: model.value.score(texts) >= KEEP, limit=BLOCK)
+    return labelled.kept_rows(docs, lambda texts: _model(model).score(texts) >= KEEP, limit=BLOCK)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fringelake.llm.common import blocks, checkpointed, fresh, numbered, text_of, without_rows
+from fringelake.llm.common import blocks, checkpointed, fresh, kept, numbered, text_of, without_rows
 from fringelake.llm.components import components
 
 #: Words in a shingle, seed of its hash, differing bits of a link.
@@ -65,6 +65,7 @@ def majority(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def _fingerprinted(batches, size: int):
+    kept("simhash", None, lambda: None)
     for batch in batches:
         for part in blocks(batch, "t"):
             each = [shingle_hashes(t, size) for t in part.column("t").cast(pa.binary()).to_pylist()]

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from fringelake.llm import labelled
-from fringelake.llm.common import blocks, table
+from fringelake.llm.common import blocks, kept, table
 
 FOLDS, HELD, THRESHOLD = 4, 2, 0.3
 #: A row leaves the pipeline from this score on, the query's own threshold.
@@ -165,8 +165,13 @@ def fitted(spark, docs: DataFrame, sf_dir: str) -> Model:
     return fit(texts, y)
 
 
+def _scorer(model):
+    found = model.value
+    return kept("toxicity", found, found.scorer)
+
+
 def _scored(batches, model):
-    score = model.value.scorer()
+    score = _scorer(model)
     for batch in batches:
         for part in blocks(batch, "t"):
             found = score(part.column("t").to_pylist())
@@ -184,10 +189,4 @@ def drop_toxic(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     empty texts are scored as one empty window; rows with a null id are scored like any other; repeated rows stay or go
     together; no rows in, no rows out."""
     model = spark.sparkContext.broadcast(fitted(spark, docs, sf_dir))
-    held = []
-
-    def keep(texts):
-        held[:] = held or [model.value.scorer()]
-        return held[0](texts) < REJECT
-
-    return labelled.kept_rows(docs, keep)
+    return labelled.kept_rows(docs, lambda texts: _scorer(model)(texts) < REJECT)
