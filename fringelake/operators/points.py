@@ -256,17 +256,27 @@ def grid_accumulate(cells: DataFrame, phase: DataFrame, weight: str | None = Non
     return met.groupBy("gi", "gj", "ifg_id").agg(F.sum(w * F.cos("phi")).alias("re"), F.sum(w * F.sin("phi")).alias("im"), F.count("*").alias("n"))
 
 
-def dispersion_edges(points: DataFrame, x: str = "d_a") -> list[float]:
+def dispersion_edges(points: DataFrame, x: str = "d_a") -> list[float | None]:
     """Upper ends of the bins of dispersion, the first lower end (0) before them: every 2,000th sorted value (10,000th from
-    50,000 points on) that leaves a whole bin after it, then the largest; (0, 1] in one with less than 10,000 points. The list
-    has a value for every 2,000 points; points are capped long before it grows."""
-    n = points.count()
+    50,000 points on) that leaves a whole bin after it, then the largest; (0, 1] in one with less than 10,000 points. Points
+    without a value come last in the order. Equal values are counted before they move, and the values are dealt by range and
+    placed from the counts of the parts before, so no task sees all; what is collected is a row for each part and a value for
+    every 2,000 points or more."""
+    counted = points.groupBy(F.col(x).cast("double").alias("v")).agg(F.count("*").alias("c"))
+    part = written(counted.repartitionByRange(F.asc_nulls_last("v")).withColumn("part", F.spark_partition_id()))
+    n, begins = 0, []
+    for k, c in sorted((r["part"], r["c"]) for r in part.groupBy("part").agg(F.sum("c").alias("c")).collect()):
+        begins.append((k, n))
+        n += c
     if n < 10_000:
         return [0.0, 1.0]
     step = 10_000 if n >= 50_000 else 2000
-    places = list(range(step, n - step, step))
-    shares = [k / (n - 1) for k in places] + [1.0]
-    return [0.0, *points.agg(F.percentile(x, F.array(*map(F.lit, shares))).alias("q")).first()["q"]]
+    begin = F.broadcast(part.sparkSession.createDataFrame(begins, "part int, begin long"))
+    end = F.col("begin") + F.sum("c").over(Window.partitionBy("part").orderBy(F.asc_nulls_last("v")))
+    first, last = F.greatest(F.lit(1), F.ceil((F.col("end") - F.col("c")) / step)), F.least(F.lit((n - 1) // step - 1), F.floor((F.col("end") - 1) / step))
+    held = part.join(begin, "part").withColumn("end", end).withColumn("first", first).withColumn("last", last).filter("first <= last")
+    found = held.select("v", F.explode(F.sequence("first", "last")).alias("k")).orderBy("k").collect()
+    return [0.0, *(r["v"] for r in found), part.agg(F.max("v").alias("v")).first()["v"]]
 
 
 def grid_neighbours(grid: DataFrame, value: str, keys: list[str]) -> DataFrame:

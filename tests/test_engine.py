@@ -53,6 +53,24 @@ def test_patches_hold_every_point(spark):
     assert registry.QUERIES["patch_overlap_merge"](spark, "/root/testdata/sf0.1").count() == 2000
 
 
+@pytest.mark.parametrize("prices", ["i * 7919 % 12000 / 100.0::DOUBLE", "CASE WHEN i % 3 > 0 THEN 5 ELSE i * 7919 % 60000 - 9000 END", "CASE WHEN i % 4 > 0 THEN i END", "i"])
+def test_dispersion_bins_match_sql_on_larger_tables(spark, tmp_path, prices):
+    """60,000 prices: all apart, with one value on most rows and negative ones, with missing ones; and 12,000 in finer bins."""
+    n = 12_000 if prices == "i" else 60_000
+    duckdb.sql(f"COPY (SELECT i AS o_orderkey, CAST({prices} AS DOUBLE) AS o_totalprice FROM range({n}) t(i)) TO '{tmp_path}/orders.parquet'")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW orders AS SELECT * FROM '{tmp_path}/orders.parquet'")
+    got, want = registry.QUERIES["dispersion_bins"](spark, str(tmp_path)).toPandas(), con.sql(registry.ORACLE_SQL["dispersion_bins"]).df()
+    pd.testing.assert_frame_equal(cells(got), cells(want), check_dtype=False)
+
+
+def test_dispersion_edges_need_no_percentile(spark, monkeypatch):
+    """A percentile holds every distinct value in one task."""
+    monkeypatch.setattr(points.F, "percentile", None)
+    values = spark.range(60_000).select((F.col("id") * 7919 % 60_000).cast("double").alias("d_a"))
+    assert points.dispersion_edges(values) == [0.0, *(float(k) for k in range(10_000, 50_000, 10_000)), 59_999.0]
+
+
 def test_whole_tables(spark, sf_dir):
     counts = {name: registry.QUERIES[name](spark, sf_dir).count() for name in ("adjacent_groups", "ifg_covariance", "gaussian_spatial_filter", "bperp_geometry", "outlier_filter")}
     assert counts["adjacent_groups"] == 500 and counts["ifg_covariance"] == 64 * 65 // 2
