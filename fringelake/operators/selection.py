@@ -43,9 +43,10 @@ def in_reference(lon: tuple[float, float] | None = None, lat: tuple[float, float
     return inside
 
 
-def patch_grid(points: DataFrame, target: int = 25_000, most: tuple[int, int] = (64, 64)) -> tuple[int, int]:
+def patch_grid(points: DataFrame, target: int = 25_000, most: tuple[float, float] = (64, 64)) -> tuple[int, int]:
     """(patches along azimuth, along range): as many as hold about `target` points each, near square for the points' extent;
-    while they are too few, the side whose patches are longer gets one more. One row is collected."""
+    while they are too few, the side whose patches are longer gets one more. `most` limits the sides; Inf is no limit. One row
+    is collected."""
     n, rows, cols = points.agg(F.count("*"), F.max("row") - F.min("row") + 1, F.max("col") - F.min("col") + 1).first()
     if not n:
         raise ValueError("no points to lay out patches for")

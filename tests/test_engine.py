@@ -53,6 +53,15 @@ def test_patches_hold_every_point(spark):
     assert registry.QUERIES["patch_overlap_merge"](spark, "/root/testdata/sf0.1").count() == 2000
 
 
+def test_automatic_patch_grid_matches_sql_on_larger_tables(spark, tmp_path):
+    """250,000 points in 10,000 rows: 1,389 patches by 3, more than 64 on a side."""
+    duckdb.sql(f"COPY (SELECT i AS vec_id, [0.1::FLOAT, 0.2::FLOAT] AS embedding, CAST(i % 10 AS INTEGER) AS label FROM range(250000) t(i)) TO '{tmp_path}/embeddings.parquet'")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet'")
+    got, want = registry.QUERIES["automatic_patch_grid"](spark, str(tmp_path)).toPandas(), con.sql(registry.ORACLE_SQL["automatic_patch_grid"]).df()
+    pd.testing.assert_frame_equal(cells(got), cells(want), check_dtype=False)
+
+
 @pytest.mark.parametrize("prices", ["i * 7919 % 12000 / 100.0::DOUBLE", "CASE WHEN i % 3 > 0 THEN 5 ELSE i * 7919 % 60000 - 9000 END", "CASE WHEN i % 4 > 0 THEN i END", "i"])
 def test_dispersion_bins_match_sql_on_larger_tables(spark, tmp_path, prices):
     """60,000 prices: all apart, with one value on most rows and negative ones, with missing ones; and 12,000 in finer bins."""
