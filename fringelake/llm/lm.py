@@ -6,10 +6,14 @@ log-likelihood of the complete text. P(word) = P(class | state) * P(word | class
 SIZE members, whose softmax sees the state; every other word is in a class that its spelling chooses, in which its share is
 its corpus count, with one count for unseen words.
 
+The classes by spelling are learned from all training texts: how the TELLING commonest words meet in texts is summed over
+them and groups these words, the words group the texts, and pieces of spelling are counted by group of texts.
+
 The network is trained by truncated backpropagation (windows of STEPS words, the state carried on from window to window)
-over all training texts: starting weights come from a bounded sample of whole texts (FIT_TEXTS, FIT_CHARS in all), which also
-chooses the classes by spelling; from these every task trains over all its blocks, and the tasks' weights are averaged by
-the number of words that they saw. What is sent to the driver of that is PARTS sums, whatever the number of tasks.
+over all training texts, in rounds that grow: the blocks of the first are trained on in one task, from blank weights; in each
+next round, of MORE times the blocks of all before, every task goes on from the weights so far over its blocks of the round, and
+the tasks' weights are averaged by the number of words that they saw. Every block is in one round, so no text is left out.
+What is sent to the driver of that is PARTS sums a round, whatever the number of tasks.
 
 No vocabulary is held anywhere as a whole. Texts are read once, into blocks of about BLOCK bytes: each block is written
 (checkpointed) as codes of its own word list. The lists meet in one table of counts by a shuffle on the word, which counts
@@ -24,7 +28,6 @@ empty model, 0; no rows in, no rows out; other columns are not looked at.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -34,20 +37,22 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fringelake.llm.common import blocks, checkpointed, crc_mod, first_by_hash, text_of, texts_within
+from fringelake.llm.common import blocks, checkpointed, crc_mod, text_of
 
 FOLDS, HELD = 7, 2
 #: Bytes of text in a block, and words in a row of its list.
 BLOCK, LIST = 24 << 20, 20_000
-#: The sample that the starting weights are fitted on: texts, and characters of them in all.
-FIT_TEXTS, FIT_CHARS = 1500, 4_500_000
-#: Streams of texts side by side, and first step, when all texts are trained on; sums of weights that reach the driver.
+#: Words that group texts, texts that are grouped at once, and pieces of spelling, the commonest, that the model has.
+TELLING, AT_ONCE, PIECES = 400, 2000, 60_000
+#: Bytes of coded documents in the first round of training at least, and times those of all rounds before in each next one.
+FIRST, MORE = 4 << 20, 7
+#: Streams of texts side by side, and first step, beyond the first round; sums of weights that reach the driver.
 WIDE, FINE, PARTS = 512, 0.008, 16
 #: The end token, which no word can be: words hold no space.
 END = " "
 MARKS = ".,;:!?"
 HIDDEN, CLASSES, SIZE, GROUPS, LEAST = 16, 32, 40, 6, 3
-STEPS, LANES, PASSES, RATE, CLIP = 32, 64, 2, 0.015, 1.0
+STEPS, LANES, WINDOWS, PASSES, RATE, CLIP = 32, 64, 500, 2, 0.015, 1.0
 
 
 def words_of(text: str) -> list[bytes]:
@@ -63,6 +68,78 @@ def spelling(word: str) -> tuple[str, ...]:
     return f"^{core[:2]}", f"{core[-2:]}$", f"*{core[1:4]}", f"#{core[-4:-1]}", f"{word[-3:]}|"
 
 
+def _pieces(words: pa.Array):
+    """The five pieces of ``spelling`` of many words, kind by kind."""
+    core = pc.utf8_trim(words, characters=MARKS)
+    cut = pc.utf8_slice_codeunits
+    for before, piece, after in [("^", cut(core, 0, 2), ""), ("", cut(core, -2), "$"), ("*", cut(core, 1, 4), ""), ("#", cut(core, -4, -1), ""), ("", cut(words, -3), "|")]:
+        yield pc.binary_join_element_wise(before, piece, after, "")
+
+
+def _piece_counts(words: pa.Array, counts: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """Pieces of the words, and how often texts of each group have them. counts: of each word, by group."""
+    names, numbers = [], []
+    for pieces in _pieces(words):
+        told = pieces.dictionary_encode()
+        names.append(told.dictionary)
+        numbers.append(np.column_stack([np.bincount(told.indices.to_numpy(), counts[:, g], len(told.dictionary)) for g in range(GROUPS)]))
+    return pa.concat_arrays(names), np.concatenate(numbers)
+
+
+def _places(words: pa.Array, telling: list[str]) -> np.ndarray:
+    """Place of each word among the telling ones; their number for others."""
+    return pc.fill_null(pc.index_in(words, value_set=pa.array(telling, pa.string())), len(telling)).to_numpy(zero_copy_only=False)
+
+
+def _profiles(sizes: np.ndarray, codes: np.ndarray, place: np.ndarray, many: int):
+    """Of AT_ONCE texts at a time, the roots of their counts of the telling words, and of all others together, to length 1."""
+    ends = np.cumsum(sizes)
+    for first in range(0, len(sizes), AT_ONCE):
+        n = sizes[first : first + AT_ONCE]
+        begin = ends[first] - n[0]
+        at = np.repeat(np.arange(len(n)) * (many + 1), n) + place[codes[begin : begin + n.sum()]]
+        x = np.sqrt(np.bincount(at, minlength=len(n) * (many + 1)).reshape(len(n), -1).astype(np.float32))
+        yield x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def _moment(sizes, codes, place, many: int) -> np.ndarray:
+    """How the telling words meet in the texts: the sum of the products of profiles."""
+    return sum((x.T @ x for x in _profiles(sizes, codes, place, many)), np.zeros((many + 1, many + 1)))
+
+
+def _centres(moment: np.ndarray) -> np.ndarray:
+    """Weight of each telling word in each group. The words are grouped by the leading directions of their correlations
+    (k-means from words far apart); a group weighs its words alike, by how much of them texts have."""
+    many = len(moment) - 1
+    out = np.zeros((many + 1, GROUPS), np.float32)
+    if not many:
+        return out
+    met = moment[:-1, :-1]
+    size = np.sqrt(np.maximum(np.diag(met), 1e-9))
+    x = np.linalg.eigh(met / np.outer(size, size))[1][:, ::-1][:, :GROUPS]
+    x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    centres = x[:1]
+    while len(centres) < min(GROUPS, many):
+        centres = np.vstack([centres, x[(x @ centres.T).max(axis=1).argmin()]])
+    for _ in range(30):
+        own = (x @ centres.T).argmax(axis=1)
+        centres = np.array([x[own == g].sum(axis=0) if (own == g).any() else centres[g] for g in range(len(centres))])
+        centres /= np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-9)
+    for g in range(len(centres)):
+        k = np.flatnonzero(own == g)
+        out[k, g] = max(met[np.ix_(k, k)].sum(), 1e-9) ** -0.5
+    return out
+
+
+def _word_groups(sizes, codes, place, centres: np.ndarray, many_words: int) -> np.ndarray:
+    """Counts of each word (code) in the texts of each group; the end is not counted."""
+    groups = [(x @ centres).argmax(axis=1) for x in _profiles(sizes, codes, place, len(centres) - 1)]
+    own = np.repeat(np.concatenate(groups), sizes) if groups else np.zeros(0, np.int64)
+    counts = np.bincount(codes * np.int64(GROUPS) + own, minlength=many_words * GROUPS).reshape(-1, GROUPS)
+    counts[0] = 0
+    return counts
+
+
 @dataclass
 class Speller:
     """Log odds of each group of texts by a piece of spelling."""
@@ -71,40 +148,20 @@ class Speller:
     prior: np.ndarray
 
     @staticmethod
-    def learned(texts: list[list[str]], frequent: list[str], seed: int = 3) -> Speller:
-        """Texts are grouped by their frequent words (spherical k-means); pieces of spelling are counted by group."""
-        place = {w: k for k, w in enumerate(frequent[:400])}
-        x = np.zeros((len(texts), len(place) + 1))
-        for k, words in enumerate(texts):
-            for w in words:
-                x[k, place.get(w, -1)] += 1
-        x = np.sqrt(x)
-        x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
-        centres = x[np.random.default_rng(seed).choice(len(x), min(GROUPS, len(x)), replace=False)]
-        for _ in range(20):
-            own = (x @ centres.T).argmax(axis=1)
-            centres = np.array([x[own == g].sum(axis=0) if (own == g).any() else centres[g] for g in range(len(centres))])
-            centres /= np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-9)
-        counts, total = {}, np.ones(GROUPS)
-        for g, words in zip(own, texts):
-            for w, n in Counter(words).items():
-                total[g] += n
-                for piece in spelling(w):
-                    counts.setdefault(piece, np.zeros(GROUPS))[g] += n
-        prior = total / total.sum()
-        return Speller({p: np.log((c + 2 * prior) / (c.sum() + 2)) - np.log(prior) for p, c in counts.items() if c.sum() > 2}, np.log(prior))
+    def of_counts(pieces: list[str], counts: np.ndarray, total: np.ndarray) -> Speller:
+        """From the counts of pieces, and of all words, by group of texts."""
+        prior = (total + 1) / (total + 1).sum()
+        odds = np.log((counts + 2 * prior) / (counts.sum(axis=1, keepdims=True) + 2)) - np.log(prior)
+        return Speller(dict(zip(pieces, odds)), np.log(prior))
 
     def __post_init__(self):
         self.pieces = pa.array(list(self.table), pa.string())
         self.odds = np.vstack([*self.table.values(), np.zeros(GROUPS)])
 
     def groups(self, words: pa.Array) -> np.ndarray:
-        core = pc.utf8_trim(words, characters=MARKS)
-        cut = pc.utf8_slice_codeunits
-        pieces = [("^", cut(core, 0, 2), ""), ("", cut(core, -2), "$"), ("*", cut(core, 1, 4), ""), ("#", cut(core, -4, -1), ""), ("", cut(words, -3), "|")]
         odds = np.tile(self.prior, (len(words), 1))
-        for before, piece, after in pieces:
-            at = pc.index_in(pc.binary_join_element_wise(before, piece, after, ""), value_set=self.pieces)
+        for pieces in _pieces(words):
+            at = pc.index_in(pieces, value_set=self.pieces)
             odds += self.odds[pc.fill_null(at, len(self.pieces)).to_numpy(zero_copy_only=False)]
         return odds.argmax(axis=1)
 
@@ -222,12 +279,17 @@ class Network:
             out[rows] = own - np.log(np.exp(x, out=x).sum(axis=1))
         return out
 
-    def train(self, texts: list[np.ndarray], seed: int = 11) -> None:
-        """The starting weights: PASSES over the texts, each in another order."""
+    def train(self, texts: np.ndarray, seed: int = 11) -> None:
+        """The first round, from blank weights: PASSES over texts that each end with 0, each in another order, then one of finer steps."""
         draw, steps = np.random.default_rng(seed), Steps(self.weights, RATE)
+        ends = np.flatnonzero(texts == 0) + 1
+        sizes = np.diff(ends, prepend=0)
+        lanes = min(WIDE, max(LANES, len(texts) // (WINDOWS * STEPS)))
         for _ in range(PASSES):
-            order = draw.permutation(len(texts))
-            self.over(np.concatenate([texts[k] for k in order]), steps, LANES)
+            order = draw.permutation(len(ends))
+            moved = (ends - sizes)[order] - (np.cumsum(sizes[order]) - sizes[order])
+            self.over(texts[np.repeat(moved, sizes[order]) + np.arange(len(texts))], steps, lanes)
+        self.over(texts, Steps(self.weights, FINE), WIDE)
         self.settle()
 
     def over(self, flat: np.ndarray, steps: Steps, most: int) -> None:
@@ -410,27 +472,16 @@ def _kinds(batches, model):
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(kinds, pa.int32())], names=["word", "c", "kind"])
 
 
-def _training_ids(block: dict, words: list[pa.Array], network: Network, speller: Speller) -> np.ndarray:
-    """Input ids of the training texts of a block, one after the other."""
-    held = pa.ipc.open_stream(block["ids"]).read_all()["held"].to_numpy()
-    sizes, codes = np.frombuffer(block["sizes"], np.int64), np.frombuffer(zlib.decompress(block["codes"]), np.int32)
-    return network.inputs(pa.concat_arrays(words), speller)[codes[np.repeat(~held, sizes)]]
-
-
-def _trained(batches, model):
-    """One row a task: its weights times the number of words that it trained on, and that number. A task has the rows of its
-    blocks as they were written, the documents of a block before its word list."""
-    network, speller = model.value
-    network = replace(network, weights={k: v.copy() for k, v in network.weights.items()})
-    steps, seen, block, words = Steps(network.weights, FINE), 0, None, []
+def _read(batches):
+    """Of each block of a task: the sizes and codes of its training texts, and its words. Columns ids, sizes, words, codes; the
+    documents of a block come before its word list."""
 
-    def learn():
-        nonlocal seen
-        ids = _training_ids(block, words, network, speller)
-        if len(ids):
-            network.over(ids, steps, WIDE)
-            seen += len(ids)
+    def told():
+        held = pa.ipc.open_stream(block["ids"]).read_all()["held"].to_numpy()
+        sizes, codes = np.frombuffer(block["sizes"], np.int64), np.frombuffer(zlib.decompress(block["codes"]), np.int32)
+        return sizes[~held], codes[np.repeat(~held, sizes)], pa.concat_arrays(words)
 
+    block, words = None, []
     for batch in batches:
         for row in range(batch.num_rows):
             listed = batch.column(2)[row]
@@ -438,10 +489,68 @@ def _trained(batches, model):
                 words.append(listed.values)
                 continue
             if block:
-                learn()
+                yield told()
             block, words = {name: batch.column(k)[row].as_py() for k, name in ((0, "ids"), (1, "sizes"), (3, "codes"))}, []
     if block:
-        learn()
+        yield told()
+
+
+def _moments(batches, telling):
+    """One row a task: its sum of ``_moment``, and its number of texts."""
+    total, n = 0.0, 0
+    for sizes, codes, words in _read(batches):
+        total = total + _moment(sizes, codes, _places(words, telling), len(telling))
+        n += len(sizes)
+    if n:
+        yield _weighted({"": total}, n)
+
+
+def _spelled(batches, telling, centres):
+    """Pieces of spelling of each block with their counts by group; the piece END has those of all words."""
+    for sizes, codes, words in _read(batches):
+        counts = _word_groups(sizes, codes, _places(words, telling), centres, len(words))
+        there = counts.any(axis=1)
+        pieces, n = _piece_counts(words.filter(pa.array(there)), counts[there])
+        n = np.vstack([n, counts.sum(axis=0)]).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.concat_arrays([pieces, pa.array([END])]), *map(pa.array, n.T)], names=["piece", *_GROUPS])
+
+
+_GROUPS = [f"g{g}" for g in range(GROUPS)]
+
+
+def learned(rows: DataFrame, telling: list[str]) -> Speller:
+    """The classes by spelling, from all training texts. rows: ids, sizes, words, codes of blocks."""
+    sums = rows.mapInArrow(lambda batches: _moments(batches, telling), "weights binary, n long").repartition(PARTS).mapInArrow(_summed, "weights binary, n long")
+    moment = sum((np.frombuffer(row["weights"], np.float64) for row in sums.collect()), np.zeros((len(telling) + 1) ** 2))  # PARTS rows at most
+    centres = _centres(moment.reshape(len(telling) + 1, -1))
+    pieces = rows.mapInArrow(lambda batches: _spelled(batches, telling, centres), ", ".join(["piece string", *(f"{g} long" for g in _GROUPS)]))
+    n = sum(F.col(g) for g in _GROUPS)
+    counted = pieces.groupBy("piece").agg(*(F.sum(g).alias(g) for g in _GROUPS)).filter((n > 2) | (F.col("piece") == END))
+    found = {row["piece"]: row[1:] for row in counted.orderBy(F.col("piece") != END, n.desc(), "piece").limit(PIECES + 1).collect()}
+    total = np.array(found.pop(END, [0] * GROUPS), float)
+    return Speller.of_counts(list(found), np.array(list(found.values()), float).reshape(-1, GROUPS), total)
+
+
+def _first_trained(batches, model):
+    """The first round, all of it in one task."""
+    network, speller = model.value
+    ids = [network.inputs(words, speller)[codes] for _, codes, words in _read(batches)]
+    ids = np.concatenate(ids) if ids else np.zeros(0, np.int64)
+    if len(ids):
+        network = replace(network, weights={k: v.copy() for k, v in network.weights.items()})
+        network.train(ids)
+        yield _weighted({k: v.astype(np.float64) for k, v in network.weights.items()}, 1)
+
+
+def _trained(batches, model):
+    """One row a task: its weights times the number of words that it trained on, and that number."""
+    network, speller = model.value
+    network = replace(network, weights={k: v.copy() for k, v in network.weights.items()})
+    steps, seen = Steps(network.weights, FINE), 0
+    for _, codes, words in _read(batches):
+        if len(codes):
+            network.over(network.inputs(words, speller)[codes], steps, WIDE)
+            seen += len(codes)
     if seen:
         yield _weighted({k: v.astype(np.float64) * seen for k, v in network.weights.items()}, seen)
 
@@ -461,19 +570,41 @@ def _summed(batches):
         yield _weighted({"": total}, n)
 
 
-def trained(written: DataFrame, model) -> Network:
-    """The network trained over all blocks: each task goes on from the starting weights over its own, and the tasks' weights
-    are averaged by the words that they saw, PARTS sums on the way to the driver."""
-    rows = written.select("ids", "sizes", "words", "codes").mapInArrow(lambda batches: _trained(batches, model), "weights binary, n long")
-    sums = rows.repartition(PARTS).mapInArrow(_summed, "weights binary, n long").collect()  # PARTS rows at most
-    network = model.value[0]
-    if sums:
-        flat = sum(np.frombuffer(row["weights"], np.float64) for row in sums) / sum(row["n"] for row in sums)
-        begin = 0
-        for k in sorted(network.weights):
-            shape, size = network.weights[k].shape, network.weights[k].size
-            network.weights[k] = flat[begin : begin + size].reshape(shape).astype(np.float32)
-            begin += size
+def rounds(sizes: list[int]) -> list[int]:
+    """Round of each block, given their bytes in order: FIRST bytes or more in the first one, in each next one MORE times those
+    of all before or more."""
+    out, now, own, before = [], 0, 0, 0
+    for n in sizes:
+        if own >= (MORE * before if now else FIRST):
+            now, before, own = now + 1, before + own, 0
+        out.append(now)
+        own += n
+    return out
+
+
+def trained(written: DataFrame, network: Network, speller: Speller) -> Network:
+    """The network trained over all blocks, round by round (``rounds``), in the order of a hash of the blocks. What is collected
+    is a row for each block, of BLOCK bytes of text, and PARTS sums of weights a round."""
+    spark, schema = written.sparkSession, "weights binary, n long"
+    listed = written.filter("ids IS NOT NULL").select("block", F.length("codes").alias("n")).orderBy(F.xxhash64("block"), "block").collect()
+    dealt = rounds([row["n"] for row in listed])
+    for now in sorted(set(dealt)):
+        model = spark.sparkContext.broadcast((network, speller))
+        rows = written.filter(F.col("block").isin([row["block"] for row, k in zip(listed, dealt) if k == now]))
+        if now:
+            rows = rows.select("ids", "sizes", "words", "codes").mapInArrow(lambda batches, model=model: _trained(batches, model), schema)
+            sums = rows.repartition(PARTS).mapInArrow(_summed, schema).collect()  # PARTS rows at most
+        else:
+            rows = rows.repartition(1).sortWithinPartitions("block", F.col("ids").isNull(), "first").select("ids", "sizes", "words", "codes")
+            sums = rows.mapInArrow(lambda batches, model=model: _first_trained(batches, model), schema).collect()  # one row
+        if sums:
+            flat = sum(np.frombuffer(row["weights"], np.float64) for row in sums) / sum(row["n"] for row in sums)
+            begin, weights = 0, {}
+            for k in sorted(network.weights):
+                shape, size = network.weights[k].shape, network.weights[k].size
+                weights[k] = flat[begin : begin + size].reshape(shape).astype(np.float32)
+                begin += size
+            network = replace(network, weights=weights)
     network.settle()
     return network
 
@@ -505,14 +636,16 @@ def _scored(block: pa.Table, listed: pa.Table, model, totals) -> pa.Table:
 
 
 def fit(texts: list[str], frequent: list[str]) -> tuple[Network, Speller]:
-    """The starting weights, and the classes by spelling."""
-    cut = [[w.decode() for w in words_of(t)] for t in texts]
-    speller = Speller.learned(cut, frequent) if cut else Speller({}, np.zeros(GROUPS))
+    """The model of texts in memory, trained in one round."""
+    words, sizes, codes = _coded(pa.array(texts, pa.string()))
+    words, telling = pa.concat_arrays([pa.array([END]), words]), frequent[:TELLING]
+    place = _places(words, telling)
+    counts = _word_groups(sizes, codes, place, _centres(_moment(sizes, codes, place, len(telling))), len(words))
+    pieces, n = _piece_counts(words.slice(1), counts[1:])
+    speller = Speller.of_counts(pieces.to_pylist(), n, counts.sum(axis=0))
     network = Network.blank(frequent, speller)
-    flat = network.inputs(pa.array([w for words in cut for w in words], pa.string()), speller)
-    coded = [np.r_[ids, 0] for ids in np.split(flat, np.cumsum([len(words) for words in cut])[:-1])] if cut else []
-    if coded:
-        network.train(coded)
+    if texts:
+        network.train(network.inputs(words, speller)[codes])
     return network, speller
 
 
@@ -527,11 +660,8 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     whole = counts.filter("c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     common = counts.filter((F.col("c") >= LEAST) & (F.col("word") != END)).orderBy(F.desc("c"), "word").limit(CLASSES * SIZE)
     frequent = [row["word"] for row in common.collect()]
-    ids = read.filter("id IS NOT NULL AND NOT held").select("id")
-    chosen = first_by_hash(ids.distinct(), "id", FIT_TEXTS, ids.count()).withColumn("y", F.lit(0))
-    sample = sorted((row["id"], row["t"]) for row in texts_within(read.select("id", "t"), chosen, FIT_CHARS))
-    network, speller = fit([text for _, text in sample], frequent)
-    network = trained(written, spark.sparkContext.broadcast((network, speller)))
+    speller = learned(written.select("ids", "sizes", "words", "codes"), frequent[:TELLING])
+    network = trained(written, Network.blank(frequent, speller), speller)
     model = spark.sparkContext.broadcast((network, speller))
     classed = checkpointed(counts.mapInArrow(lambda batches: _kinds(batches, model), "word string, c long, kind int"))
     n_kinds = len(network.class_of)

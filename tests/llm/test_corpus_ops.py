@@ -603,6 +603,37 @@ def test_lm_trains_on_every_training_text_and_on_no_other(spark):
     assert np.mean([got[k] for k in ids[:400]]) > np.mean([got[k] for k in out[:60]]) + 0.1
 
 
+def test_lm_learns_spelling_from_every_training_text(spark):
+    """2,400 texts, more than the 1,500 that the classes by spelling were learned from once: as if counted in one place."""
+    import pyarrow as pa
+
+    from fringelake.llm import lm
+
+    draw = np.random.default_rng(2)
+    one = lambda k: " ".join([f"{'ab'[k % 2]}{n}" for n in draw.integers(0, 5, 6)] + [f"{'xy'[k % 2]}{'qrstuvw'[n]}{n}z" for n in draw.integers(0, 7, 6)])
+    texts, telling = [one(k) for k in range(2400)], [f"{c}{n}" for c in "ab" for n in range(5)]
+    frame = spark.createDataFrame([(k, k % 7 == 2, t) for k, t in enumerate(texts)], "id long, held boolean, t string").repartition(4)
+    written = lm.checkpointed(frame.mapInArrow(lm._blocked, lm._BLOCKS))
+    got = lm.learned(written.select("ids", "sizes", "words", "codes"), telling)
+    want = Counter(p for k, t in enumerate(texts) if k % 7 != 2 for w in t.split() for p in lm.spelling(w))
+    assert set(got.table) == {p for p, n in want.items() if n > 2}
+    alone = lm.fit([t for k, t in enumerate(texts) if k % 7 != 2], telling)[1]
+    assert np.allclose(np.sort(got.prior), np.sort(alone.prior))
+    groups = {c: set(got.groups(pa.array([w for t in texts for w in t.split() if w[0] == c])).tolist()) for c in "xy"}
+    assert not groups["x"] & groups["y"]
+
+
+def test_lm_trains_every_block_in_one_round_of_growing_ones():
+    from fringelake.llm import lm
+
+    sizes = np.random.default_rng(0).integers(1, 8 << 20, 3000).tolist()
+    dealt = lm.rounds(sizes)
+    bytes_ = [sum(n for n, k in zip(sizes, dealt) if k == r) for r in range(max(dealt) + 1)]
+    assert len(dealt) == 3000 and dealt == sorted(dealt) and set(dealt) == set(range(max(dealt) + 1))
+    assert bytes_[0] >= lm.FIRST and all(n >= lm.MORE * sum(bytes_[:r]) for r, n in enumerate(bytes_[:-1]) if r)
+    assert lm.rounds([5]) == [0] and lm.rounds([]) == []
+
+
 def held_out(spark, sf_dir, query, label):
     labels = {r["doc_id"]: r[label] for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
     found = [r for r in query(spark, sf_dir).collect()]
