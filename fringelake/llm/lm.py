@@ -69,20 +69,20 @@ def spelling(word: str) -> tuple[str, ...]:
 
 
 def _pieces(words: pa.Array):
-    """The five pieces of ``spelling`` of many words, kind by kind."""
+    """The five pieces of ``spelling`` of many words, kind by kind: what stands before them, they, and what stands after them."""
     core = pc.utf8_trim(words, characters=MARKS)
     cut = pc.utf8_slice_codeunits
-    for before, piece, after in [("^", cut(core, 0, 2), ""), ("", cut(core, -2), "$"), ("*", cut(core, 1, 4), ""), ("#", cut(core, -4, -1), ""), ("", cut(words, -3), "|")]:
-        yield pc.binary_join_element_wise(before, piece, after, "")
+    yield from (("^", cut(core, 0, 2), ""), ("", cut(core, -2), "$"), ("*", cut(core, 1, 4), ""), ("#", cut(core, -4, -1), ""), ("", cut(words, -3), "|"))
 
 
 def _piece_counts(words: pa.Array, counts: np.ndarray) -> tuple[pa.Array, np.ndarray]:
     """Pieces of the words, and how often texts of each group have them. counts: of each word, by group."""
     names, numbers = [], []
-    for pieces in _pieces(words):
+    for before, pieces, after in _pieces(words):
         told = pieces.dictionary_encode()
-        names.append(told.dictionary)
-        numbers.append(np.column_stack([np.bincount(told.indices.to_numpy(), counts[:, g], len(told.dictionary)) for g in range(GROUPS)]))
+        at = told.indices.to_numpy()
+        names.append(pc.binary_join_element_wise(before, told.dictionary, after, ""))
+        numbers.append(np.column_stack([np.bincount(at, counts[:, g], len(told.dictionary)) for g in range(GROUPS)]))
     return pa.concat_arrays(names), np.concatenate(numbers)
 
 
@@ -155,14 +155,16 @@ class Speller:
         return Speller(dict(zip(pieces, odds)), np.log(prior))
 
     def __post_init__(self):
-        self.pieces = pa.array(list(self.table), pa.string())
-        self.odds = np.vstack([*self.table.values(), np.zeros(GROUPS)])
+        self.kinds_of = {}  # what stands before and after -> its pieces, and their odds
+        for before, after in (("^", ""), ("", "$"), ("*", ""), ("#", ""), ("", "|")):
+            own = [p for p in self.table if p.startswith(before) and p.endswith(after)]
+            self.kinds_of[before, after] = pa.array([p[len(before) : len(p) - len(after)] for p in own], pa.string()), np.vstack([*(self.table[p] for p in own), np.zeros(GROUPS)])
 
     def groups(self, words: pa.Array) -> np.ndarray:
         odds = np.tile(self.prior, (len(words), 1))
-        for pieces in _pieces(words):
-            at = pc.index_in(pieces, value_set=self.pieces)
-            odds += self.odds[pc.fill_null(at, len(self.pieces)).to_numpy(zero_copy_only=False)]
+        for before, pieces, after in _pieces(words):
+            known, own = self.kinds_of[before, after]
+            odds += own.take(pc.fill_null(pc.index_in(pieces, value_set=known), len(known)).to_numpy(zero_copy_only=False), axis=0)
         return odds.argmax(axis=1)
 
     def kinds(self, words: pa.Array) -> np.ndarray:
@@ -279,8 +281,9 @@ class Network:
             out[rows] = own - np.log(np.exp(x, out=x).sum(axis=1))
         return out
 
-    def train(self, texts: np.ndarray, seed: int = 11) -> None:
-        """The first round, from blank weights: PASSES over texts that each end with 0, each in another order, then one of finer steps."""
+    def train(self, texts: np.ndarray, last: bool = True, seed: int = 11) -> None:
+        """The first round, from blank weights: PASSES over texts that each end with 0, each in another order, and one of finer
+        steps if no other round follows."""
         draw, steps = np.random.default_rng(seed), Steps(self.weights, RATE)
         ends = np.flatnonzero(texts == 0) + 1
         sizes = np.diff(ends, prepend=0)
@@ -289,7 +292,8 @@ class Network:
             order = draw.permutation(len(ends))
             moved = (ends - sizes)[order] - (np.cumsum(sizes[order]) - sizes[order])
             self.over(texts[np.repeat(moved, sizes[order]) + np.arange(len(texts))], steps, lanes)
-        self.over(texts, Steps(self.weights, FINE), WIDE)
+        if last:
+            self.over(texts, Steps(self.weights, FINE), WIDE)
         self.settle()
 
     def over(self, flat: np.ndarray, steps: Steps, most: int) -> None:
@@ -531,14 +535,14 @@ def learned(rows: DataFrame, telling: list[str]) -> Speller:
     return Speller.of_counts(list(found), np.array(list(found.values()), float).reshape(-1, GROUPS), total)
 
 
-def _first_trained(batches, model):
+def _first_trained(batches, model, last):
     """The first round, all of it in one task."""
     network, speller = model.value
     ids = [network.inputs(words, speller)[codes] for _, codes, words in _read(batches)]
     ids = np.concatenate(ids) if ids else np.zeros(0, np.int64)
     if len(ids):
         network = replace(network, weights={k: v.copy() for k, v in network.weights.items()})
-        network.train(ids)
+        network.train(ids, last)
         yield _weighted({k: v.astype(np.float64) for k, v in network.weights.items()}, 1)
 
 
@@ -596,7 +600,7 @@ def trained(written: DataFrame, network: Network, speller: Speller) -> Network:
             sums = rows.repartition(PARTS).mapInArrow(_summed, schema).collect()  # PARTS rows at most
         else:
             rows = rows.repartition(1).sortWithinPartitions("block", F.col("ids").isNull(), "first").select("ids", "sizes", "words", "codes")
-            sums = rows.mapInArrow(lambda batches, model=model: _first_trained(batches, model), schema).collect()  # one row
+            sums = rows.mapInArrow(lambda batches, model=model: _first_trained(batches, model, dealt[-1] == 0), schema).collect()  # one row
         if sums:
             flat = sum(np.frombuffer(row["weights"], np.float64) for row in sums) / sum(row["n"] for row in sums)
             begin, weights = 0, {}
